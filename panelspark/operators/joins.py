@@ -9,31 +9,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 _RIGHT = "__right__"
 
 
-def _matches(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column:
-    return reduce(
-        lambda a, b: a & b, [left[k].eqNullSafe(right[_RIGHT + k]) for k in on]
-    )
-
-
 def null_safe_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
 ) -> DataFrame:
     """Equi-join in which NULL matches NULL; each key appears once in the result."""
-    renamed = right.withColumnsRenamed({k: _RIGHT + k for k in on})
-    joined = left.join(renamed, _matches(left, renamed, on), how)
-    if how in ("left_anti", "left_semi", "leftanti", "leftsemi", "anti", "semi"):
+    # every right column gets its own name, so that joining two frames derived from
+    # one table stays unambiguous
+    renamed = right.select(*[F.col(c).alias(_RIGHT + c) for c in right.columns])
+    same = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(_RIGHT + k)) for k in on]
+    )
+    joined = left.join(renamed, same, how)
+    if how in ("left_anti", "left_semi"):
         return joined
-    if how in ("right", "full", "outer", "full_outer", "right_outer", "fullouter"):
-        keys = [F.coalesce(left[k], renamed[_RIGHT + k]).alias(k) for k in on]
+    if how in ("right", "full"):
+        keys = [F.coalesce(k, _RIGHT + k).alias(k) for k in on]
     else:
-        keys = [left[k] for k in on]
-    mine = [left[c] for c in left.columns if c not in on]
-    theirs = [renamed[c] for c in right.columns if c not in on]
+        keys = [F.col(k) for k in on]
+    mine = [F.col(c) for c in left.columns if c not in on]
+    theirs = [F.col(_RIGHT + c).alias(c) for c in right.columns if c not in on]
     return joined.select(*keys, *mine, *theirs)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .grid import product, spread, with_values
-from .joins import not_matching
+from .joins import not_matching, null_safe_join
 from ..functions.periods import half_index, index_semester, index_year
 
 UNREPORTED = "unreported"
@@ -126,11 +126,7 @@ def interpolate_long(
             f"(PARTITION BY {keys}, __block ORDER BY `{order}`)"
         ),
     )
-    s = summary.withColumnsRenamed({c: f"__s_{c}" for c in [*by, "__block"]})
-    same = F.lit(True)
-    for c in [*by, "__block"]:
-        same = same & nearest[c].eqNullSafe(s[f"__s_{c}"])
-    joined = nearest.join(s, same, "left")
+    joined = null_safe_join(nearest, summary, [*by, "__block"], "left")
     pos = F.col("__at") + F.col("__offset")
     before = F.coalesce(moved(F.col("__before")), F.col("__left"))
     after = F.coalesce(moved(F.col("__after")), F.col("__right"))
