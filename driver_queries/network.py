@@ -152,7 +152,8 @@ def nation_events(d):
 
 
 def status_panel(d):
-    return month_status(nation_events(d), AS_OF, SINCE)
+    """Monthly status, which origins, destinations and scores all start from."""
+    return d.stored("status", lambda: month_status(nation_events(d), AS_OF, SINCE))
 
 
 @query(
@@ -165,6 +166,11 @@ def cx3_month_status_panel(d):
 
 
 def edges(d):
+    """Yearly edges between nations."""
+    return d.stored("edges", lambda: edge_totals(d))
+
+
+def edge_totals(d):
     regions = d.nation.select("n_name", "n_regionkey")
     ends = {}
     for end in ("origin", "destination"):

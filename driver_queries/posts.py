@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 from panelspark.operators.posts import aggregate_posts, flatten_posts, post_facts
 from panelspark.plans.annual import update_posts
 
-from .base import query
+from .base import nation_of, query
 
 URL = "https://posts.example.org/?id="
 
 
 def posts(d):
     """Nested posts, one per order; orders without lines have no lists."""
-    sellers = d.supplier.join(
-        d.nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name"), "s_nationkey"
-    ).select(F.col("s_suppkey").alias("l_suppkey"), "n_name")
+    sellers = d.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     parts = d.part.select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
     flag = F.col("l_returnflag")
     attributes = (
@@ -29,6 +27,7 @@ def posts(d):
     )
     ship = F.col("l_shipdate").cast("timestamp")
     lines = d.lineitem.join(sellers, "l_suppkey").join(parts, "l_partkey")
+    lines = lines.join(nation_of(d, "s_nationkey", "n_name"), "s_nationkey")
     # the lists hold the few lines of one order
     lists = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.array_sort(F.collect_list(count)).alias("counts"),

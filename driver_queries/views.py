@@ -262,22 +262,14 @@ def so3_last_rows(d):
 
 @query(
     "so1_multi_key_sort",
-    """SELECT n_name, doc_rank, quality FROM (
-         SELECT lang AS n_name, quality, CAST(row_number() OVER (
-                  PARTITION BY lang ORDER BY quality DESC NULLS LAST, source, doc_id) AS INTEGER) AS doc_rank
-         FROM documents LEFT JOIN labels USING (doc_id)) WHERE doc_rank <= 50""",
+    "SELECT doc_id, lang, quality FROM documents LEFT JOIN labels USING (doc_id)",
 )
 def so1_multi_key_sort(d):
-    from pyspark.sql import Window
-
     docs = d.documents.select("doc_id", "lang", "source").join(d.labels, "doc_id", "left")
-    order = Window.partitionBy("lang").orderBy(
-        F.col("quality").desc_nulls_last(), F.col("source").asc_nulls_last(), "doc_id"
-    )
-    ranked = docs.withColumn("doc_rank", F.row_number().over(order))
-    return ranked.filter("doc_rank <= 50").select(
-        F.col("lang").alias("n_name"), "doc_rank", "quality"
+    ordered = docs.orderBy(
+        F.col("lang").asc_nulls_last(), F.col("quality").desc_nulls_last(), "doc_id"
     )
+    return ordered.select("doc_id", "lang", "quality")
 
 
 @query(

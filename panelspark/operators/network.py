@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .grid import bounded_rows
-from .joins import not_matching
+from .joins import not_matching, salted_join
 from ..functions.nulls import sum_strict
 from ..functions.numbers import percent_label
 from ..functions.periods import month_start
@@ -90,16 +90,23 @@ def exposure(
     edges: DataFrame,
     weights: Sequence[str],
     aggregate_origins: bool = True,
+    salts: int = 1,
 ) -> DataFrame:
     """Edge weights arriving at each destination from origins with an outbreak.
 
     Edges (origin, destination, year, weights) meet active origins on origin and
-    year only; the sums are combined on the map side before they are shuffled.
+    year only; the sums are combined on the map side before they are shuffled. The
+    joined rows are those of the by-origin table. ``salts`` spreads each origin's
+    disease months over that many tasks where one origin dominates.
     """
     keys = ["country_destination", "disease", "month"]
     if not aggregate_origins:
         keys.append("country_origin")
-    met = active_origins(status).join(edges, ["country_origin", "year"])
+    on = ["country_origin", "year"]
+    if salts > 1:
+        met = salted_join(active_origins(status), edges, on, salts, ["disease", "month"])
+    else:
+        met = active_origins(status).join(edges, on)
     sums = [F.sum(w).alias(w + SUFFIX) for w in weights]
     return met.groupBy(*keys).agg(*sums).withColumnRenamed(
         "country_destination", "country_iso3c"
@@ -111,13 +118,14 @@ def augment(
     edges: DataFrame,
     weights: Sequence[str],
     aggregate_origins: bool = True,
+    salts: int = 1,
 ) -> DataFrame:
     """Status rows with exposure columns; no active origin means zero.
 
     With ``aggregate_origins=False`` there is one row per contributing origin, and one
     with a NULL origin for cells without any.
     """
-    arriving = exposure(status, edges, weights, aggregate_origins)
+    arriving = exposure(status, edges, weights, aggregate_origins, salts)
     joined = status.join(arriving, list(CELL), "left")
     return joined.fillna(0.0, [w + SUFFIX for w in weights])
 

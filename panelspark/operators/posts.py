@@ -102,26 +102,26 @@ def post_facts(posts: DataFrame) -> DataFrame:
 def aggregate_posts(posts: DataFrame) -> DataFrame:
     """Posts, cases and species per disease, country and year.
 
-    A post counts once for each of its diseases, places and years. Species are listed
-    by exploding them, so that each task sends every species at most once per group;
-    posts and cases are counted on a post's first species row only.
+    A post counts once for each of its diseases, places and years. Its species are
+    exploded, and posts and cases are counted on the first species row only. The first
+    aggregate still has species in its key, so it hashes fixed-size counters and splits
+    a large group; only distinct species reach the second, which lists them.
     """
     facts = post_facts(posts)
+    key = ["disease_name", "disease_country", "disease_year"]
     cells = (
         facts.select("*", F.explode("diseases").alias("disease_name"))
         .select("*", F.explode("places").alias("disease_country"))
         .select("*", F.explode("years").alias("disease_year"))
-        .select(
-            "disease_name",
-            "disease_country",
-            "disease_year",
-            "cases",
-            F.posexplode_outer("species").alias("__pos", "__species"),
-        )
+        .select(*key, "cases", F.posexplode_outer("species").alias("__pos", "__species"))
     )
     once = F.coalesce("__pos", F.lit(0)) == 0
-    return cells.groupBy("disease_name", "disease_country", "disease_year").agg(
-        F.array_sort(F.collect_set("__species")).alias("disease_species"),
+    by_species = cells.groupBy(*key, "__species").agg(
         F.count_if(once).alias("n_posts"),
         F.sum(F.when(once, F.col("cases")).otherwise(0)).alias("n_cases"),
     )
+    return by_species.groupBy(*key).agg(
+        F.array_sort(F.collect_set("__species")).alias("disease_species"),
+        F.sum("n_posts").alias("n_posts"),
+        F.sum("n_cases").alias("n_cases"),
+    )

@@ -6,11 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .ingest import FAILED_TO_FETCH
 from .joins import null_safe_join
 from .rollup import ANNUAL_PERIOD, OUTBREAK_MEASURES, event_totals
 from ..functions.nulls import sum_known
-from ..functions.text import replace_first
-from ..operators.ingest import FAILED_TO_FETCH
 
 DISEASE_KEYS = ("country_iso3c", "report_year", "disease", "serotype")
 
@@ -60,20 +59,24 @@ def reported_vs_calculated(
     keys: Sequence[str] = ("id", "species"),
     measures: Sequence[str] = OUTBREAK_MEASURES,
 ) -> DataFrame:
-    """Totals that differ from the reported ones where both are known."""
-    calculated = (
-        event_totals(detail, keys, measures)
-        .select(*keys, *[F.col(m).cast("double").alias(m) for m in measures])
-        .unpivot(list(keys), list(measures), "metric", "value_calculated")
-    )
-    totals = [f"total_{m}" for m in measures]
-    given = (
-        reported.select(*keys, *[F.col(t).try_cast("double").alias(t) for t in totals])
-        .unpivot(list(keys), totals, "metric", "value_reported")
-        .withColumn("metric", replace_first("metric", "total_", ""))
+    """Totals that differ from the reported ones where both are known.
+
+    The wide rows are joined once per key and turned long afterwards.
+    """
+    calculated = event_totals(detail, keys, measures)
+    joined = null_safe_join(
+        calculated, reported.select(*keys, *[f"total_{m}" for m in measures]), keys
     )
-    joined = null_safe_join(calculated, given, [*keys, "metric"], "left")
-    return joined.filter("value_calculated <> value_reported")
+    pairs = [
+        F.struct(
+            F.lit(m).alias("metric"),
+            F.col(m).cast("double").alias("value_calculated"),
+            F.col(f"total_{m}").try_cast("double").alias("value_reported"),
+        )
+        for m in measures
+    ]
+    long = joined.select(*keys, F.inline(F.array(*pairs)))
+    return long.filter("value_calculated <> value_reported")
 
 
 def _totals(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from .joins import null_safe_join
 from .panel import add_missing_countries
 from ..functions.nulls import all_kleene
 from ..functions.numbers import number_text
@@ -25,15 +26,20 @@ MISSING_COUNTRY_DEFAULTS = {
 def never_reported_override(df: DataFrame) -> DataFrame:
     """Relabel countries whose every period of a disease has no cases at all.
 
-    The group is one country and disease over the panel's periods, so it stays small.
+    The answer per country and disease is an aggregate joined back, so that no task
+    has to hold all rows of one country.
     """
-    group = Window.partitionBy("country_iso3c", "disease")
-    silent = all_kleene(F.col("predicted_cases") == 0, group) & all_kleene(
-        F.col("cases_coalesced") == 0, group
+    key = ["country_iso3c", "disease"]
+    silent = all_kleene(F.col("predicted_cases") == 0) & all_kleene(
+        F.col("cases_coalesced") == 0
     )
+    answers = df.groupBy(*key).agg(silent.alias("__silent"))
+    joined = null_safe_join(df, answers, key, "left")
     # an unknown answer gives an unknown label
-    label = F.when(silent, F.lit(NEVER)).when(~silent, F.col("status_coalesced"))
-    return df.withColumn("status_coalesced", label)
+    label = F.when(F.col("__silent"), F.lit(NEVER)).when(
+        ~F.col("__silent"), F.col("status_coalesced")
+    )
+    return joined.withColumn("status_coalesced", label).drop("__silent")
 
 
 def nowcast_view(
