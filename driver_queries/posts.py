@@ -140,7 +140,7 @@ cases AS (SELECT l_orderkey, CAST(coalesce(sum(CASE WHEN l_returnflag = 'R' THEN
 
 
 @query(
-    "ag9_aggregate_posts",
+    "cx20_ag9_aggregate_posts",
     f"""WITH {FACTS_SQL},
     cells AS (SELECT disease_name, disease_country, disease_year, l_orderkey, cases
               FROM diseases JOIN places USING (l_orderkey) JOIN years USING (l_orderkey)
@@ -153,7 +153,7 @@ cases AS (SELECT l_orderkey, CAST(coalesce(sum(CASE WHEN l_returnflag = 'R' THEN
            array_to_string(any_value(disease_species), ',') AS disease_species
     FROM cells JOIN species USING (disease_name, disease_country, disease_year) GROUP BY ALL""",
 )
-def ag9_aggregate_posts(d):
+def cx20_ag9_aggregate_posts(d):
     out = aggregate_posts(posts(d))
     return out.withColumn("disease_species", F.array_join("disease_species", ","))
 

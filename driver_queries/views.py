@@ -131,7 +131,7 @@ def cx12_presence_long(d):
 
 
 @query(
-    "cx12_timeline_long",
+    "cx12_wn7_timeline_long",
     f"""WITH {CELLS_SQL}, {ROLLUP_SQL},
     t AS (SELECT country_iso3c, disease, CAST(report_year + (report_semester - 1) / 2.0 AS DOUBLE) AS yr,
                  'Reported: ' || coalesce(CAST(CAST(actual_cases AS BIGINT) AS VARCHAR), 'Unknown')
@@ -145,7 +145,7 @@ def cx12_presence_long(d):
              AS missing
     FROM t""",
 )
-def cx12_timeline_long(d):
+def cx12_wn7_timeline_long(d):
     return timeline_long(summary(d))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .joins import matching, not_matching
+from .joins import matching, not_matching, small_side
 from ..functions.text import contains
 
 # Texts that mark a response as failed, and the fetch states of the log.
@@ -155,8 +155,11 @@ def run_mode(cached: DataFrame | None, tag_col: str, tag: str) -> str:
 
 
 def history_for(new: DataFrame, history: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """New rows with the full history of just the keys they touch."""
-    touched = new.select(*keys).distinct()
+    """New rows with the full history of just the keys they touch.
+
+    New rows are few next to the history, which is then filtered without a shuffle.
+    """
+    touched = small_side(new.select(*keys).distinct())
     return matching(history, touched, keys).unionByName(new, allowMissingColumns=True)
 
 

@@ -1,7 +1,8 @@
 """Joins with explicit NULL and skew behaviour.
 
-No side is forced to be broadcast: Spark does so when the measured size is below
-``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise.
+Only :func:`small_side` asks for a broadcast, after counting. Elsewhere Spark broadcasts
+a side whose known size is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles
+both sides otherwise.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 
 _RIGHT = "__right__"
 
+SMALL_SIDE = 50_000
+
 
 def null_safe_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
@@ -36,6 +39,19 @@ def null_safe_join(
     return joined.select(*keys, *mine, *theirs)
 
 
+def small_side(df: DataFrame, limit: int = SMALL_SIDE) -> DataFrame:
+    """Marked for broadcast if it has at most ``limit`` rows, else unchanged.
+
+    Size estimates of derived frames are far too high, so Spark would shuffle the large
+    side of a join with them. Here the rows are counted; a frame with more of them is
+    joined by shuffling both sides.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def matching(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is listed; plain equality, so NULL keys never match."""
     return df.join(keys.select(*on), list(on), "left_semi")

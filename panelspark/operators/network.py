@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .grid import bounded_rows
-from .joins import not_matching, salted_join
+from .joins import not_matching, salted_join, small_side
 from ..functions.nulls import sum_strict
 from ..functions.numbers import percent_label
 from ..functions.periods import month_start
@@ -151,7 +151,7 @@ def _wide_coefficients(coefs: DataFrame, variables: Sequence[str]) -> DataFrame:
         F.max(F.when(F.col("variable") == v, F.col("coef"))).alias(f"__coef_{i}")
         for i, v in enumerate(variables)
     ]
-    return coefs.groupBy("disease").agg(*wide)
+    return small_side(coefs.groupBy("disease").agg(*wide))
 
 
 def _products(df: DataFrame, coefs: DataFrame, variables: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from .ingest import changed_rows, history_for
-from .joins import lookup_right, matching, not_matching
+from .joins import lookup_right, matching, not_matching, small_side
 from .rollup import single_country
 
 # Reasons for exclusion, in the order the checks run.
@@ -32,6 +32,7 @@ def clean_disease_names(
     known = names.select(
         spelled.alias("__name"), F.col("disease_standard").alias("__standard")
     ).distinct()
+    known = small_side(known)
     raw = df.withColumn("disease_name_uncleaned", F.col(disease))
     raw = raw.withColumn("__name", F.lower(F.trim("disease_name_uncleaned")))
     joined = raw.join(known, "__name", "left")
@@ -69,7 +70,7 @@ def split_unmodelled(
         single = F.col("disease_in_single_country")
         rejected = rejected.unionByName(_rejects(kept.filter(single), SINGLE_COUNTRY))
         kept = kept.filter(~single)
-    modelled = model_diseases.select("disease").distinct()
+    modelled = small_side(model_diseases.select("disease").distinct())
     outside = not_matching(kept, modelled, ["disease"])
     rejected = rejected.unionByName(_rejects(outside, NOT_IN_MODEL))
     return matching(kept, modelled, ["disease"]), rejected
@@ -102,7 +103,7 @@ def preprocess_events(
     else:
         if history is None:
             raise ValueError("an incremental run needs stored events")
-        touched = new.select(*KEY).distinct()
+        touched = small_side(new.select(*KEY).distinct())
         events = history_for(new, history, KEY).filter(~F.col("is_aquatic"))
 
     lookup, unrecognized = split_unrecognized(clean_disease_names(touched, names))

@@ -183,3 +183,13 @@ def test_salted_join_is_the_join(spark, rows):
         assert rows(salted_join(big, small, ["k"], 4, ["v"], how)) == rows(big.join(small, "k", how))
     with pytest.raises(ValueError):
         salted_join(big, small, ["k"], 4, ["v"], "full")
+
+
+def test_small_side_is_broadcast_only_up_to_its_limit(spark, rows):
+    from panelspark.operators.joins import small_side
+
+    df = spark.createDataFrame([(1, None), (2, "b"), (2, "b")], "k int, v string")
+    for limit in (1, 10):
+        assert rows(small_side(df.distinct(), limit)) == [(1, None), (2, "b")]
+    big = df.join(small_side(df.distinct(), 10), "k", "left_semi")
+    assert "BroadcastHashJoin" in big._jdf.queryExecution().executedPlan().toString()

@@ -132,3 +132,53 @@ def test_stream_upsert(spark, tmp_path, rows):
     (source / "2.json").write_text('{"id": 1, "v": 3, "at": 3}\n{"id": 2, "v": 9, "at": 1}\n')
     run()
     assert rows(tables.read("t")) == [(1, 3, 3), (2, 9, 1)]
+
+
+@pytest.fixture
+def parts(spark, tmp_path):
+    from panelspark.sources.partitioned import PartitionedTable
+
+    return PartitionedTable(spark, str(tmp_path / "big"), ["c", "id"], ["c"])
+
+
+def folder_files(parts, name):
+    import glob
+
+    return sorted(glob.glob(f"{parts.path}/data/c={name}/*.parquet"))
+
+
+def test_partitioned_upsert_rewrites_touched_folders_only(spark, parts, rows):
+    schema = "c string, id int, v double"
+    parts.upsert(spark.createDataFrame([("A", 1, 1.0), ("B", 1, 2.0), ("B", 2, 3.0)], schema))
+    before = folder_files(parts, "A")
+    new = spark.createDataFrame([("B", 2, 9, "n"), ("C", 1, 4, "n")], "c string, id int, v int, note string")
+    with pytest.raises(ValueError):
+        parts.upsert(new)
+    for _ in range(2):
+        out = parts.upsert(new, fill_missing=True)
+        assert rows(out, "c", "id", "v", "note") == [
+            ("A", 1, 1.0, None),
+            ("B", 1, 2.0, None),
+            ("B", 2, 9.0, "n"),
+            ("C", 1, 4.0, "n"),
+        ]
+    assert folder_files(parts, "A") == before
+    assert parts.upsert(new.limit(0), fill_missing=True).count() == 4
+    with pytest.raises(ValueError):
+        parts.upsert(new.unionByName(new), fill_missing=True)
+
+
+def test_partitioned_upsert_recovers(spark, parts, rows):
+    schema = "c string, id int, v double"
+    parts.upsert(spark.createDataFrame([("A", 1, 1.0), ("B", 1, 2.0)], schema))
+    # an upsert that died after completing its copy
+    done = spark.createDataFrame([("B", 1, 7.0)], schema)
+    done.write.parquet(f"{parts.path}/merged")
+    assert rows(parts.read(), "c", "v") == [("A", 1.0), ("B", 7.0)]
+
+
+def test_partition_columns_belong_to_the_key(spark, tmp_path):
+    from panelspark.sources.partitioned import PartitionedTable
+
+    with pytest.raises(ValueError):
+        PartitionedTable(spark, str(tmp_path), ["id"], ["c"])
