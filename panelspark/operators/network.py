@@ -95,22 +95,24 @@ def exposure(
     """Edge weights arriving at each destination from origins with an outbreak.
 
     Edges (origin, destination, year, weights) meet active origins on origin and
-    year only; the sums are combined on the map side before they are shuffled. The
-    joined rows are those of the by-origin table. ``salts`` spreads each origin's
-    disease months over that many tasks where one origin dominates.
+    year only; the joined rows are those of the by-origin table. Edges are made unique
+    first, which is cheap, so that the large by-origin rows need no grouping; totals
+    are combined on the map side before they are shuffled. ``salts`` spreads each
+    origin's disease months over that many tasks where one origin dominates.
     """
-    keys = ["country_destination", "disease", "month"]
-    if not aggregate_origins:
-        keys.append("country_origin")
     on = ["country_origin", "year"]
+    unique = edges.groupBy(*on, "country_destination").agg(
+        *[F.sum(w).alias(w + SUFFIX) for w in weights]
+    )
+    active = active_origins(status)
     if salts > 1:
-        met = salted_join(active_origins(status), edges, on, salts, ["disease", "month"])
+        met = salted_join(active, unique, on, salts, ["disease", "month"])
     else:
-        met = active_origins(status).join(edges, on)
-    sums = [F.sum(w).alias(w + SUFFIX) for w in weights]
-    return met.groupBy(*keys).agg(*sums).withColumnRenamed(
-        "country_destination", "country_iso3c"
-    )
+        met = active.join(unique, on)
+    met = met.withColumnRenamed("country_destination", "country_iso3c")
+    if not aggregate_origins:
+        return met.drop("year")
+    return met.groupBy(*CELL).agg(*[F.sum(w + SUFFIX).alias(w + SUFFIX) for w in weights])
 
 
 def augment(
