@@ -35,6 +35,7 @@ from panelspark.sources.files import (
     write_csv,
     write_partitioned,
 )
+from panelspark.sources.partitioned import PartitionedTable
 from panelspark.streaming.ingest import stream_upsert
 
 from .base import CELLS_SQL, predictions, query, reports
@@ -405,6 +406,32 @@ def sk2_upsert_table(d):
     return tables.upsert("orders", updates, ["o_orderkey"], fill_missing=True)
 
 
+@query(
+    "sk2_partitioned_upsert",
+    f"""SELECT m.*, CAST(extract(year FROM o.o_orderdate) AS INTEGER) AS year
+        FROM ({MERGE_SQL}) m JOIN orders o USING (o_orderkey)""",
+)
+def sk2_partitioned_upsert(d):
+    base, updates = base_and_updates(d)
+    years = d.orders.select("o_orderkey", F.year("o_orderdate").alias("year"))
+    table = PartitionedTable(d.spark, d.scratch(), ["year", "o_orderkey"], ["year"])
+    table.upsert(base.join(years, "o_orderkey"))
+    return table.upsert(updates.join(years, "o_orderkey"), fill_missing=True)
+
+
+@query(
+    "sk1_read_table",
+    "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
+)
+def sk1_read_table(d):
+    """Filter and column choice reach the stored files."""
+    tables = d.tables()
+    if tables.read_if_exists("orders") is None:
+        tables.overwrite(d.orders, "orders")
+    filled = tables.read("orders").filter("o_orderstatus = 'F'")
+    return filled.select("o_orderkey", "o_totalprice")
+
+
 @query(
     "sk3_overwrite",
     "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'",

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .joins import not_matching
+from .joins import not_matching, small_side
 
 
 def duplicated_reports(
@@ -25,8 +25,12 @@ def duplicated_reports(
 def drop_duplicated_reports(
     df: DataFrame, group: Sequence[str], report: str
 ) -> DataFrame:
-    """Remove every row of a report that repeats an earlier report of its group."""
-    return not_matching(df, duplicated_reports(df, group, report), [report])
+    """Remove every row of a report that repeats an earlier report of its group.
+
+    Repeated reports are rare, so the wide rows are normally filtered without a shuffle.
+    """
+    repeated = small_side(duplicated_reports(df, group, report))
+    return not_matching(df, repeated, [report])
 
 
 def first_per_key(

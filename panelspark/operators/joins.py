@@ -64,7 +64,7 @@ def not_matching(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame
 
 def enrich(df: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
     """Add lookup columns; exact duplicates in the lookup do not multiply rows."""
-    return df.join(lookup.distinct(), list(on), "left")
+    return df.join(small_side(lookup.distinct()), list(on), "left")
 
 
 def lookup_right(df: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -148,26 +148,23 @@ def scale(df: DataFrame, scaling: DataFrame, variables: Sequence[str]) -> DataFr
     )
 
 
-def _wide_coefficients(coefs: DataFrame, variables: Sequence[str]) -> DataFrame:
-    wide = [
-        F.max(F.when(F.col("variable") == v, F.col("coef"))).alias(f"__coef_{i}")
-        for i, v in enumerate(variables)
-    ]
-    return small_side(coefs.groupBy("disease").agg(*wide))
-
-
-def _products(df: DataFrame, coefs: DataFrame, variables: Sequence[str]) -> DataFrame:
-    """``__rel`` = sum of value times coefficient, NULL if any part is missing.
+def _linear(df: DataFrame, coefs: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """``__rel`` = sum of value times coefficient, NULL if any part is missing, and
+    ``__base`` = the disease's intercept.
 
     Coefficients are turned to one row per disease, so data rows are neither
     multiplied by the number of variables nor grouped again.
     """
-    joined = df.join(_wide_coefficients(coefs, variables), "disease", "left")
-    terms = [F.col(v) * F.col(f"__coef_{i}") for i, v in enumerate(variables)]
-    total = reduce(lambda a, b: a + b, terms)
-    return joined.withColumn("__rel", total).drop(
-        *[f"__coef_{i}" for i in range(len(variables))]
+    columns = {v: f"__coef_{i}" for i, v in enumerate(variables)}
+    wide = coefs.groupBy("disease").agg(
+        *[
+            F.max(F.when(F.col("variable") == v, F.col("coef"))).alias(c)
+            for v, c in {**columns, INTERCEPT: "__base"}.items()
+        ]
     )
+    joined = df.join(small_side(wide), "disease", "left")
+    total = reduce(lambda a, b: a + b, [F.col(v) * F.col(c) for v, c in columns.items()])
+    return joined.withColumn("__rel", total).drop(*columns.values())
 
 
 def logistic(x: Column) -> Column:
@@ -181,10 +178,7 @@ def score_logit(
     out: str = "predicted_outbreak_probability",
 ) -> DataFrame:
     """Outbreak probability from the disease's coefficients."""
-    base = coefs.filter(F.col("variable") == INTERCEPT).select(
-        "disease", F.col("coef").alias("__base")
-    )
-    linear = _products(df, coefs, variables).join(base, "disease", "left")
+    linear = _linear(df, coefs, variables)
     score = F.col("__rel") + F.coalesce("__base", F.lit(0.0))
     return linear.withColumn(out, logistic(score)).drop("__rel", "__base")
 
@@ -227,7 +221,7 @@ def relative_imports(
 ) -> DataFrame:
     """Strict sum over variables per destination, disease, month and origin."""
     known = by_origin.dropna(subset=["country_origin"])
-    scored = _products(known, coefs, variables)
+    scored = _linear(known, coefs, variables)
     return scored.groupBy(*CELL, "country_origin").agg(
         sum_strict("__rel").alias("country_rel_import")
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .grid import product, spread, with_values
-from .joins import not_matching, null_safe_join
+from .joins import not_matching, null_safe_join, small_side
 from ..functions.periods import half_index, index_semester, index_year
 
 UNREPORTED = "unreported"
@@ -236,7 +236,7 @@ def trade_panel(
         kept.alias("imputed_value"),
     )
     if lookup is not None:
-        panel = panel.join(lookup, "name", "left")
+        panel = panel.join(small_side(lookup), "name", "left")
     return panel.withColumn("source", F.lit(source))
 
 

@@ -109,10 +109,12 @@ def preprocess_events(
     lookup, unrecognized = split_unrecognized(clean_disease_names(touched, names))
     events = clean_disease_names(events, names).filter(F.col("disease").isNotNull())
 
-    processed = expand(events).join(taxa, "disease", "left")
+    # both lookups have a row per disease; joined by shuffling, a common disease would
+    # gather in one task
+    processed = expand(events).join(small_side(taxa), "disease", "left")
     on = [*KEY, "disease_name_uncleaned"]
     if full:
-        flags = single_country(processed)
+        flags = small_side(single_country(events))
         processed = processed.join(flags, "disease", "left")
     else:
         processed = lookup_right(processed, lookup, on)
