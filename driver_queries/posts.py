@@ -1,4 +1,4 @@
-"""Orders as news posts: suppliers' nations as places, part types as diseases."""
+"""Orders as news posts: a customer's nation and region as places."""
 
 from __future__ import annotations
 
@@ -7,103 +7,111 @@ from pyspark.sql import functions as F
 from panelspark.operators.posts import aggregate_posts, flatten_posts, post_facts
 from panelspark.plans.annual import update_posts
 
-from .base import nation_of, query
+from .base import query
 
 URL = "https://posts.example.org/?id="
 
 
 def posts(d):
-    """Nested posts, one per order; orders without lines have no lists."""
-    sellers = d.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    parts = d.part.select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
-    flag = F.col("l_returnflag")
+    """One nested post per order; every list is made from the order's own row."""
+    nations = d.nation.join(d.region.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
+    buyers = d.customer.select(
+        F.col("c_custkey").alias("o_custkey"),
+        F.col("c_nationkey").alias("n_nationkey"),
+        "c_mktsegment",
+        "c_acctbal",
+    )
+    headed = d.orders.join(buyers, "o_custkey").join(
+        nations.select("n_nationkey", "n_name", "r_name"), "n_nationkey"
+    )
+    priority, state = F.col("o_orderpriority"), F.col("o_orderstatus")
+    segment, day = F.col("c_mktsegment"), F.col("o_orderdate").cast("timestamp")
+    nothing = F.array().cast("array<string>")
+    no_list = F.lit(None).cast("array<string>")
+    urgent = priority == "1-URGENT"
+
     attributes = (
-        F.when(flag == "R", F.array(F.lit("case"), F.lit("confirmed")))
-        .when(flag == "A", F.array(F.lit("death")))
-        .otherwise(F.array().cast("array<string>"))
+        F.when(state == "F", F.array(F.lit("case"), F.lit("confirmed")))
+        .when(state == "O", F.array(F.lit("death")))
+        .otherwise(nothing)
+    )
+    size = F.floor(F.col("o_totalprice") / 10000).cast("int")
+    counts = F.array(
+        F.struct(attributes.alias("attributes"), size.alias("count")),
+        F.struct(F.array(F.lit("case")).alias("attributes"), F.lit(3).alias("count")),
     )
-    count = F.struct(
-        attributes.alias("attributes"), F.col("l_quantity").cast("int").alias("count")
+    later = F.date_add(F.col("o_orderdate").cast("date"), 200).cast("timestamp")
+    dates = F.array(
+        F.struct(F.array(day, later).alias("datetime_range")),
+        F.struct(F.array(day).alias("datetime_range")),
     )
-    ship = F.col("l_shipdate").cast("timestamp")
-    lines = d.lineitem.join(sellers, "l_suppkey").join(parts, "l_partkey")
-    lines = lines.join(nation_of(d, "s_nationkey", "n_name"), "s_nationkey")
-    # the lists hold the few lines of one order
-    lists = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.array_sort(F.collect_list(count)).alias("counts"),
-        F.array(
-            F.struct(F.array_sort(F.collect_list(ship)).alias("datetime_range"))
-        ).alias("dates"),
-        F.array_sort(F.collect_set("n_name")).alias("geonames"),
-        F.array_sort(F.collect_list("p_type")).alias("keywords_disease"),
-        F.array_sort(F.collect_set("p_brand")).alias("keywords_species"),
+    species = F.when(state == "F", F.array(F.lit("cattle"), F.lower(segment))).when(
+        state == "O", F.array(F.lit("swine"), F.lit("cattle"))
     )
-    buyers = d.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
-    urgent = F.col("o_orderpriority") == "1-URGENT"
-    headed = d.orders.join(buyers, "o_custkey").join(lists, "o_orderkey", "left")
     return headed.select(
         F.col("o_orderkey").cast("string").alias("post_id"),
-        F.when(~urgent, F.col("o_orderdate").cast("timestamp")).alias("post_date"),
+        F.when(~urgent, day).alias("post_date"),
         F.when(
-            F.col("o_orderstatus") != "P",
+            state != "P",
             F.struct(
-                F.col("o_orderpriority").alias("description"),
-                F.when(urgent, F.col("c_mktsegment")).alias("region"),
+                priority.alias("description"),
+                F.when(urgent, segment).alias("region"),
                 F.lit(None).cast("string").alias("additional_info"),
-                F.array("c_mktsegment").alias("disease_labels"),
+                F.array(segment).alias("disease_labels"),
             ),
         ).alias("subject"),
-        "counts",
-        "dates",
-        "geonames",
-        "keywords_disease",
-        "keywords_species",
-        F.when(F.col("o_orderstatus") != "O", F.array("c_mktsegment")).alias(
-            "subject_disease_labels"
-        ),
-        F.lit(None).cast("array<string>").alias("subject_geonames"),
-        F.lit(None).cast("array<string>").alias("subject_keywords_disease"),
-        F.col("keywords_species").alias("subject_keywords_species"),
+        F.when(priority != "3-MEDIUM", counts).alias("counts"),
+        F.when((priority != "4-NOT SPECIFIED") | (state != "P"), dates).alias("dates"),
+        F.when(F.col("c_acctbal") >= 0, F.array("n_name", "n_name", "r_name")).alias("geonames"),
+        F.when(priority != "5-LOW", F.array(priority, segment)).alias("keywords_disease"),
+        species.alias("keywords_species"),
+        F.when(state != "O", F.array(segment)).alias("subject_disease_labels"),
+        no_list.alias("subject_geonames"),
+        no_list.alias("subject_keywords_disease"),
+        species.alias("subject_keywords_species"),
     )
 
 
-LISTS_SQL = """
-brace AS (
-  SELECT l_orderkey,
-    '{' || string_agg(DISTINCT '"' || n_name || '"', ',' ORDER BY '"' || n_name || '"') || '}' AS geonames,
-    '{' || string_agg('"' || p_type || '"', ',' ORDER BY p_type) || '}' AS keywords_disease,
-    '{' || string_agg(DISTINCT '"' || p_brand || '"', ',' ORDER BY '"' || p_brand || '"') || '}'
-      AS keywords_species,
-    '[' || string_agg('{"attributes":' || CASE l_returnflag WHEN 'R' THEN '["case","confirmed"]'
-             WHEN 'A' THEN '["death"]' ELSE '[]' END || ',"count":'
-             || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '}', ','
-           ORDER BY CASE l_returnflag WHEN 'N' THEN 0 WHEN 'R' THEN 1 ELSE 2 END, l_quantity)
-      || ']' AS counts
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-  JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey)
+POSTS_SQL = """
+posts AS (
+  SELECT o_orderkey, o_orderdate, o_orderpriority AS priority, o_orderstatus AS state,
+         c_mktsegment AS segment, CAST(floor(o_totalprice / 10000) AS INTEGER) AS size,
+         CASE WHEN c_acctbal >= 0 THEN [n_name, n_name, r_name] END AS geonames,
+         CASE WHEN o_orderpriority <> '5-LOW' THEN [o_orderpriority, c_mktsegment] END AS keywords,
+         CASE o_orderstatus WHEN 'F' THEN ['cattle', lower(c_mktsegment)]
+                            WHEN 'O' THEN ['swine', 'cattle'] END AS species,
+         CASE WHEN o_orderstatus <> 'O' THEN [c_mktsegment] END AS labels
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  JOIN region ON n_regionkey = r_regionkey)
 """
 
+
+def brace(name: str) -> str:
+    return f"""coalesce('{{"' || array_to_string({name}, '","') || '"}}', '')"""
+
+
 FLAT_SQL = f"""
-WITH {LISTS_SQL}
+WITH {POSTS_SQL}
 SELECT CAST(o_orderkey AS VARCHAR) AS post_id, '{URL}' || CAST(o_orderkey AS VARCHAR) AS post_url,
-  CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority ELSE '' END AS subject_description,
-  CASE WHEN o_orderstatus <> 'P' AND o_orderpriority = '1-URGENT' THEN c_mktsegment ELSE '' END
-    AS subject_region,
+  CASE WHEN state <> 'P' THEN priority ELSE '' END AS subject_description,
+  CASE WHEN state <> 'P' AND priority = '1-URGENT' THEN segment ELSE '' END AS subject_region,
   '' AS subject_additional_info,
-  CASE WHEN o_orderstatus <> 'P' THEN '{{"' || c_mktsegment || '"}}' ELSE '' END
-    AS subject_disease_labels,
+  CASE WHEN state <> 'P' THEN '{{"' || segment || '"}}' ELSE '' END AS subject_disease_labels,
   '' AS subject_geonames, '' AS subject_keywords_disease,
-  coalesce(keywords_species, '') AS subject_keywords_species,
-  CASE WHEN o_orderpriority <> '1-URGENT' THEN strftime(o_orderdate, '%m/%d/%Y, %H:%M:%S') ELSE '' END
+  {brace("species")} AS subject_keywords_species,
+  CASE WHEN priority <> '1-URGENT' THEN strftime(o_orderdate, '%m/%d/%Y, %H:%M:%S') ELSE '' END
     AS post_date,
-  CASE WHEN o_orderpriority <> '1-URGENT' THEN CAST(extract(year FROM o_orderdate) AS INTEGER)
-       ELSE -1 END AS post_year,
-  CASE WHEN o_orderpriority = '1-URGENT' THEN -1
+  CASE WHEN priority <> '1-URGENT' THEN CAST(extract(year FROM o_orderdate) AS INTEGER) ELSE -1 END
+    AS post_year,
+  CASE WHEN priority = '1-URGENT' THEN -1
        WHEN extract(month FROM o_orderdate) < 7 THEN 1 ELSE 2 END AS post_semester,
-  coalesce(counts, '') AS counts, coalesce(keywords_disease, '') AS keywords_disease,
-  coalesce(keywords_species, '') AS keywords_species, coalesce(geonames, '') AS geonames,
-  '0.3' AS update_script_version
-FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN brace ON l_orderkey = o_orderkey
+  CASE WHEN priority = '3-MEDIUM' THEN '' ELSE
+    '[{{"attributes":' || CASE state WHEN 'F' THEN '["case","confirmed"]' WHEN 'O' THEN '["death"]'
+      ELSE '[]' END || ',"count":' || CAST(size AS VARCHAR)
+    || '}},{{"attributes":["case"],"count":3}}]' END AS counts,
+  {brace("keywords")} AS keywords_disease, {brace("species")} AS keywords_species,
+  {brace("geonames")} AS geonames, '0.3' AS update_script_version
+FROM posts
 """
 
 
@@ -114,44 +122,46 @@ def cx19_flatten_posts(d):
 
 @query("cx19_update_posts", FLAT_SQL)
 def cx19_update_posts(d):
-    """Posts stored by an older version are rewritten, current ones are skipped."""
+    """Posts of filled orders were stored by an older version and are rewritten; those
+    of pending ones are current and skipped."""
     tables = d.tables()
     nested = posts(d)
-    old = F.length("post_id") > 3
-    update_posts(tables, nested.filter(old), URL, "0.2")
+    filled = F.col("subject_disease_labels").isNotNull()
+    update_posts(tables, nested.filter(filled & F.col("subject").isNotNull()), URL, "0.2")
+    update_posts(tables, nested.filter(F.col("subject").isNull()), URL, "0.3")
     return update_posts(tables, nested, URL, "0.3")
 
 
 FACTS_SQL = """
-lines AS (SELECT l_orderkey, n_name, p_type, p_brand, l_returnflag, l_quantity,
-                 CAST(extract(year FROM l_shipdate) AS INTEGER) AS y
-          FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-          JOIN nation ON s_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey),
-diseases AS (SELECT DISTINCT l_orderkey, p_type AS disease_name FROM lines
-             UNION
-             SELECT o_orderkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey
-             WHERE o_orderstatus <> 'O'),
-places AS (SELECT DISTINCT l_orderkey, n_name AS disease_country FROM lines),
-years AS (SELECT DISTINCT l_orderkey, y AS disease_year FROM lines),
-cases AS (SELECT l_orderkey, CAST(coalesce(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity END), 0)
-                                  AS BIGINT) AS cases
-          FROM lines GROUP BY 1)
+facts AS (
+  SELECT o_orderkey, list_distinct(coalesce(labels, []) || coalesce(keywords, [])) AS diseases,
+         list_distinct(geonames) AS places,
+         list_distinct([CAST(extract(year FROM o_orderdate) AS INTEGER),
+                        CAST(extract(year FROM o_orderdate + INTERVAL 200 DAY) AS INTEGER)]) AS years,
+         species, CAST(CASE WHEN priority = '3-MEDIUM' THEN 0 ELSE
+                         3 + CASE WHEN state = 'F' THEN size ELSE 0 END END AS BIGINT) AS cases
+  FROM posts
+  WHERE (labels IS NOT NULL OR keywords IS NOT NULL) AND geonames IS NOT NULL
+    AND (priority <> '4-NOT SPECIFIED' OR state <> 'P'))
 """
 
 
 @query(
     "cx20_ag9_aggregate_posts",
-    f"""WITH {FACTS_SQL},
-    cells AS (SELECT disease_name, disease_country, disease_year, l_orderkey, cases
-              FROM diseases JOIN places USING (l_orderkey) JOIN years USING (l_orderkey)
-              JOIN cases USING (l_orderkey)),
-    species AS (SELECT disease_name, disease_country, disease_year,
-                       list_sort(list(DISTINCT p_brand)) AS disease_species
-                FROM cells JOIN lines USING (l_orderkey) GROUP BY ALL)
+    f"""WITH {POSTS_SQL}, {FACTS_SQL},
+    d AS (SELECT *, unnest(diseases) AS disease_name FROM facts),
+    p AS (SELECT *, unnest(places) AS disease_country FROM d),
+    cells AS (SELECT *, unnest(years) AS disease_year FROM p),
+    kinds AS (SELECT DISTINCT disease_name, disease_country, disease_year, kind
+              FROM (SELECT *, unnest(species) AS kind FROM cells)),
+    lists AS (SELECT disease_name, disease_country, disease_year,
+                     string_agg(kind, ',' ORDER BY kind) AS disease_species
+              FROM kinds GROUP BY ALL)
     SELECT disease_name, disease_country, disease_year, count(*) AS n_posts,
-           CAST(sum(cases) AS BIGINT) AS n_cases,
-           array_to_string(any_value(disease_species), ',') AS disease_species
-    FROM cells JOIN species USING (disease_name, disease_country, disease_year) GROUP BY ALL""",
+           CAST(sum(cases) AS BIGINT) AS n_cases, coalesce(any_value(disease_species), '')
+             AS disease_species
+    FROM cells LEFT JOIN lists USING (disease_name, disease_country, disease_year)
+    GROUP BY ALL""",
 )
 def cx20_ag9_aggregate_posts(d):
     out = aggregate_posts(posts(d))
@@ -160,13 +170,10 @@ def cx20_ag9_aggregate_posts(d):
 
 @query(
     "sc13_post_facts",
-    f"""WITH {FACTS_SQL}
-    SELECT CAST(l_orderkey AS VARCHAR) AS post_id, nd AS n_diseases, np AS n_places, ny AS n_years,
-           cases
-    FROM (SELECT l_orderkey, count(*) AS nd FROM diseases GROUP BY 1)
-    JOIN (SELECT l_orderkey, count(*) AS np FROM places GROUP BY 1) USING (l_orderkey)
-    JOIN (SELECT l_orderkey, count(*) AS ny FROM years GROUP BY 1) USING (l_orderkey)
-    JOIN cases USING (l_orderkey)""",
+    f"""WITH {POSTS_SQL}, {FACTS_SQL}
+    SELECT CAST(o_orderkey AS VARCHAR) AS post_id, len(diseases) AS n_diseases,
+           len(places) AS n_places, len(years) AS n_years, cases
+    FROM facts""",
 )
 def sc13_post_facts(d):
     return post_facts(posts(d)).select(

@@ -12,6 +12,7 @@ from panelspark.operators.qa import (
     field_check,
     drop_empty_cols,
     ingestion_errors,
+    known_counts,
     missing_first_report,
     new_above_total,
     outbreaks_by_period_check,
@@ -469,14 +470,32 @@ def ag11_single_country(d):
 
 @query(
     "sk12_schema_table",
-    """SELECT table_name, column_name, ordinal_position FROM (VALUES
-         ('region', 'r_regionkey', 1), ('region', 'r_name', 2), ('nation', 'n_nationkey', 1),
-         ('nation', 'n_name', 2), ('nation', 'n_regionkey', 3))
-       AS t(table_name, column_name, ordinal_position)""",
+    f"""WITH {LABELLED_SQL},
+    orders_known AS (SELECT count(o_orderkey) AS o_orderkey, count(o_orderstatus) AS o_orderstatus
+                     FROM orders),
+    labelled_known AS (SELECT count(lang) AS lang, count(toxic) AS toxic FROM labelled)
+    SELECT 'orders' AS table_name, unnest(['o_orderkey', 'o_orderstatus']) AS column_name,
+           unnest([1, 2]) AS ordinal_position, unnest(['bigint', 'string']) AS data_type,
+           unnest([o_orderkey, o_orderstatus]) AS n_known
+    FROM orders_known
+    UNION ALL
+    SELECT 'labelled', unnest(['lang', 'toxic']), unnest([1, 2]), unnest(['string', 'int']),
+           unnest([lang, toxic])
+    FROM labelled_known""",
 )
 def sk12_schema_table(d):
-    found = schema_table({"region": d.region, "nation": d.nation})
-    return found.select("table_name", "column_name", "ordinal_position")
+    """Columns of two tables with the number of known values in each."""
+    frames = {
+        "orders": d.orders.select("o_orderkey", "o_orderstatus"),
+        "labelled": labelled(d).select("lang", "toxic"),
+    }
+    counts = None
+    for name, df in frames.items():
+        long = known_counts(df).unpivot([], df.columns, "column_name", "n_known")
+        long = long.withColumn("table_name", F.lit(name))
+        counts = long if counts is None else counts.unionByName(long)
+    out = schema_table(frames).join(counts, ["table_name", "column_name"])
+    return out.drop("is_nullable")
 
 
 @query(
@@ -498,7 +517,9 @@ def sk12_drop_empty_cols(d):
        AS t(table_name, column_name, problem)""",
 )
 def sk13_field_check(d):
+    """Columns of nations that hold a value, against those a region should have."""
+    held = drop_empty_cols(d.nation.withColumn("n_comment", F.lit(None).cast("string")))
     wanted = d.region.withColumn("n_regionkey", F.lit(0))
     return field_check(
-        schema_table({"nation": d.nation}), schema_table({"nation": wanted})
+        schema_table({"nation": held}), schema_table({"nation": wanted})
     )

@@ -63,9 +63,12 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     """Hash a small key frame over all cores before it is expanded.
 
     The explicit number keeps adaptive execution from merging the still small
-    partitions, which would leave the whole expansion to one task.
+    partitions, and hashing an expression keeps Spark from dropping the step where the
+    frame is partitioned by the same columns already; either would leave the whole
+    expansion to few tasks.
     """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *cols)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, F.xxhash64(*cols))
 
 
 def ordered_pairs(

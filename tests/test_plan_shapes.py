@@ -62,3 +62,10 @@ def test_query_pushes_filters_and_prunes_columns(spark):
 def test_aggregates_combine_before_the_shuffle(spark):
     assert "partial_sum" in plan(spark, "ag4_rollup_cells")
     assert "partial_min" in plan(spark, "wn3_drop_all_duplicates")
+
+
+@pytest.mark.parametrize("name", ["cx1_yearly_panel", "se5_append_absent", "wn4_interpolate"])
+def test_key_frames_are_spread_before_they_are_expanded(spark, name):
+    text = plan(spark, name)
+    expansions = [m.start() for m in re.finditer(r"Generate (inline|explode)", text)]
+    assert expansions and text.index("REPARTITION_BY_NUM") > expansions[0]
