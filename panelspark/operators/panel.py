@@ -26,7 +26,7 @@ def _straight_line(var: Column, pos: Column, before: Column, after: Column) -> C
 
 
 def interpolate(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], var: str
+    df: DataFrame, by: Sequence[str], order: str | Sequence[str], var: str
 ) -> DataFrame:
     """Fill gaps of ``var`` along each series, linearly by row position.
 
@@ -35,6 +35,7 @@ def interpolate(
     panel's time axis, so one series always fits one task; use
     :func:`interpolate_long` for series without that bound.
     """
+    order = [order] if isinstance(order, str) else list(order)
     series = Window.partitionBy(*by).orderBy(*order)
     value = F.col(var).cast("double")
     known = F.when(
@@ -144,13 +145,14 @@ def yearly_panel(
     grid: DataFrame,
     by: Sequence[str],
     var: str,
-    source: str,
+    source: str | None = None,
     time: Sequence[str] = ("year",),
 ) -> DataFrame:
-    """Complete panel of one variable with gaps interpolated and the source named."""
+    """Complete panel of one variable, gaps interpolated, the source named if given."""
     keys = [*by, *time]
     filled = fill_grid(data.select(*keys, var), grid.select(*keys), keys)
-    return interpolate(filled, by, time, var).withColumn("source", F.lit(source))
+    out = interpolate(filled, by, time, var)
+    return out if source is None else out.withColumn("source", F.lit(source))
 
 
 def static_panel(

@@ -88,11 +88,13 @@ def score(
 ) -> DataFrame:
     """Score changed rows, or everything after a model change, and store the results.
 
-    ``history`` is the event table as it was before ``new_events`` were stored.
+    ``history`` is the event table as it was before ``new_events`` were stored. Without
+    new events all of it is scored again, which is the monthly run that carries open
+    outbreaks on to the current month.
     """
     cached = tables.read_if_exists(PREDICTIONS)
     if full is None:
-        full = run_mode(cached, TAG, tag) == FULL
+        full = new_events is None or run_mode(cached, TAG, tag) == FULL
     variables = [f"{w}_from_outbreaks" for w in weights]
 
     def expand(events: DataFrame) -> DataFrame:

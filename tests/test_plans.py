@@ -92,6 +92,7 @@ def test_outbreak_run_end_to_end(spark, tables, rows):
     done = outbreak.ingest(tables, listing, responses, parsed, "u/")
     assert done is None
     everything = history.unionByName(later)
+    assert score(None, everything, "v1").count() == 6  # the monthly run
     assert score(None, everything, "v2").filter("model_tag = 'v2'").count() == 6
 
 
