@@ -44,9 +44,10 @@ class PartitionedTable:
         return self._has(f"{self.path}/data")
 
     def _load(self) -> DataFrame:
-        # files written before a column was added lack it
-        reader = self.spark.read.option("mergeSchema", "true")
-        return reader.parquet(f"{self.path}/data")
+        # the kept schema spares reading every file's; files written before a column
+        # was added read it as NULL
+        schema = self.spark.read.parquet(f"{self.path}/schema").schema
+        return self.spark.read.schema(schema).parquet(f"{self.path}/data")
 
     def read(self) -> DataFrame:
         self.recover()
@@ -59,6 +60,7 @@ class PartitionedTable:
 
     def _apply(self) -> None:
         merged = self.spark.read.parquet(f"{self.path}/merged")
+        merged.limit(0).write.mode("overwrite").parquet(f"{self.path}/schema")
         writer = merged.hint("rebalance", *self.by).write.mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").partitionBy(*self.by).parquet(
             f"{self.path}/data"
