@@ -67,3 +67,37 @@ def sharding(spark, folder):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+# -- 5 and 6: tokens -----------------------------------------------------------------
+
+from .pieces import encode_documents  # noqa: E402
+from .token_counts import count_tokens  # noqa: E402
+
+
+def tokenizer(name: str) -> str:
+    """Place of a public vocabulary file; all machines have the same installation."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op5_token_counts")
+def token_counts(spark, folder):
+    file = tokenizer("word_bpe_49k.json")
+    return count_tokens(table(spark, folder, "documents"), file, 2048, drops_space=True)
+
+
+def piece_digests(docs: DataFrame) -> DataFrame:
+    coded = encode_documents(docs, tokenizer("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op6_pieces")
+def pieces(spark, folder):
+    return piece_digests(table(spark, folder, "documents"))
