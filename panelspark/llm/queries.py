@@ -101,3 +101,53 @@ def piece_digests(docs: DataFrame) -> DataFrame:
 @query("op6_pieces")
 def pieces(spark, folder):
     return piece_digests(table(spark, folder, "documents"))
+
+
+# -- 2: benchmark decontamination ----------------------------------------------------
+
+from .decontamination import find_matches  # noqa: E402
+
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TEST_WORDS = (
+    f"coalesce(regexp_extract_all({LOWER.format('text')},"
+    r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+)
+
+
+@query(
+    "op2_decontamination",
+    f"""
+    WITH d AS (SELECT doc_id, {TEST_WORDS} AS w FROM documents),
+    b AS (SELECT item_id, w, least(10, len(w)) AS l
+          FROM (SELECT item_id, {TEST_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+    windows AS (
+      SELECT DISTINCT item_id, l, array_to_string(w[i:i + l - 1], ' ') AS g
+      FROM (SELECT item_id, l, w, unnest(range(1, len(w) - l + 2)) AS i FROM b)),
+    grams AS (
+      SELECT doc_id, l, i, array_to_string(w[i:i + l - 1], ' ') AS g
+      FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS i
+            FROM d, (SELECT DISTINCT l FROM b) WHERE len(w) >= l)),
+    m AS (SELECT doc_id, item_id, l, i FROM grams JOIN windows USING (l, g)),
+    hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM m) GROUP BY 1),
+    found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                     string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+              FROM m GROUP BY 1)
+    SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+           n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+    """,
+)
+def decontamination(spark, folder):
+    found = find_matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    ids = F.array_sort(F.transform("items", lambda m: m["item"]))
+    hits = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["first"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        hits.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
