@@ -151,3 +151,47 @@ def decontamination(spark, folder):
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
     )
+
+
+# -- 9: near duplicates --------------------------------------------------------------
+
+from .near_dedup import label_near_duplicates  # noqa: E402
+
+
+@query(
+    "op9_near_dedup",
+    f"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, list_filter(
+        regexp_split_to_array({LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'),
+        lambda x: x <> '') AS w
+      FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    classes AS (
+      SELECT doc_id, min(doc_id) OVER (PARTITION BY array_to_string(w, ' ')) AS c
+      FROM d WHERE len(w) > 0),
+    reps AS (SELECT s.* FROM s JOIN classes USING (doc_id) WHERE doc_id = c),
+    pairs AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+      FROM reps a JOIN reps b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    links AS (
+      SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * k >= 75 * (x.n + y.n - k)),
+    both AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reach(node, low) AS (
+      SELECT DISTINCT a, a FROM both
+      UNION
+      SELECT b, low FROM reach JOIN both ON a = node),
+    label AS (SELECT node, min(low) AS low FROM reach GROUP BY 1)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles,
+           coalesce(label.low, c, d.doc_id) AS component_id,
+           d.doc_id = coalesce(label.low, c, d.doc_id) AS kept
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN classes USING (doc_id)
+    LEFT JOIN label ON label.node = c
+    """,
+)
+def near_dedup(spark, folder):
+    return label_near_duplicates(table(spark, folder, "documents"))
