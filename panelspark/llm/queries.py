@@ -180,11 +180,11 @@ from .near_dedup import label_near_duplicates  # noqa: E402
     links AS (
       SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
       WHERE 100 * k >= 75 * (x.n + y.n - k)),
-    both AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
     reach(node, low) AS (
-      SELECT DISTINCT a, a FROM both
+      SELECT DISTINCT a, a FROM ways
       UNION
-      SELECT b, low FROM reach JOIN both ON a = node),
+      SELECT b, low FROM reach JOIN ways ON a = node),
     label AS (SELECT node, min(low) AS low FROM reach GROUP BY 1)
     SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles,
            coalesce(label.low, c, d.doc_id) AS component_id,
@@ -195,3 +195,13 @@ from .near_dedup import label_near_duplicates  # noqa: E402
 )
 def near_dedup(spark, folder):
     return label_near_duplicates(table(spark, folder, "documents"))
+
+
+# -- 1: language ---------------------------------------------------------------------
+
+from .language import identify  # noqa: E402
+
+
+@query("op1_language")
+def language(spark, folder):
+    return identify(table(spark, folder, "documents"))
