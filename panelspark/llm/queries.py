@@ -248,3 +248,28 @@ def chat(spark, folder):
         F.sha2("b.loss", 256).alias("loss_sha256"),
         F.length("text").cast("long").alias("formatted_chars"),
     )
+
+
+# -- 3 and 8: secrets and licenses ---------------------------------------------------
+
+from .license_scan import scan_licenses  # noqa: E402
+from .secret_scan import fit, labelled_texts, scan  # noqa: E402
+
+
+@query("op3_secret_scan")
+def secret_scan(spark, folder):
+    docs = table(spark, folder, "documents")
+    return scan(docs, fit(labelled_texts(docs)))
+
+
+@query("op8_license_scan")
+def license_scan(spark, folder):
+    found = scan_licenses(table(spark, folder, "documents"))
+    names = F.array_sort(F.array_distinct(F.transform("found", lambda f: f["license"])))
+    return found.select(
+        "doc_id",
+        F.size("found").cast("long").alias("n_found"),
+        F.array_join(names, ",").alias("licenses"),
+        F.array_max(F.transform("found", lambda f: F.round(f["coverage"], 6))).alias("coverage"),
+        F.to_json("found").alias("found"),
+    )
