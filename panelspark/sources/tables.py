@@ -1,18 +1,23 @@
 """Named tables kept as versioned Parquet directories.
 
-A version is written completely, checked, and only then made visible by creating one
-marker file, which every supported file system does atomically. Readers take the
-newest marked version, so a lost executor or driver never leaves a half-written table.
+A version is written completely to a folder of its own, checked, and only then made
+visible by its pointer (:mod:`.pointers`). Readers take the newest version, so a lost
+executor or driver never leaves a half-written table. A writer that started from a
+version that is no longer the newest merges again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dedupe import require_unique
 from ..operators.upsert import merge
+from .pointers import Conflict, Pointers
+
+ATTEMPTS = 10
 
 
 class Tables:
@@ -20,39 +25,25 @@ class Tables:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # -- file system -------------------------------------------------------------
-    def _path(self, *parts: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return path.getFileSystem(conf), path
-
-    def _children(self, *parts: str) -> list[str]:
-        fs, path = self._path(*parts)
-        if not fs.exists(path):
-            return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(path))
-
-    def _remove(self, *parts: str) -> None:
-        fs, path = self._path(*parts)
-        fs.delete(path, True)
+    def _pointers(self, name: str) -> Pointers:
+        return Pointers(self.spark, f"{self.root}/{name}/_published")
 
     def names(self) -> list[str]:
-        return [n for n in self._children() if self.versions(n)]
+        return [n for n in self._pointers("").children(self.root) if self.versions(n)]
 
     def versions(self, name: str) -> list[int]:
-        marks = self._children(name, "_published")
-        return sorted(int(m.removeprefix("v=")) for m in marks if m.startswith("v="))
+        return self._pointers(name).versions()
 
     def exists(self, name: str) -> bool:
         return bool(self.versions(name))
 
     # -- reading -----------------------------------------------------------------
     def read(self, name: str, version: int | None = None) -> DataFrame:
-        versions = self.versions(name)
-        if not versions:
+        pointers = self._pointers(name)
+        chosen = pointers.newest() if version is None else version
+        if not chosen:
             raise ValueError(f"no table {name!r} under {self.root}")
-        chosen = versions[-1] if version is None else version
-        return self.spark.read.parquet(f"{self.root}/{name}/v={chosen}")
+        return self.spark.read.parquet(f"{self.root}/{name}/{pointers.read(chosen)}")
 
     def read_if_exists(self, name: str) -> DataFrame | None:
         return self.read(name) if self.exists(name) else None
@@ -62,38 +53,63 @@ class Tables:
         self,
         df: DataFrame,
         name: str,
+        base: int,
         min_rows: int = 0,
         partition_by: Sequence[str] = (),
+        unique: Sequence[str] = (),
+        nullable_keys: bool = False,
     ) -> int:
-        written = self._children(name)
-        used = [int(c.removeprefix("v=")) for c in written if c.startswith("v=")]
-        version = max(used, default=0) + 1
-        path = f"{self.root}/{name}/v={version}"
+        """Write, check and publish the version after ``base``."""
+        folder = f"data-{uuid.uuid4().hex}"
+        path = f"{self.root}/{name}/{folder}"
+        pointers = self._pointers(name)
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
-        if min_rows:
-            found = self.spark.read.schema(df.schema).parquet(path).count()
-            if found < min_rows:
+        try:
+            writer.parquet(path)
+            written = self.spark.read.schema(df.schema).parquet(path)
+            if min_rows and (found := written.count()) < min_rows:
                 raise ValueError(f"{name}: {found} rows, at least {min_rows} needed")
-        fs, mark = self._path(name, "_published", f"v={version}")
-        fs.create(mark, False).close()
-        return version
+            if unique:
+                require_unique(written, unique, nullable_keys)
+            pointers.publish(base + 1, folder)
+        except Exception:
+            pointers.remove(path)
+            raise
+        return base + 1
+
+    def _replace(self, df: DataFrame, name: str, **options) -> DataFrame:
+        for attempt in range(ATTEMPTS):
+            try:
+                version = self._write(df, name, self._pointers(name).newest(), **options)
+                return self.read(name, version)
+            except Conflict:
+                if attempt + 1 == ATTEMPTS:
+                    raise
+        raise AssertionError
 
     def overwrite(
-        self, df: DataFrame, name: str, partition_by: Sequence[str] = ()
+        self,
+        df: DataFrame,
+        name: str,
+        partition_by: Sequence[str] = (),
+        unique: Sequence[str] = (),
+        nullable_keys: bool = False,
     ) -> DataFrame:
-        """Replace the table; also the full refresh after a model change."""
-        self._write(df, name, partition_by=partition_by)
-        return self.read(name)
+        """Replace the table; also the full refresh after a model change.
+
+        A version in which ``unique`` columns repeat is not published.
+        """
+        return self._replace(
+            df, name, partition_by=partition_by, unique=unique, nullable_keys=nullable_keys
+        )
 
     def publish_snapshot(
         self, df: DataFrame, name: str, min_rows: int = 1
     ) -> DataFrame:
         """Replace the table only if the written copy is large enough."""
-        self._write(df, name, min_rows=min_rows)
-        return self.read(name)
+        return self._replace(df, name, min_rows=min_rows)
 
     def upsert(
         self,
@@ -102,38 +118,53 @@ class Tables:
         keys: Sequence[str],
         fill_missing: bool = False,
         one_row_per_key: bool = True,
+        nullable_keys: bool = False,
     ) -> DataFrame | None:
         """Insert new keys and replace known ones with the whole incoming row.
 
         Nothing happens without rows. The updates are written once to a staging
         folder, so the checks and the merge read the same stored rows. With
-        ``one_row_per_key=False`` all rows of a key are replaced together.
+        ``one_row_per_key=False`` all rows of a key are replaced together; with
+        ``nullable_keys`` a missing part of a key is a value. If another writer has
+        published meanwhile, the updates are merged into its version.
         """
         if updates is None:
             return self.read_if_exists(name)
-        staging = f"{name}/_staged/v={max(self.versions(name), default=0) + 1}"
-        path = f"{self.root}/{staging}"
-        updates.write.mode("overwrite").parquet(path)
+        pointers = self._pointers(name)
+        path = f"{self.root}/{name}/_staged-{uuid.uuid4().hex}"
+        updates.write.parquet(path)
         staged = self.spark.read.schema(updates.schema).parquet(path)
         try:
             if not staged.head(1):
                 return self.read_if_exists(name)
             if one_row_per_key:
-                require_unique(staged, keys)
-            known = self.read_if_exists(name)
-            merged = staged if known is None else merge(known, staged, keys, fill_missing)
-            self._write(merged, name)
+                require_unique(staged, keys, nullable_keys)
+            for attempt in range(ATTEMPTS):
+                base = pointers.newest()
+                merged = (
+                    merge(self.read(name, base), staged, keys, fill_missing) if base else staged
+                )
+                try:
+                    return self.read(name, self._write(merged, name, base))
+                except Conflict:
+                    if attempt + 1 == ATTEMPTS:
+                        raise
         finally:
-            self._remove(staging)
-        return self.read(name)
+            pointers.remove(path)
+
+    def drop(self, name: str) -> None:
+        """Remove a table with all its versions."""
+        self._pointers(name).remove(f"{self.root}/{name}")
 
     def prune(self, name: str, keep: int = 2) -> None:
         """Drop all but the newest ``keep`` published versions."""
         if keep < 1:
             raise ValueError("at least one version must be kept")
-        for version in self.versions(name)[:-keep]:
-            self._remove(name, "_published", f"v={version}")
-            self._remove(name, f"v={version}")
+        pointers = self._pointers(name)
+        for version in pointers.versions()[:-keep]:
+            folder = pointers.read(version)
+            pointers.remove(f"{pointers.path}/v={version}")
+            pointers.remove(f"{self.root}/{name}/{folder}")
 
 
 def read_path(spark: SparkSession, path: str, *columns: str) -> DataFrame:

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from panelspark.operators.upsert import merge
 from panelspark.sources import files
+from panelspark.sources.pointers import Conflict
 from panelspark.sources.tables import Tables, read_path
 
 
@@ -33,7 +34,7 @@ def test_upsert_creates_replaces_and_is_idempotent(spark, base, tables, rows):
     before = tables.versions("t")
     tables.upsert("t", new.limit(0), ["id"])
     assert tables.versions("t") == before
-    assert "_staged" not in str(tables._children("t", "_staged"))
+    assert not [c for c in tables._pointers("t").children(f"{tables.root}/t") if "_staged" in c]
 
 
 def test_upsert_refuses_bad_keys(spark, base, tables, rows):
@@ -50,10 +51,53 @@ def test_upsert_refuses_bad_keys(spark, base, tables, rows):
 
 def test_an_unfinished_version_is_not_seen(spark, base, tables, rows):
     tables.overwrite(base, "t")
-    base.limit(1).write.parquet(f"{tables.root}/t/v=7")  # a writer that died
+    base.limit(1).write.parquet(f"{tables.root}/t/data-dead")  # a writer that died
     assert rows(tables.read("t")) == rows(base)
     tables.overwrite(base.limit(1), "t")
-    assert tables.versions("t")[-1] == 8 and tables.read("t").count() == 1
+    assert tables.versions("t")[-1] == 2 and tables.read("t").count() == 1
+
+
+def test_a_version_is_published_once(spark, base, tables):
+    tables.overwrite(base, "t")
+    with pytest.raises(Conflict):
+        tables._write(base.limit(1), "t", 0)
+    assert tables.read("t").count() == 2
+    left = [c for c in tables._pointers("t").children(f"{tables.root}/t") if c.startswith("data")]
+    assert len(left) == 1  # the loser leaves nothing behind
+
+
+def test_two_upserts_from_one_base_are_both_kept(spark, base, tables, rows, monkeypatch):
+    tables.upsert("t", base, ["id"])
+    other = Tables(spark, tables.root)
+    write, late = Tables._write, []
+
+    def overtaken(self, df, name, at, **options):
+        if not late:  # the other writer publishes between our merge and our pointer
+            late.append(1)
+            other.upsert("t", spark.createDataFrame([(8, "other", 8.0)], base.schema), ["id"])
+        return write(self, df, name, at, **options)
+
+    monkeypatch.setattr(Tables, "_write", overtaken)
+    got = tables.upsert("t", spark.createDataFrame([(9, "mine", 9.0)], base.schema), ["id"])
+    assert rows(got, "id") == [(1,), (2,), (8,), (9,)] and tables.versions("t") == [1, 2, 3]
+
+
+def test_a_bad_version_is_never_visible(spark, base, tables):
+    tables.overwrite(base, "t")
+    with pytest.raises(ValueError, match="not unique"):
+        tables.overwrite(base.unionByName(base), "t", unique=["id"])
+    assert tables.versions("t") == [1] and tables.read("t").count() == 2
+
+
+def test_keys_with_missing_parts(spark, tables, rows):
+    schema = "a int, b string, v int"
+    df = spark.createDataFrame([(1, None, 1), (12, "3", 2), (1, "23", 3)], schema)
+    tables.upsert("t", df, ["a", "b"], nullable_keys=True)
+    new = spark.createDataFrame([(1, None, 9)], schema)
+    got = tables.upsert("t", new, ["a", "b"], nullable_keys=True)
+    assert rows(got) == [(1, "23", 3), (1, None, 9), (12, "3", 2)]
+    with pytest.raises(ValueError):
+        tables.upsert("t", new.unionByName(new), ["a", "b"], nullable_keys=True)
 
 
 def test_snapshot_guard_and_prune(spark, base, tables):
@@ -144,7 +188,7 @@ def parts(spark, tmp_path):
 def folder_files(parts, name):
     import glob
 
-    return sorted(glob.glob(f"{parts.path}/data/c={name}/*.parquet"))
+    return sorted(glob.glob(f"{parts.path}/data/c={name}/*/*.parquet"))
 
 
 def test_partitioned_upsert_rewrites_touched_folders_only(spark, parts, rows):
@@ -168,13 +212,60 @@ def test_partitioned_upsert_rewrites_touched_folders_only(spark, parts, rows):
         parts.upsert(new.unionByName(new), fill_missing=True)
 
 
-def test_partitioned_upsert_recovers(spark, parts, rows):
+def test_readers_see_whole_versions_and_never_write(spark, parts, rows, monkeypatch):
+    from panelspark.sources.pointers import Pointers
+
     schema = "c string, id int, v double"
     parts.upsert(spark.createDataFrame([("A", 1, 1.0), ("B", 1, 2.0)], schema))
-    # an upsert that died after completing its copy
-    done = spark.createDataFrame([("B", 1, 7.0)], schema)
-    done.write.parquet(f"{parts.path}/merged")
-    assert rows(parts.read(), "c", "v") == [("A", 1.0), ("B", 7.0)]
+    seen, publish = [], Pointers.publish
+
+    def watched(self, version, content):
+        seen.append(rows(parts.read(), "c", "v"))  # all folders are in place, unpublished
+        publish(self, version, content)
+
+    monkeypatch.setattr(Pointers, "publish", watched)
+    parts.upsert(spark.createDataFrame([("A", 1, 7.0), ("B", 1, 8.0)], schema))
+    assert seen == [[("A", 1.0), ("B", 2.0)]]
+    assert rows(parts.read(), "c", "v") == [("A", 7.0), ("B", 8.0)]
+
+    def fails(self, version, content):
+        raise OSError("driver lost")
+
+    monkeypatch.setattr(Pointers, "publish", fails)
+    with pytest.raises(OSError):
+        parts.upsert(spark.createDataFrame([("A", 1, 9.0)], schema))
+    assert rows(parts.read(), "c", "v") == [("A", 7.0), ("B", 8.0)]
+    monkeypatch.undo()
+    parts.prune()
+    assert len(folder_files(parts, "A")) == 1 and rows(parts.read(), "v") == [(7.0,), (8.0,)]
+
+
+def test_partitioned_upserts_from_one_base_are_both_kept(spark, parts, rows, monkeypatch):
+    from panelspark.sources.pointers import Pointers
+
+    schema = "c string, id int, v double"
+    parts.upsert(spark.createDataFrame([("A", 1, 1.0)], schema))
+    late, publish = [], Pointers.publish
+
+    def overtaken(self, version, content):
+        if not late:
+            late.append(1)
+            parts.upsert(spark.createDataFrame([("A", 2, 2.0)], schema))
+        publish(self, version, content)
+
+    monkeypatch.setattr(Pointers, "publish", overtaken)
+    got = parts.upsert(spark.createDataFrame([("A", 3, 3.0)], schema))
+    assert rows(got, "id") == [(1,), (2,), (3,)]
+
+
+def test_upsert_over_many_folders(spark, tmp_path):
+    from panelspark.sources.partitioned import PartitionedTable
+
+    table = PartitionedTable(spark, str(tmp_path / "many"), ["c", "id"], ["c"])
+    df = spark.range(300).select(F.col("id").alias("c"), F.lit(1).alias("id"), F.lit(0).alias("v"))
+    table.upsert(df.repartition(2, "c"))
+    got = table.upsert(df.withColumn("v", F.lit(1)).repartition(2, "c"))
+    assert got.agg(F.sum("v"), F.count("v")).first() == (300, 300)
 
 
 def test_partition_columns_belong_to_the_key(spark, tmp_path):
