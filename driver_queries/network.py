@@ -11,6 +11,7 @@ from panelspark.operators.network import (
     augment,
     basemap_status,
     coefficient_table,
+    export_weights,
     import_weights,
     month_status,
     predictions_by_origin,
@@ -27,6 +28,7 @@ from panelspark.operators.quarantine import (
     split_unrecognized,
 )
 from panelspark.operators.rollup import single_country
+from panelspark.plans import outbreak
 
 from .base import FLOWS_SQL, flows, nation_of, query, reports
 
@@ -137,11 +139,12 @@ augmented AS (SELECT p.*, coalesce(shared_borders_from_outbreaks, 0) AS shared_b
 NETWORK_SQL = f"{FLOWS_SQL}, {NATION_EVENTS_SQL}, {MONTHS_SQL}, {FULL_STATUS_SQL}, {EDGES_SQL}"
 
 
-def nation_events(d):
+def nation_events(d, *more):
     day = F.col("o_orderdate").cast("date")
     state = F.col("disease_population")
     days = F.when(state == "F", 0).when(state == "O", 20).otherwise(40)
     return reports(d).select(
+        *more,
         "country_iso3c",
         F.concat("disease", F.lit("_"), F.substring("taxa", 1, 1)).alias("disease"),
         day.alias("start_date"),
@@ -705,3 +708,124 @@ def jn2_salted_join(d):
     out = salted_join(named, nation_of(d, "c_nationkey", "n_name"), ["c_nationkey"], 16,
                       ["o_orderkey"])
     return out.select("o_orderkey", "o_orderpriority", "c_mktsegment", "n_name")
+
+
+# -- whole scoring runs --------------------------------------------------------------
+
+# Every 199th report is first known as still open and corrected later.
+MODELLED_SQL = f"""
+{NETWORK_SQL}, {MODEL_SQL},
+stored AS (SELECT * FROM scored SEMI JOIN coefs USING (disease))
+"""
+
+
+def numbered_events(d):
+    events = nation_events(d, F.col("o_orderkey").alias("report_id"))
+    return events.withColumn("is_aquatic", F.lit(False))
+
+
+def run_scores(d, tables, new, history):
+    every = reports(d).select(
+        F.concat("disease", F.lit("_"), F.substring("taxa", 1, 1)).alias("disease")
+    ).distinct()
+    return outbreak.score(
+        tables,
+        new,
+        history,
+        every.select(F.upper("disease").alias("disease_name"), F.col("disease").alias("disease_standard")),
+        every.withColumn("disease_primary_taxa", F.lit(True)),
+        model(d),
+        scaling(d),
+        edges(d),
+        WEIGHTS,
+        "v1",
+        AS_OF,
+        SINCE,
+    )
+
+
+def full_scores(d):
+    tables = d.tables()
+    run_scores(d, tables, None, d.stored("events", lambda: numbered_events(d)))
+    return tables
+
+
+def incremental_scores(d):
+    tables = d.tables()
+    final = d.stored("events", lambda: numbered_events(d))
+    late = F.col("report_id") % 199 == 0
+    first = final.withColumn("resolved_date", F.when(~late, F.col("resolved_date")))
+    first = tables.overwrite(first, outbreak.EVENTS)
+    run_scores(d, tables, None, first)
+    run_scores(d, tables, final.filter(late), first)
+    return tables
+
+
+STORED_SQL = f"""
+WITH {MODELLED_SQL}
+SELECT country_iso3c || disease || CAST(month AS VARCHAR) AS id, country_iso3c, disease,
+       CAST(month AS VARCHAR) AS month, {STATUS_COLUMNS}, predicted_outbreak_probability
+FROM stored
+"""
+
+
+def stored_scores(tables):
+    out = tables.read(outbreak.PREDICTIONS).select(
+        "id",
+        "country_iso3c",
+        "disease",
+        "month",
+        "outbreak_start",
+        "outbreak_subsequent_month",
+        "endemic",
+        F.round("predicted_outbreak_probability", 6).alias("predicted_outbreak_probability"),
+    )
+    return month_text(out)
+
+
+@query("cx22_score_full", STORED_SQL)
+def cx22_score_full(d):
+    return stored_scores(full_scores(d))
+
+
+@query("cx22_score_incremental", STORED_SQL)
+def cx22_score_incremental(d):
+    return stored_scores(incremental_scores(d))
+
+
+STORED_RELATIVE_SQL = f"""
+{NETWORK_SQL}, {BY_ORIGIN_SQL}, {MODEL_SQL}, {RELATIVE_SQL}, {BASEMAP_SQL},
+known AS (SELECT * FROM relative SEMI JOIN coefs USING (disease))
+"""
+
+
+def stored_relative(d, tables):
+    rows = relative_imports(tables.read(outbreak.BY_ORIGIN), model(d), VARIABLES)
+    return rows.withColumn("country_rel_import", F.round("country_rel_import", 4))
+
+
+@query(
+    "cx8_import_weights_stored",
+    f"""WITH {STORED_RELATIVE_SQL}
+    SELECT * REPLACE (CAST(month AS VARCHAR) AS month) FROM known
+    ANTI JOIN (SELECT * FROM basemap WHERE cat_status = 'Current Outbreak')
+    USING (country_iso3c, disease, month)""",
+)
+def cx8_import_weights_stored(d):
+    tables = full_scores(d)
+    drawn = d.nation.select(F.col("n_name").alias("country_iso3c"))
+    cells = basemap_status(drawn, tables.read(outbreak.PREDICTIONS))
+    return month_text(import_weights(stored_relative(d, tables), cells))
+
+
+@query(
+    "cx8_export_weights",
+    f"""WITH {NETWORK_SQL}, {BY_ORIGIN_SQL}, {MODEL_SQL}, {RELATIVE_SQL}
+    SELECT country_origin, disease, CAST(month AS VARCHAR) AS month, country_iso3c,
+           country_rel_import AS country_rel_export,
+           CAST(row_number() OVER (PARTITION BY country_origin, disease, month
+             ORDER BY country_rel_import DESC NULLS LAST, country_iso3c) AS INTEGER) AS export_rank
+    FROM relative""",
+)
+def cx8_export_weights(d):
+    return month_text(export_weights(relative(d)))

@@ -62,17 +62,20 @@ def drop_all_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return single.select(*keys, "__lo.*").select(*df.columns)
 
 
-def key_problems(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that are repeated or have a missing part, with their row count."""
+def key_problems(df: DataFrame, keys: Sequence[str], nullable: bool = False) -> DataFrame:
+    """Keys that are repeated or have a missing part, with their row count.
+
+    With ``nullable`` a missing part is a value like any other.
+    """
     missing = F.lit(False)
-    for k in keys:
+    for k in [] if nullable else keys:
         missing = missing | F.col(k).isNull()
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     return counts.filter((F.col("n_rows") > 1) | missing)
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    bad = key_problems(df, keys).head(1)
+def require_unique(df: DataFrame, keys: Sequence[str], nullable: bool = False) -> None:
+    bad = key_problems(df, keys, nullable).head(1)
     if bad:
         raise ValueError(f"key {list(keys)} is not unique and complete: {bad[0]}")
 

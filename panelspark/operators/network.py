@@ -75,6 +75,27 @@ def month_status(
     return filled.fillna(False, list(FLAGS))
 
 
+def combine_status(status: DataFrame) -> DataFrame:
+    """One row per country, disease and month: a flag is set if any row sets it."""
+    return status.groupBy(*CELL).agg(*[F.bool_or(f).alias(f) for f in FLAGS])
+
+
+def affected_cells(changed: DataFrame, edges: DataFrame) -> DataFrame:
+    """Cells whose score depends on changed status rows: their own, and those that the
+    country has an edge to in that year."""
+    own = changed.select(*CELL)
+    sources = changed.select(
+        F.col("country_iso3c").alias("country_origin"), "disease", "month",
+        F.year("month").alias("year"),
+    )
+    reached = sources.join(
+        edges.select("country_origin", "year", "country_destination").distinct(),
+        ["country_origin", "year"],
+    )
+    there = reached.select(F.col("country_destination").alias("country_iso3c"), "disease", "month")
+    return own.unionByName(there).distinct()
+
+
 def active_origins(status: DataFrame) -> DataFrame:
     """Origin, disease and month of every outbreak under way."""
     return status.filter(outbreak_flag(*FLAGS)).select(
@@ -188,9 +209,7 @@ def coefficient_table(wide: DataFrame, variables: Sequence[str]) -> DataFrame:
     long = wide.select("disease", *[F.col(v).cast("double") for v in variables]).unpivot(
         "disease", list(variables), "variable", "coef"
     )
-    return long.withColumn("disease_clean", title_case("disease")).withColumn(
-        "variable_clean", variable_display_name("variable")
-    )
+    return label_coefficients(long)
 
 
 def variable_importance(
@@ -241,6 +260,29 @@ def basemap_status(map_countries: DataFrame, predictions: DataFrame) -> DataFram
     return flagged.filter("disease_country_combo_unreported or reported_outbreak")
 
 
+def label_coefficients(coefs: DataFrame) -> DataFrame:
+    """Long coefficients with the display names of disease and variable."""
+    return coefs.withColumn("disease_clean", title_case("disease")).withColumn(
+        "variable_clean", variable_display_name("variable")
+    )
+
+
+def export_weights(relative: DataFrame) -> DataFrame:
+    """Contributions by origin: what each country passes on, in a total order's ranks."""
+    return relative.withColumnRenamed("country_rel_import", "country_rel_export").select(
+        "country_origin",
+        "disease",
+        "month",
+        "country_iso3c",
+        "country_rel_export",
+        F.row_number().over(
+            Window.partitionBy("country_origin", "disease", "month").orderBy(
+                F.col("country_rel_export").desc_nulls_last(), "country_iso3c"
+            )
+        ).alias("export_rank"),
+    )
+
+
 def import_weights(relative: DataFrame, cells: DataFrame) -> DataFrame:
     """Relative imports of destinations that are not in outbreak already."""
     current = cells.filter(F.col("cat_status") == CURRENT_OUTBREAK).select(*CELL)

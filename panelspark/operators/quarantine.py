@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -86,12 +86,14 @@ def preprocess_events(
     cache: DataFrame | None = None,
     full: bool = False,
     columns: Sequence[str] | None = None,
+    combine: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows to score, rejected keys) from new events and stored history.
 
     ``expand`` turns cleaned events into monthly status rows; ``taxa`` holds the
     ``disease_primary_taxa`` flag per standard disease. An incremental run reads the
-    history of touched keys only and keeps rows that differ from ``cache``.
+    history of touched keys only and keeps rows that differ from ``cache``. Raw names
+    that share a standard name give several rows per month; ``combine`` makes one.
     """
     if full:
         parts = [p for p in (history, new) if p is not None]
@@ -123,6 +125,9 @@ def preprocess_events(
         kept = kept.drop("disease_in_single_country")
     if columns is not None:
         kept = kept.select(*columns)
+    if combine is not None:
+        kept = combine(kept)
     if not full and cache is not None:
-        kept = changed_rows(kept, cache, lookup.select(*KEY).distinct(), KEY)
+        keys = small_side(lookup.select(*KEY).distinct())
+        kept = changed_rows(kept, cache, keys, KEY)
     return kept, unrecognized.unionByName(rejected)

@@ -12,6 +12,7 @@ from ..sources.tables import Tables
 
 STATUS = "annual_reports_status"
 LOG = "annual_reports_ingest_status_log"
+FETCHED = "annual_reports_fetched"
 KEYS = ["report", "country_iso3c", "report_year", "report_semester"]
 POSTS = "posts"
 POST_COUNTS = "post_counts"
@@ -31,7 +32,7 @@ def ingest_annual(
     wanted = unfetched_flagged(
         stored, tables.read_if_exists(LOG), KEYS, url_format, url_args, seed
     )
-    got = responses(wanted)
+    got = tables.overwrite(responses(wanted), FETCHED)
     log = status_log(wanted.select(*KEYS).join(got.select(*KEYS, "ingest_status"), KEYS, "left"))
     for name, table in parsed(got).items():
         by_disease = name.endswith("diseases_unmatched")

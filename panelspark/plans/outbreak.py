@@ -11,13 +11,20 @@ from ..functions.text import surrogate_id
 from ..operators.dedupe import drop_all_duplicates
 from ..operators.ingest import FULL, any_good, classify_errors, run_mode, unfetched
 from ..operators.network import (
-    augment,
+    CELL,
+    FLAGS,
+    SUFFIX,
+    affected_cells,
+    combine_status,
+    exposure,
+    label_coefficients,
     month_status,
     predictions_by_origin,
     scale,
     score_logit,
 )
-from ..operators.quarantine import KEY, preprocess_events
+from ..operators.joins import not_matching
+from ..operators.quarantine import preprocess_events
 from ..sources.tables import Tables
 
 LOG = "outbreak_reports_ingest_status_log"
@@ -29,6 +36,11 @@ BY_ORIGIN = "network_lme_augment_predict_by_origin"
 COEFFICIENTS = "network_lme_coefficients"
 SCALING = "network_lme_scaling_values"
 REJECTED = "outbreak_reports_excluded"
+FETCHED = "outbreak_reports_fetched"
+STATUS = "network_status_to_score"
+CELLS = "network_cells_to_score"
+ARRIVING = "network_arriving_by_origin"
+SCORED = "network_newly_scored"
 TAG = "model_tag"
 
 OUTBREAK_KEY = ("report_id", "outbreak_location_id", "species_name")
@@ -49,20 +61,27 @@ def ingest(
 ) -> DataFrame | None:
     """Fetch what is missing, log it, and upsert the raw tables.
 
-    ``responses`` fetches the requested reports (one row each); ``parsed`` turns usable
-    responses into the raw tables. Returns the new events, or None if nothing was
+    ``responses`` fetches the requested reports (one row each); it is evaluated once and
+    stored, so that the log and the tables describe the same fetch. ``parsed`` turns
+    usable responses into the raw tables. Returns the new events, or None if nothing was
     usable.
     """
     key = "report_info_id"
     requested = unfetched(listing, tables.read_if_exists(LOG), key, url_prefix=url_prefix)
-    got = responses(requested)
+    got = tables.overwrite(responses(requested), FETCHED)
     log = classify_errors(requested, got, key)
     tables.upsert(LOG, log, [key], fill_missing=True)
     if not any_good(matching_log(tables, requested, key)):
         return None
     raw = parsed(got)
     tables.upsert(EVENTS, raw[EVENTS], ["report_id"], fill_missing=True)
-    tables.upsert(OUTBREAKS, unique_outbreaks(raw[OUTBREAKS]), ["id"], fill_missing=True)
+    tables.upsert(
+        OUTBREAKS,
+        unique_outbreaks(raw[OUTBREAKS]),
+        OUTBREAK_KEY,
+        fill_missing=True,
+        nullable_keys=True,
+    )
     if UNMATCHED in raw:
         tables.upsert(UNMATCHED, raw[UNMATCHED].select("disease").distinct(), ["disease"])
     return raw[EVENTS]
@@ -84,21 +103,28 @@ def score(
     weights: Sequence[str],
     tag: str,
     as_of: dt.date,
+    since: dt.date,
     full: bool | None = None,
 ) -> DataFrame:
     """Score changed rows, or everything after a model change, and store the results.
 
+    Every known country and disease has a row for each month from ``since`` to
+    ``as_of``, in outbreak or not, so a month that is no longer active is a changed row.
     ``history`` is the event table as it was before ``new_events`` were stored. Without
     new events all of it is scored again, which is the monthly run that carries open
-    outbreaks on to the current month.
+    outbreaks on to the current month. An incremental run scores the changed months and
+    those of countries that they have an edge to, and gives what a full run would.
     """
+    if new_events is not None and history is not None:
+        # a corrected report replaces what it said before
+        history = not_matching(history, new_events, ["report_id"])
     cached = tables.read_if_exists(PREDICTIONS)
     if full is None:
         full = new_events is None or run_mode(cached, TAG, tag) == FULL
-    variables = [f"{w}_from_outbreaks" for w in weights]
+    variables = [f"{w}{SUFFIX}" for w in weights]
 
     def expand(events: DataFrame) -> DataFrame:
-        return month_status(events, as_of, carried=["disease_name_uncleaned"])
+        return month_status(events, as_of, since, carried=["disease_name_uncleaned"])
 
     rows, rejected = preprocess_events(
         new_events,
@@ -109,40 +135,45 @@ def score(
         expand,
         cache=cached,
         full=full,
-        columns=[
-            *KEY,
-            "month",
-            "outbreak_start",
-            "outbreak_subsequent_month",
-            "endemic",
-        ],
+        columns=[*CELL, *FLAGS],
+        combine=combine_status,
     )
     # every output starts from the stored status rows instead of re-reading the events
-    rows = tables.overwrite(rows.distinct(), "network_status_to_score")
-    # an incremental run still needs the outbreaks of all origins
-    everywhere = rows if full or cached is None else (
-        cached.select(*rows.columns)
-        .join(rows, [*KEY, "month"], "left_anti")
-        .unionByName(rows)
-    )
-    cells = rows.select(*KEY, "month")
-
-    def arriving(aggregate: bool) -> DataFrame:
-        return augment(everywhere, edges, weights, aggregate).join(
-            cells, [*KEY, "month"], "left_semi"
+    changed = tables.overwrite(rows, STATUS)
+    everywhere, cells = changed, changed
+    if not full and cached is not None:
+        everywhere = (
+            cached.select(*changed.columns)
+            .join(changed, list(CELL), "left_anti")
+            .unionByName(changed)
         )
-
-    scored = score_logit(scale(arriving(True), scaling, variables), coefficients, variables)
+        touched = affected_cells(changed, edges)
+        cells = everywhere.join(touched, list(CELL), "left_semi")
+    cells = tables.overwrite(cells, CELLS)
+
+    # only outbreaks and edges of the months to be scored can contribute
+    when = cells.select("disease", "month").distinct()
+    sources = everywhere.join(when, ["disease", "month"], "left_semi")
+    years = when.select(F.year("month").alias("year")).distinct()
+    arriving = exposure(sources, edges.join(years, "year", "left_semi"), weights, False)
+    joined = cells.join(arriving, list(CELL), "left").fillna(0.0, variables)
+    by_origin = tables.overwrite(joined, ARRIVING)
+
+    totals = by_origin.groupBy(*CELL, *FLAGS).agg(*[F.sum(v).alias(v) for v in variables])
+    scored = score_logit(scale(totals, scaling, variables), coefficients, variables)
     scored = scored.withColumn(TAG, F.lit(tag))
-    scored = scored.select(surrogate_id(*KEY, "month").alias("id"), "*")
-    origins = predictions_by_origin(arriving(False), scored)
+    scored = tables.overwrite(
+        scored.select(surrogate_id(*CELL).alias("id"), "*"), SCORED, unique=CELL
+    )
+    origins = predictions_by_origin(by_origin, scored)
     if full:
-        scored = tables.overwrite(scored, PREDICTIONS)
-        tables.overwrite(origins, BY_ORIGIN)
+        tables.overwrite(origins, BY_ORIGIN, unique=(*CELL, "country_origin"), nullable_keys=True)
+        scored = tables.overwrite(scored, PREDICTIONS, unique=CELL)
     else:
-        tables.upsert(BY_ORIGIN, origins, ["id"])
-        scored = tables.upsert(PREDICTIONS, scored, ["id"])
-    tables.overwrite(coefficients, COEFFICIENTS)
+        # all origins of a cell are replaced together, as some may be gone
+        tables.upsert(BY_ORIGIN, origins, CELL, one_row_per_key=False)
+        scored = tables.upsert(PREDICTIONS, scored, CELL)
+    tables.overwrite(label_coefficients(coefficients), COEFFICIENTS)
     tables.overwrite(scaling, SCALING)
     tables.overwrite(rejected, REJECTED)
     return scored

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import surrogate_id
-from ..operators.dedupe import drop_duplicated_reports, first_per_key, require_unique
+from ..operators.dedupe import drop_duplicated_reports, first_per_key
 from ..operators.ingest import any_good, classify_errors, unfetched
 from ..operators.rollup import nowcast_summary
 from ..sources.tables import Tables
@@ -16,12 +16,14 @@ LOG = "six_month_reports_ingest_status_log"
 SUMMARY = "six_month_reports_summary"
 DETAIL = "six_month_reports_detail"
 UNMATCHED = "six_month_reports_diseases_unmatched"
+FETCHED = "six_month_reports_fetched"
 PREDICTIONS = "nowcast_boost_augment_predict"
 ROLLUP = "nowcast_boost_predict_oie_diseases"
 
 GROUP = ("country_iso3c", "report_year", "report_semester")
 ITEM = ("disease", "disease_population", "taxa")
 SUMMARY_KEY = (*GROUP, *ITEM, "serotype", "control_measures")
+ROLLUP_KEY = ("country_iso3c", "disease", "report_year", "report_semester")
 DETAIL_KEY = (*GROUP, *ITEM, "serotype", "adm", "period")
 
 
@@ -35,7 +37,7 @@ def clean_summary(summary: DataFrame) -> DataFrame:
 
 def clean_detail(detail: DataFrame) -> DataFrame:
     kept = drop_duplicated_reports(detail, GROUP, "report_id")
-    return first_per_key(with_id(kept, DETAIL_KEY), ["id"], ["report_id"])
+    return with_id(first_per_key(kept, DETAIL_KEY, ["report_id"]), DETAIL_KEY)
 
 
 def ingest(
@@ -54,17 +56,19 @@ def ingest(
         url_prefix=url_prefix,
         url_suffix=url_suffix,
     )
-    got = responses(requested)
+    got = tables.overwrite(responses(requested), FETCHED)
     log = classify_errors(requested, got, "report_id")
     tables.upsert(LOG, log, ["report_id"], fill_missing=True)
     now = tables.read(LOG).join(requested.select("report_id"), "report_id", "left_semi")
     if not any_good(now):
         return None
     raw = parsed(got)
-    summary = clean_summary(raw[SUMMARY])
-    require_unique(summary, ["id"])
-    stored = tables.upsert(SUMMARY, summary, ["id"], fill_missing=True)
-    tables.upsert(DETAIL, clean_detail(raw[DETAIL]), ["id"], fill_missing=True)
+    stored = tables.upsert(
+        SUMMARY, clean_summary(raw[SUMMARY]), SUMMARY_KEY, fill_missing=True, nullable_keys=True
+    )
+    tables.upsert(
+        DETAIL, clean_detail(raw[DETAIL]), DETAIL_KEY, fill_missing=True, nullable_keys=True
+    )
     if UNMATCHED in raw:
         tables.upsert(UNMATCHED, raw[UNMATCHED].select("disease").distinct(), ["disease"])
     return stored
@@ -73,12 +77,15 @@ def ingest(
 def store_predictions(
     tables: Tables, predictions: DataFrame, diseases: Sequence[str], tags: dict[str, str]
 ) -> DataFrame:
-    """Replace the cached predictions and their roll-up; both keys must be unique."""
+    """Replace the cached predictions and their roll-up.
+
+    A version whose key is not unique is never published.
+    """
     tagged = predictions
     for name, tag in tags.items():
         tagged = tagged.withColumn(name, F.lit(tag))
-    stored = tables.overwrite(with_id(tagged, [*GROUP, *ITEM]), PREDICTIONS)
-    require_unique(stored, ["id"])
-    rollup = tables.overwrite(nowcast_summary(stored, diseases), ROLLUP)
-    require_unique(rollup, ["id"])
-    return rollup
+    key = [*GROUP, *ITEM]
+    stored = tables.overwrite(with_id(tagged, key), PREDICTIONS, unique=key, nullable_keys=True)
+    return tables.overwrite(
+        nowcast_summary(stored, diseases), ROLLUP, unique=ROLLUP_KEY, nullable_keys=True
+    )

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from panelspark.plans import annual, covariates, outbreak, six_month
 from panelspark.operators.posts import POST_SCHEMA
+from panelspark.sources.tables import Tables
 
 D = dt.date
 
@@ -69,11 +70,15 @@ def test_outbreak_run_end_to_end(spark, tables, rows):
 
     def score(fresh, history, tag):
         return outbreak.score(
-            tables, fresh, history, names, taxa, coefs, scaling, edges, ["trade"], tag, D(2020, 6, 1)
+            tables, fresh, history, names, taxa, coefs, scaling, edges, ["trade"], tag, D(2020, 6, 1),
+            since=D(2020, 1, 1),
         )
 
     first = score(None, tables.read(outbreak.EVENTS), "v1")
-    assert rows(first, "country_iso3c", F.month("month")) == [("A", 1), ("A", 2), ("B", 1), ("B", 2)]
+    # every month of every country, in outbreak or not
+    assert rows(first, "country_iso3c", F.month("month")) == [(c, m) for c in "AB" for m in range(1, 7)]
+    assert rows(first.filter("outbreak_start or outbreak_subsequent_month"), "country_iso3c", F.month("month")) == [
+        ("A", 1), ("A", 2), ("B", 1), ("B", 2)]
     by_origin = tables.read(outbreak.BY_ORIGIN)
     assert rows(by_origin.filter("country_iso3c = 'B'"), "country_origin").count(("A",)) == 2
 
@@ -84,16 +89,75 @@ def test_outbreak_run_end_to_end(spark, tables, rows):
     later = outbreak.ingest(tables, listing, responses, parsed, "u/")
     later = later.withColumn("country_iso3c", F.lit("C"))
     second = score(later, history, "v1")
-    assert second.count() == 6
+    assert second.count() == 18
     assert {r["model_tag"] for r in second.collect()} == {"v1"}
-    assert tables.read("network_status_to_score").count() == 2  # only the new country
+    assert tables.read(outbreak.STATUS).count() == 6  # only the new country
 
     # nothing is left to fetch, and a new model scores everything again
     done = outbreak.ingest(tables, listing, responses, parsed, "u/")
     assert done is None
     everything = history.unionByName(later)
-    assert score(None, everything, "v1").count() == 6  # the monthly run
-    assert score(None, everything, "v2").filter("model_tag = 'v2'").count() == 6
+    assert score(None, everything, "v1").count() == 18  # the monthly run
+    assert score(None, everything, "v2").filter("model_tag = 'v2'").count() == 18
+
+
+def test_a_corrected_event_gives_what_a_full_run_gives(spark, tables, tmp_path, rows):
+    schema = (
+        "report_id int, country_iso3c string, disease string, is_aquatic boolean, start_date date,"
+        " last_report_date date, resolved_date date, endemic boolean"
+    )
+    day = D(2020, 1, 5)
+    open_, other = (1, "A", "pox", False, day, day, None, False), (2, "B", " POX", False, day, day, day, False)
+    before = spark.createDataFrame([open_, other], schema)
+    corrected = spark.createDataFrame([(1, "A", "pox", False, day, day, D(2020, 2, 1), False)], schema)
+    after = corrected.unionByName(before.filter("report_id = 2"))
+    names = spark.createDataFrame([("pox", "pox")], "disease_name string, disease_standard string")
+    taxa = spark.createDataFrame([("pox", True)], "disease string, disease_primary_taxa boolean")
+    coefs = spark.createDataFrame([("pox", "trade_from_outbreaks", 0.5)], "disease string, variable string, coef double")
+    scaling = spark.createDataFrame([("trade_from_outbreaks", 0.0, 1.0)], "variable string, mean double, sd double")
+    edges = spark.createDataFrame(
+        [("A", "B", 2020, 2.0), ("B", "A", 2020, 1.0)],
+        "country_origin string, country_destination string, year int, trade double",
+    )
+
+    def score(store, fresh, history):
+        outbreak.score(store, fresh, history, names, taxa, coefs, scaling, edges, ["trade"], "v1",
+                       D(2020, 6, 1), D(2020, 1, 1))
+        return [rows(store.read(t)) for t in (outbreak.PREDICTIONS, outbreak.BY_ORIGIN)]
+
+    score(tables, None, before)
+    active = F.col("outbreak_start") | F.col("outbreak_subsequent_month")
+    assert tables.read(outbreak.PREDICTIONS).filter(active & (F.col("country_iso3c") == "A")).count() == 6
+    step = score(tables, corrected, before)
+    whole = score(Tables(spark, str(tmp_path / "full")), None, after)
+    assert step == whole
+    assert tables.read(outbreak.PREDICTIONS).filter(active & (F.col("country_iso3c") == "A")).count() == 2
+    # B is scored anew as well, since A sends it nothing from March on
+    assert tables.read(outbreak.CELLS).filter("country_iso3c = 'B'").count() == 4
+    assert "variable_clean" in tables.read(outbreak.COEFFICIENTS).columns
+
+
+def test_reports_are_fetched_once(spark, tables):
+    mark = f"{tables.root}-fetched"
+
+    def responses(asked):
+        @F.udf("string")
+        def fetch(k):
+            open(f"{mark}-{k}", "a").write("x")
+            return "available"
+
+        return asked.select("report_id", fetch("report_id").alias("ingest_status"),
+                            F.lit(None).cast("string").alias("message"))
+
+    def parsed(got):
+        summary = got.select(
+            *[F.lit("x").alias(c) for c in six_month.SUMMARY_KEY if c not in ("report_year", "report_semester")],
+            F.lit(2020).alias("report_year"), F.lit(1).alias("report_semester"), "report_id")
+        detail = summary.drop("control_measures").withColumns({"adm": F.lit("a"), "period": F.lit("p")})
+        return {six_month.SUMMARY: summary, six_month.DETAIL: detail}
+
+    six_month.ingest(tables, spark.createDataFrame([(5,)], "report_id int"), responses, parsed, "u/")
+    assert open(f"{mark}-5").read() == "x"
 
 
 def test_six_month_run(spark, tables, rows):
