@@ -43,7 +43,8 @@ def posts(d):
     later = F.date_add(F.col("o_orderdate").cast("date"), 200).cast("timestamp")
     dates = F.array(
         F.struct(F.array(day, later).alias("datetime_range")),
-        F.struct(F.array(day).alias("datetime_range")),
+        F.struct(F.array(day, F.lit(None).cast("timestamp")).alias("datetime_range")),
+        F.struct(F.lit(None).cast("array<timestamp>").alias("datetime_range")),
     )
     species = F.when(state == "F", F.array(F.lit("cattle"), F.lower(segment))).when(
         state == "O", F.array(F.lit("swine"), F.lit("cattle"))

@@ -76,11 +76,16 @@ def valid_post() -> Column:
 
 
 def post_facts(posts: DataFrame) -> DataFrame:
-    """Valid posts with their distinct diseases, places and years, and case sum."""
-    ranges = F.transform(
+    """Valid posts with their distinct diseases, places and years, and case sum.
+
+    Missing date ranges and missing dates within a range are passed over.
+    """
+    known = F.filter(
         F.coalesce("dates", F.array().cast(posts.schema["dates"].dataType)),
-        lambda d: F.transform(d["datetime_range"], lambda t: F.year(t)),
+        lambda d: d["datetime_range"].isNotNull(),
     )
+    ranges = F.transform(known, lambda d: F.transform(d["datetime_range"], lambda t: F.year(t)))
+    years = F.filter(F.flatten(ranges), lambda y: y.isNotNull())
     cases = F.filter(
         F.coalesce("counts", F.array().cast(posts.schema["counts"].dataType)),
         lambda c: F.array_contains(c["attributes"], CASE),
@@ -93,7 +98,7 @@ def post_facts(posts: DataFrame) -> DataFrame:
         "post_id",
         F.array_distinct(diseases).alias("diseases"),
         F.array_distinct(_list("geonames")).alias("places"),
-        F.array_distinct(F.flatten(ranges)).alias("years"),
+        F.array_distinct(years).alias("years"),
         F.array_distinct(_list("keywords_species")).alias("species"),
         total.alias("cases"),
     )
