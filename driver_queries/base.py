@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from panelspark.session import shared_dir
+from panelspark.session import scratch_dir
 from panelspark.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,8 +28,7 @@ class Data:
         return table
 
     def scratch(self) -> str:
-        root = shared_dir(self.spark, fallback=tempfile.gettempdir())
-        return f"{root.rstrip('/')}/panelspark-{uuid.uuid4().hex}"
+        return scratch_dir(self.spark, "query")
 
     def tables(self) -> Tables:
         return Tables(self.spark, self.scratch())

@@ -199,7 +199,7 @@ def jn9_cross_keys(d):
 def jn9_cross_keys_long_axis(d):
     days = d.orders.select(F.col("o_orderdate").cast("date").cast("string").alias("o_day"))
     brands = d.part.select("p_brand").distinct()
-    return product(brands, days.distinct(), limit=100)
+    return product(brands, days.distinct())
 
 
 LONG_SQL = f"""

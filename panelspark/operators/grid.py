@@ -1,49 +1,34 @@
 """Complete key grids.
 
 A panel holds every combination of its keys, so its size is the product of the axes
-whatever the method. Axes of checked size travel as literal arrays that ``inline``
-expands next to each row, which needs no join; a longer axis is joined on a slot
-number so that the product is spread evenly over the cluster.
+whatever the method. Two axes are joined on a slot number, which spreads the product
+evenly over the cluster.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-AXIS_LIMIT = 4096
-PRODUCT_SLOTS = 64
-
-
-def bounded_rows(df: DataFrame, limit: int = AXIS_LIMIT) -> list | None:
+def bounded_rows(df: DataFrame, limit: int) -> list | None:
     """The rows if there are at most ``limit``, else None; fetches ``limit + 1``."""
     rows = df.limit(limit + 1).collect()
     return rows if len(rows) <= limit else None
 
 
-def _plain(value):
-    return value.isoformat() if isinstance(value, (dt.date, dt.datetime)) else value
-
-
-def literal_rows(rows: Sequence, schema: T.StructType) -> Column:
-    """An array-of-struct constant."""
-    text = json.dumps([{f: _plain(r[f]) for f in schema.names} for r in rows])
-    return F.from_json(F.lit(text), T.ArrayType(schema))
+def product(base: DataFrame, axis: DataFrame, slots: int | None = None) -> DataFrame:
+    """Every row of ``base`` with every row of ``axis``.
 
-
-def product(
-    base: DataFrame,
-    axis: DataFrame,
-    limit: int = AXIS_LIMIT,
-    slots: int = PRODUCT_SLOTS,
-) -> DataFrame:
-    """Every row of ``base`` with every row of ``axis``."""
-    rows = bounded_rows(axis, limit)
-    if rows is not None:
-        return base.select("*", F.inline(literal_rows(rows, axis.schema)))
+    Rows of ``base`` are dealt to slots, as many as the session has shuffle partitions,
+    and the axis is repeated once per slot, so that the product is spread over all tasks
+    whatever the sizes.
+    """
+    spark = base.sparkSession
+    slots = slots or max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        spark.sparkContext.defaultParallelism,
+    )
     own = F.pmod(F.xxhash64(*[F.col(c) for c in base.columns]), F.lit(slots))
     left = base.withColumn("__slot", own.cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))

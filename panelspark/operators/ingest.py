@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .joins import matching, not_matching, small_side
 from ..functions.text import contains
+from ..session import scratch_dir
 
 # Texts that mark a response as failed, and the fetch states of the log.
 INGESTION_ERROR = "ingestion error"
@@ -15,6 +18,9 @@ TIMED_OUT = "Endpoint request timed out"
 FAILED_TO_FETCH = "failed to fetch"
 AVAILABLE = "available"
 
+# Rows that one task numbers.
+SLICE_ROWS = 4_000_000
+
 FULL = "full"
 INCREMENTAL = "incremental"
 NO_TAG = "dne"
@@ -107,28 +113,29 @@ def row_positions(
 ) -> DataFrame:
     """1-based position in a global order, without a single-task sort.
 
-    The leading column (number, date or timestamp) is cut into slices at approximate
-    quantiles. Positions are counted within slices and shifted by the sizes of the
-    slices before. Any cut points give the same positions; only balance varies.
+    The rows are cut into ranges of the whole order, so rows that share its leading
+    value can be cut apart, and written once. Positions are counted within ranges and
+    shifted by the sizes of the ranges before. Any cuts give the same positions; only
+    balance varies.
     """
-    slices = slices or min(256, 4 * df.sparkSession.sparkContext.defaultParallelism)
-    shares = [i / slices for i in range(1, slices)] or [0.5]
-    lead = order[0]
-    cuts = df.agg(F.percentile_approx(lead, shares)).first()[0] or []
-    cut_points = F.array(*[F.lit(c) for c in sorted(set(cuts))])
-    inside = (
-        F.size(F.filter(cut_points, lambda c: c < F.col(lead))) if cuts else F.lit(0)
-    )
-    sliced = df.withColumn("__slice", inside)
-    sizes = {r[0]: r[1] for r in sliced.groupBy("__slice").count().collect()}
+    spark = df.sparkSession
+    if slices is None:
+        cores = spark.sparkContext.defaultParallelism
+        slices = max(4 * cores, math.ceil(df.count() / SLICE_ROWS))
+    path = scratch_dir(spark, "ranges")
+    ranged = df.repartitionByRange(slices, *order).withColumn("__slice", F.spark_partition_id())
+    ranged.write.parquet(path)
+    stored = spark.read.schema(ranged.schema).parquet(path)
+    sizes = {r[0]: r[1] for r in stored.groupBy("__slice").count().collect()}
     before, total = [], 0
     for i in range(slices + 1):
         before.append(total)
         total += sizes.get(i, 0)
-    offset = F.element_at(F.array(*[F.lit(b).cast("long") for b in before]),
-                          F.col("__slice") + 1)
+    offset = F.element_at(
+        F.from_json(F.lit(json.dumps(before)), "array<bigint>"), F.col("__slice") + 1
+    )
     within = Window.partitionBy("__slice").orderBy(*order)
-    return sliced.withColumn(name, F.row_number().over(within) + offset).drop("__slice")
+    return stored.withColumn(name, F.row_number().over(within) + offset).drop("__slice")
 
 
 def assign_batches(

@@ -1,6 +1,6 @@
 """Joins with explicit NULL and skew behaviour.
 
-Only :func:`small_side` asks for a broadcast, after counting. Elsewhere Spark broadcasts
+Only :func:`small_side` asks for a broadcast, after measuring. Elsewhere Spark broadcasts
 a side whose known size is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles
 both sides otherwise.
 """
@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 
 _RIGHT = "__right__"
 
-SMALL_SIDE = 50_000
+# Rows and characters (of the rows written out) up to which a frame is sent to all tasks.
+SMALL_SIDE, SMALL_TEXT = 50_000, 8 << 20
 
 
 def null_safe_join(
@@ -39,16 +40,19 @@ def null_safe_join(
     return joined.select(*keys, *mine, *theirs)
 
 
-def small_side(df: DataFrame, limit: int = SMALL_SIDE) -> DataFrame:
-    """Marked for broadcast if it has at most ``limit`` rows, else unchanged.
+def small_side(df: DataFrame, limit: int = SMALL_SIDE, text: int = SMALL_TEXT) -> DataFrame:
+    """Marked for broadcast if it has few and short rows, else unchanged.
 
     Size estimates of derived frames are far too high, so Spark would shuffle the large
-    side of a join with them. Here the rows are counted; a frame with more of them is
-    joined by shuffling both sides.
+    side of a join with them. Here at most ``limit`` rows are fetched and measured, one
+    at a time; a frame with more or longer ones is joined by shuffling both sides.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
+    rows, held = [], 0
+    for row in df.limit(limit + 1).toLocalIterator():
+        held += len(repr(row))
+        if len(rows) == limit or held > text:
+            return df
+        rows.append(row)
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 

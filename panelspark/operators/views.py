@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -180,24 +182,35 @@ def query_predictions(
 
 
 class QueryCache:
-    """Keeps query results by their arguments until cleared.
+    """Keeps query results by their arguments as tables, until cleared.
 
-    Results are persisted by Spark and recomputed if an executor holding them is lost.
+    Results are written once to ``tables``, so they outlive the driver and the loss of
+    executors. At most ``most`` are kept; beyond that the cache starts anew.
     """
 
-    def __init__(self, predictions: DataFrame):
-        self._predictions = predictions
-        self._held: dict[tuple, DataFrame] = {}
+    PREFIX = "query-"
+
+    def __init__(self, predictions: DataFrame, tables, most: int = 256):
+        self._predictions, self._tables, self._most = predictions, tables, most
+
+    def _name(self, params: dict) -> str:
+        known = json.dumps({k: str(v) for k, v in params.items() if v is not None}, sort_keys=True)
+        return self.PREFIX + hashlib.blake2b(known.encode(), digest_size=16).hexdigest()
+
+    def _held(self) -> list[str]:
+        return [n for n in self._tables.names() if n.startswith(self.PREFIX)]
 
     def get(self, cache: bool = True, **params) -> DataFrame:
         if not cache:
             return query_predictions(self._predictions, **params)
-        key = tuple(sorted((k, str(v)) for k, v in params.items() if v is not None))
-        if key not in self._held:
-            self._held[key] = query_predictions(self._predictions, **params).persist()
-        return self._held[key]
+        name = self._name(params)
+        held = self._tables.read_if_exists(name)
+        if held is None:
+            if len(self._held()) >= self._most:
+                self.clear()
+            held = self._tables.overwrite(query_predictions(self._predictions, **params), name)
+        return held
 
     def clear(self) -> None:
-        for held in self._held.values():
-            held.unpersist()
-        self._held.clear()
+        for name in self._held():
+            self._tables.drop(name)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # UTC keeps month arithmetic independent of the cluster's clock; adaptive execution
@@ -38,3 +43,33 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if not path:
         raise ValueError("spark.checkpoint.dir is not set and no fallback was given")
     return path
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate tables in the session's shared folder.
+
+    Only a session that runs in one process (tests) and names no shared folder gets one
+    of its own; elsewhere a missing ``spark.checkpoint.dir`` is an error. The folder is
+    removed when the driver ends.
+    """
+    master = spark.conf.get("spark.master", "")
+    alone = master == "local" or master.startswith("local[")
+    own = os.path.join(tempfile.gettempdir(), "panelspark") if alone else None
+    path = f"{shared_dir(spark, own).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def _remove_scratch() -> None:
+    for spark, path in _SCRATCH:
+        try:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            conf = spark.sparkContext._jsc.hadoopConfiguration()
+            where.getFileSystem(conf).delete(where, True)
+        except Exception:  # noqa: BLE001 - the session has ended before
+            return

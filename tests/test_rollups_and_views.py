@@ -128,14 +128,17 @@ def test_query_filters_before_it_projects(predictions, rows):
     assert views.query_predictions(predictions).count() == 3
 
 
-def test_cache_holds_until_cleared(predictions):
-    cache = views.QueryCache(predictions)
-    first = cache.get(countries="A")
-    assert cache.get(countries="A", years=None) is first
-    assert cache.get(cache=False, countries="A") is not first
-    assert first.is_cached
+def test_cache_holds_until_cleared(predictions, tables, rows):
+    cache = views.QueryCache(predictions, tables, most=2)
+    first = rows(cache.get(countries="A"))
+    assert first == rows(cache.get(cache=False, countries="A")) != []
+    empty = views.QueryCache(predictions.limit(0), tables)  # another process finds it
+    assert rows(empty.get(countries="A", years=None)) == first
+    assert rows(empty.get(countries="B")) == [] and len(tables.names()) == 2
+    cache.get(limit="1")
+    assert len(tables.names()) == 1  # full, so it was emptied first
     cache.clear()
-    assert not first.is_cached and cache.get(countries="A") is not first
+    assert tables.names() == [] and rows(empty.get(countries="A")) == []
 
 
 def test_reported_vs_calculated(spark, rows):
