@@ -2,25 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from panelspark.session import shared_dir
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the shared folder of the session.
-
-    Only a session that runs in one process (tests) and names no shared folder gets one
-    of its own; elsewhere a missing ``spark.checkpoint.dir`` is an error.
-    """
-    master = spark.conf.get("spark.master", "")
-    alone = master == "local" or master.startswith("local[")
-    own = os.path.join(tempfile.gettempdir(), "panelspark") if alone else None
-    return f"{shared_dir(spark, own).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from panelspark.session import scratch_dir
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -29,7 +13,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: a lost executor re-reads files instead of running the plan again.
     """
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = scratch_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
