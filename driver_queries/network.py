@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from panelspark.operators.joins import lookup_right, salted_join
 from panelspark.operators.network import (
+    CELL,
+    FLAGS,
     augment,
     basemap_status,
     coefficient_table,
@@ -243,6 +245,10 @@ SEGMENTS = {"automobile": 1, "building": 2, "furniture": 3, "machinery": 4}
 
 
 def model(d):
+    return d.stored("model", lambda: coefficients(d))
+
+
+def coefficients(d):
     """Coefficients per disease from the segment's number and the priority's digit."""
     names = reports(d).select("disease", F.substring("taxa", 1, 1).alias("digit")).distinct()
     segment = F.lit(None).cast("int")
@@ -279,8 +285,19 @@ def scaling(d):
     return d.spark.createDataFrame(SCALING, "variable string, mean double, sd double")
 
 
-def scored(d):
-    rows = augment(status_panel(d), edges(d), WEIGHTS)
+def arriving(d):
+    """By-origin rows, from which the totals are summed as well."""
+    return d.stored(
+        "arriving",
+        lambda: augment(status_panel(d), edges(d), WEIGHTS, aggregate_origins=False),
+    )
+
+
+def scored(d, by_origin=False):
+    if by_origin:
+        rows = arriving(d).groupBy(*CELL, *FLAGS).agg(*[F.sum(v).alias(v) for v in VARIABLES])
+    else:
+        rows = augment(status_panel(d), edges(d), WEIGHTS)
     out = score_logit(scale(rows, scaling(d), VARIABLES), model(d), VARIABLES)
     return out.withColumn(
         "predicted_outbreak_probability", F.round("predicted_outbreak_probability", 6)
@@ -327,8 +344,7 @@ def cx6_score_logit(d):
     FROM by_origin b LEFT JOIN scored USING (country_iso3c, disease, month)""",
 )
 def cx9_predictions_by_origin(d):
-    rows = augment(status_panel(d), edges(d), WEIGHTS, aggregate_origins=False)
-    out = predictions_by_origin(rows, scored(d)).select(
+    out = predictions_by_origin(arriving(d), scored(d, by_origin=True)).select(
         "id",
         "country_iso3c",
         "country_origin",
@@ -348,8 +364,7 @@ relative AS (SELECT country_iso3c, disease, month, country_origin,
 
 
 def relative(d):
-    rows = augment(status_panel(d), edges(d), WEIGHTS, aggregate_origins=False)
-    out = relative_imports(rows, model(d), VARIABLES)
+    out = relative_imports(arriving(d), model(d), VARIABLES)
     return out.withColumn("country_rel_import", F.round("country_rel_import", 4))
 
 
@@ -373,9 +388,9 @@ basemap AS (SELECT s.*, predicted_outbreak_probability IS NULL AS disease_countr
 """
 
 
-def basemap(d):
+def basemap(d, by_origin=False):
     drawn = d.nation.select(F.col("n_name").alias("country_iso3c"))
-    return basemap_status(drawn, scored(d))
+    return basemap_status(drawn, scored(d, by_origin))
 
 
 @query(
@@ -404,7 +419,7 @@ def pr14_basemap_status(d):
     USING (country_iso3c, disease, month)""",
 )
 def cx8_import_weights(d):
-    return month_text(import_weights(relative(d), basemap(d)))
+    return month_text(import_weights(relative(d), basemap(d, by_origin=True)))
 
 
 @query(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .grid import product, spread, with_values
 from .joins import not_matching, null_safe_join, small_side
 from ..functions.periods import half_index, index_semester, index_year
+from ..session import stored
 
 UNREPORTED = "unreported"
 
@@ -275,16 +276,19 @@ def append_absent(
 ) -> DataFrame:
     """Add an ``unreported`` row for every item, country and half-year without one.
 
-    The half-years are those reported plus the next two.
+    The half-years are those reported plus the next two. All axes come from the distinct
+    keys, which are stored, so the reports are read once for them and once for the rows.
     """
-    periods = reports.select(year, sem).distinct()
-    future = next_half_years(reports, year, sem).select(
+    keys = [*item, country, sem, year]
+    known = stored(reports.select(*keys).distinct(), "report-keys")
+    periods = known.select(year, sem).distinct()
+    future = next_half_years(known, year, sem).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in periods.schema]
     )
-    items = spread(reports.select(*item).distinct(), *item)
-    cells = product(items, reports.select(country).distinct())
+    items = spread(known.select(*item).distinct(), *item)
+    cells = product(items, known.select(country).distinct())
     cells = product(cells, periods.unionByName(future).distinct())
-    absent = not_matching(cells, reports, [*item, country, sem, year])
+    absent = not_matching(cells, known, keys)
     return reports.unionByName(
         absent.withColumn(status, F.lit(UNREPORTED)), allowMissingColumns=True
     )
@@ -297,11 +301,15 @@ def add_missing_countries(
     axes: Sequence[str] = ("report_year", "report_semester", "disease"),
     code: str = "country_iso3c",
 ) -> DataFrame:
-    """Rows with default values for listed countries the summary does not hold."""
+    """Rows with default values for listed countries the summary does not hold.
+
+    The axes come from the stored distinct keys, so the summary is read twice.
+    """
+    known = stored(summary.select(code, *axes).distinct(), "summary-keys")
     wanted = countries.select(code).dropna().distinct()
-    cells = not_matching(wanted, summary.select(code).distinct(), [code])
+    cells = not_matching(wanted, known.select(code).distinct(), [code])
     for axis in axes:
-        cells = product(cells, summary.select(axis).distinct())
+        cells = product(cells, known.select(axis).distinct())
     for name, default in defaults.items():
         cells = cells.withColumn(name, F.lit(default))
     return summary.unionByName(cells, allowMissingColumns=True)

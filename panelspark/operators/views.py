@@ -15,6 +15,7 @@ from ..functions.numbers import number_text
 from ..functions.periods import half_year_axis
 from ..functions.status import NEVER, PREDICTED_ABSENT, three_state
 from ..functions.text import split_list, title_case
+from ..session import stored
 
 # What an absent country is filled with.
 MISSING_COUNTRY_DEFAULTS = {
@@ -51,6 +52,7 @@ def nowcast_view(
 
     ``country_names`` has ``country_iso3c`` and ``country_name``.
     """
+    summary = stored(summary, "summary")  # a roll-up, read five times below
     full = add_missing_countries(summary, map_countries, MISSING_COUNTRY_DEFAULTS)
     reported = F.coalesce(number_text("actual_cases"), F.lit("missing"))
     predicted = F.coalesce(number_text("predicted_cases"), F.lit("NA"))

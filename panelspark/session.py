@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC keeps month arithmetic independent of the cluster's clock; adaptive execution
 # sizes shuffles, picks broadcast sides from measured sizes and splits skewed joins.
@@ -62,6 +62,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a scratch folder and read back.
+
+    For frames that are used several times; a lost executor re-reads files instead of
+    running the plan again.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SCRATCH: list[tuple[SparkSession, str]] = []
 
 
