@@ -2,20 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
-from panelspark.session import scratch_dir
+from panelspark.session import stored
 
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back.
-
-    Cuts the lineage: a lost executor re-reads files instead of running the plan again.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["stored", "utf8", "words_text"]
 
 
 def words_text(c: str | Column) -> Column:
