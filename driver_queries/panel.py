@@ -135,12 +135,11 @@ def wn4_interpolate_long(d):
     SELECT p.country_origin, p.country_destination, o.n_heads
     FROM pairs p LEFT JOIN (SELECT country_origin, country_destination,
                                    sum({LARGE_SQL}) AS n_heads
-                            FROM flows WHERE year >= 2000 GROUP BY ALL) o
+                            FROM flows GROUP BY ALL) o
     USING (country_origin, country_destination)""",
 )
 def jn3_fill_grid(d):
-    recent = flows(d).filter(F.col("year") >= 2000)
-    observed = recent.groupBy(*PAIR).agg(F.sum(large()).alias("n_heads"))
+    observed = flows(d).groupBy(*PAIR).agg(F.sum(large()).alias("n_heads"))
     return fill_grid(observed, ordered_pairs(nations(d)), PAIR)
 
 
