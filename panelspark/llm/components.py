@@ -31,15 +31,19 @@ def components(edges: DataFrame) -> DataFrame:
     node, which adaptive execution splits where a node has many edges.
     """
     edges = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b")
-    before = None
     while True:
         edges = stored(_star(_star(edges, True), False), "stars")
-        now = edges.agg(
-            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")
-        ).first()
-        if (now["n"], now["h"]) == before:
+        # done once every linked node has one centre and no centre is linked itself
+        ends = edges.select("a", "b", F.lit(False).alias("centre")).unionByName(
+            edges.select(
+                F.col("b").alias("a"), F.lit(None).cast("long").alias("b"), F.lit(True).alias("centre")
+            )
+        )
+        bad = ends.groupBy("a").agg(
+            F.min("b").alias("low"), F.max("b").alias("high"), F.bool_or("centre").alias("centre")
+        )
+        if bad.filter("low < high OR (low IS NOT NULL AND centre)").isEmpty():
             break
-        before = (now["n"], now["h"])
     members = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     centres = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return members.unionByName(centres)

@@ -8,11 +8,13 @@ all are. Coordinates of two texts agree with the probability of their Jaccard si
 
 ``ROWS`` successive coordinates make a band; texts that share a band are candidates. A
 pair of similarity 0.75 shares none of the ``BANDS`` bands in fewer than one of a million
-cases. Within a band's bucket, members are compared with a leader, not with each other;
-as long as a bucket holds members in different components, more leaders are taken, until
-every two members are in one component or have been compared. So a group of near copies
-costs a comparison per member, and no link between different texts is lost. Bits of the
-sketch rule out pairs before the texts are compared as sets of shingles.
+cases. Within a band's bucket, members are compared with a leader, not with each other:
+first with the text that shares most bands with most others. As long as a bucket holds
+members in different components, more leaders are taken, until every two members are in
+one component or have been compared. So a group of near copies costs a comparison per
+member, and no link between different texts is lost. Before texts are compared as sets of
+shingles, pairs are ruled out by their sizes, by the parity maps of their sets, which
+bound the difference of two sets from below, and by bits of the sketch.
 
 Texts with the same words form a class with one representative from the start.
 """
@@ -37,8 +39,10 @@ SIZE = ROWS * BANDS
 #: Agreeing ones of 256 sketch bits that a pair needs: 224 are expected at 0.75, and
 #: fewer than 190 have a probability below 1e-9.
 BITS, LEAST_BITS = 256, 190
-#: Leaders taken per bucket in the second pass, four times as many in each further one.
-LEADERS = 8
+#: Bits of the parity map of a set.
+MAP = 1024
+#: Leaders taken per bucket in the second pass, eight times as many in each further one.
+LEADERS = 64
 SLICE = 256
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -126,7 +130,18 @@ def sketch_bits(coordinates: np.ndarray) -> np.ndarray:
     return np.packbits(ones).view(np.int64)
 
 
-SKETCH = "struct<n: bigint, class: binary, bands: array<bigint>, bits: array<bigint>>"
+def parity_map(hashes: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls on each of ``MAP`` bits, as longs."""
+    odd = np.bincount((hashes % _U(MAP)).astype(np.int64), minlength=MAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+SKETCH = (
+    "struct<n: bigint, class: binary, bands: array<bigint>, bits: array<bigint>,"
+    " map: array<bigint>>"
+)
+#: What tells whether a pair is worth comparing.
+FACTS = ("n", "bits", "map")
 
 
 def _sketcher():
@@ -135,26 +150,29 @@ def _sketcher():
         known = Hashed()
         for batch in batches:
             for at in range(0, len(batch), SLICE):
-                n, classes, bands, bits = [], [], [], []
+                n, classes, bands, bits, maps = [], [], [], [], []
                 for text in batch.slice(at, SLICE).to_pylist():
                     words = text_words(text or b"")
                     hashes = shingle_hashes(words, known)
                     n.append(len(hashes))
                     if not words:
-                        classes.append(None), bands.append(None), bits.append(None)
+                        for column in (classes, bands, bits, maps):
+                            column.append(None)
                         continue
                     classes.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
                     coordinates = sketch(hashes)
                     bands.append(band_keys(coordinates))
                     bits.append(sketch_bits(coordinates))
+                    maps.append(parity_map(hashes))
                 yield pa.StructArray.from_arrays(
                     [
                         pa.array(n, pa.int64()),
                         pa.array(classes, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
                         pa.array(bits, pa.list_(pa.int64())),
+                        pa.array(maps, pa.list_(pa.int64())),
                     ],
-                    ["n", "class", "bands", "bits"],
+                    ["n", "class", "bands", "bits", "map"],
                 )
 
     return make
@@ -178,17 +196,31 @@ def _similar():
     return similar
 
 
-def _agreeing(a: str, b: str) -> Column:
+def _differing(c: str, longs: int) -> Column:
+    """Number of bits in which the longs of ``c`` and ``lead_c`` differ."""
     return sum(
-        (F.bit_count(F.element_at(a, i).bitwiseXOR(F.element_at(b, i))) for i in range(1, 5)),
+        (
+            F.bit_count(F.element_at(c, i).bitwiseXOR(F.element_at(f"lead_{c}", i)))
+            for i in range(1, longs + 1)
+        ),
         F.lit(0),
     )
 
 
-def _plausible(pairs: Column | None = None) -> Column:
-    """Pairs of columns ``lead_*`` and own ones that may be similar enough."""
-    sizes = (F.least("n", "lead_n") * 100) >= (F.greatest("n", "lead_n") * 75)
-    return sizes & (F.lit(BITS) - _agreeing("bits", "lead_bits") >= LEAST_BITS)
+def _plausible() -> Column:
+    """Pairs of columns ``lead_*`` and own ones that may be similar enough.
+
+    Of two sets that are similar enough, the smaller has 3/4 of the larger one's size,
+    and at most 1/7 of all members are in one set only; each of these changes one bit of
+    the parity map at most, so both tests lose nothing.
+    """
+    sizes = F.least("n", "lead_n") * 100 >= F.greatest("n", "lead_n") * 75
+    apart = _differing("map", MAP // 64) * 7 <= F.col("n") + F.col("lead_n")
+    return sizes & apart & (F.lit(BITS) - _differing("bits", BITS // 64) >= LEAST_BITS)
+
+
+def _named(df: DataFrame, *columns: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"lead_{c}") for c in columns])
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -199,63 +231,75 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.filter(_similar()(F.col("left"), F.col("right"))).select("a", "b")
 
 
-def _leads(members: DataFrame, leads: DataFrame) -> DataFrame:
-    """Plausible pairs of a bucket's leaders and members of other components."""
-    led = leads.select(
-        "key", *[F.col(c).alias(f"lead_{c}") for c in ("node", "n", "bits", "component")]
-    )
-    met = members.join(led, "key").filter(
-        (F.col("component") != F.col("lead_component")) & _plausible()
+def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """``key``, ``node``, ``component`` of the buckets with several components."""
+    found = F.coalesce(F.col("component"), F.col("node")).alias("component")
+    placed = buckets.join(labels, "node", "left").select("key", "node", found)
+    keys = (
+        placed.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low < high")
+        .select("key")
     )
-    return met.select(F.least("node", "lead_node").alias("a"), F.greatest("node", "lead_node").alias("b"))
+    return placed.join(keys, "key", "left_semi")
 
 
 def link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """``node`` and ``component`` of the classes that are linked to another one.
 
-    ``classes`` has ``node``, ``n``, ``bands`` and ``bits``; ``docs`` has ``node`` and
+    ``classes`` has ``node``, ``bands`` and the :data:`FACTS`; ``docs`` has ``node`` and
     ``text`` (UTF-8) and at least the rows of all nodes.
     """
     bands = classes.select("node", F.explode("bands").alias("key"))
-    shared = bands.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    shared = shared.filter("low < high").select("key", F.col("low").alias("lead_node"))
+    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     buckets = stored(bands.join(shared, "key"), "buckets")
-    own = classes.select("node", "n", "bits")
-    nodes = buckets.select("node").distinct()
-    known = stored(own.join(nodes, "node"), "bucket-nodes")
-    texts = stored(docs.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "bucket-texts")
-
-    lead = known.select(
-        F.col("node").alias("lead_node"), F.col("n").alias("lead_n"), F.col("bits").alias("lead_bits")
+    # a text that shares many bands with many others is in the middle of its group
+    middle = buckets.groupBy("node").agg(F.sum("size").alias("weight"))
+    known = stored(
+        classes.select("node", *FACTS).join(middle, "node").withColumn(
+            "rank", F.struct("weight", (-F.col("node")).alias("first"))
+        ),
+        "bucket-nodes",
     )
-    stars = buckets.filter("node <> lead_node").select("node", "lead_node").distinct()
-    pairs = stars.join(known, "node").join(lead, "lead_node").filter(_plausible())
-    edges = stored(
-        _linked(pairs.select(F.col("lead_node").alias("a"), F.col("node").alias("b")), texts),
-        "links",
+    texts = stored(
+        docs.join(known.select("node"), "node", "left_semi").dropDuplicates(["node"]),
+        "bucket-texts",
+    )
+
+    # First every text meets one leader, the most central one of all its buckets.
+    ranked = buckets.select("key", "node").join(known.select("node", "rank"), "node")
+    leaders = ranked.groupBy("key").agg(F.max("rank").alias("lead"))
+    best = ranked.join(leaders, "key").groupBy("node").agg(F.max("lead").alias("lead"))
+    best = best.select("node", (-F.col("lead.first")).alias("lead_node")).filter("node <> lead_node")
+    pairs = (
+        best.join(known, "node")
+        .join(_named(known, "node", *FACTS), "lead_node")
+        .filter(_plausible())
+        .select(F.col("lead_node").alias("a"), F.col("node").alias("b"))
     )
+    edges = stored(_linked(pairs, texts), "links")
     labels = components(edges)
 
-    # The first leaders have met all members. The others have not met each other.
-    left = buckets.filter("node <> lead_node").select("key", "node")
-    leaders = LEADERS
+    # Where a bucket still holds several components, all its members lead in turn.
+    about = known.select("node", *FACTS)
+    left, count = buckets.select("key", "node"), LEADERS
     while True:
-        found = F.coalesce(F.col("component"), F.col("node")).alias("component")
-        placed = left.join(labels, "node", "left").select("key", "node", found)
-        mixed = (
-            placed.groupBy("key")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .filter("low < high")
-            .select("key")
-        )
-        left = stored(placed.join(mixed, "key", "left_semi"), "mixed-buckets")
+        left = stored(_mixed(left, labels), "mixed-buckets")
         if left.isEmpty():
             break
         order = Window.partitionBy("key").orderBy("node")
-        ranked = left.withColumn("rank", F.row_number().over(order))
-        leads = stored(ranked.filter(F.col("rank") <= leaders), "leaders")
-        pairs = _leads(
-            left.join(known, "node"), leads.join(known, "node")
+        leads = stored(
+            left.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= count),
+            "leaders",
+        )
+        led = _named(leads.join(about, "node"), "key", "node", "component", *FACTS)
+        met = (
+            left.join(about, "node")
+            .join(led.withColumnRenamed("lead_key", "key"), "key")
+            .filter((F.col("component") != F.col("lead_component")) & _plausible())
+        )
+        pairs = met.select(
+            F.least("node", "lead_node").alias("a"), F.greatest("node", "lead_node").alias("b")
         )
         fresh = stored(_linked(pairs, texts), "links")
         if not fresh.isEmpty():
@@ -264,7 +308,7 @@ def link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
         left = left.select("key", "node").join(
             leads.select("key", "node"), ["key", "node"], "left_anti"
         )
-        leaders *= 4
+        count *= 8
     return labels
 
 
@@ -281,7 +325,7 @@ def label_near_duplicates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = utf8(docs[text_col])
     sketched = stored(
         docs.select(docs["doc_id"].cast("long").alias("doc_id"), _sketcher()(text).alias("s")).select(
-            "doc_id", "s.n", "s.class", "s.bands", "s.bits"
+            "doc_id", "s.n", "s.class", "s.bands", "s.bits", "s.map"
         ),
         "sketches",
     )
@@ -290,6 +334,7 @@ def label_near_duplicates(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.min("n").alias("n"),
         F.min("bands").alias("bands"),
         F.min("bits").alias("bits"),
+        F.min("map").alias("map"),
     )
     classes = stored(one, "classes")
     rows = docs.select(docs["doc_id"].cast("long").alias("node"), text.alias("text"))

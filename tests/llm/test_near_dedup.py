@@ -12,6 +12,7 @@ from panelspark.llm.near_dedup import (
     SIZE,
     drop_near_duplicates,
     label_near_duplicates,
+    parity_map,
     shingle_hashes,
     shingles,
     sketch,
@@ -127,6 +128,16 @@ def test_sketch_equals_its_definition():
     assert [filled[i] for i in range(SIZE)] == sketch(x).tolist()
 
 
+def test_parity_maps_bound_the_difference():
+    rng = np.random.default_rng(8)
+    for n in (3, 60, 500, 4000):
+        for k in (0, n // 10, n // 2):
+            x = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            y = np.concatenate((x[k:], rng.integers(0, 1 << 63, k, dtype=np.uint64)))
+            apart = np.bitwise_count((parity_map(x) ^ parity_map(y)).view(np.uint64)).sum()
+            assert apart <= len(np.setxor1d(x, y))
+
+
 def test_components_of_chains_stars_and_none(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(100, 130)] + [(500, i) for i in range(501, 600)] + [(7, 7)]
