@@ -136,18 +136,22 @@ def train(
     rows = labelled.select(
         F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text")
     ).filter(F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    hashed = rows.select("label", F.xxhash64("text").alias("h"))
-    labels = [r["label"] for r in hashed.select("label").distinct().limit(MOST_LANGUAGES + 1).collect()]
-    if len(labels) > MOST_LANGUAGES:
+    hashed = rows.select("label", F.xxhash64("text").alias("h")).distinct()
+    counted = hashed.groupBy("label").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(counted) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} labels")
-    if not labels:
+    if not counted:
         return None
-    each = max(1, training // len(labels))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("h"))
-    chosen = (
-        hashed.groupBy("label", "h").agg(F.count(F.lit(1)).alias("n"))
-        .select("label", "h", rank.alias("rank")).filter(F.col("rank") <= each)
+    each = max(1, training // len(counted))
+    # all but about four times the wanted rows of a label are left out by hash first, so
+    # that a frequent label does not gather in one task
+    part = F.pmod("h", F.lit(1 << 31))
+    most = F.create_map(
+        *[F.lit(x) for r in counted for x in (r["label"], min(1.0, 4 * each / r["count"]))]
     )
+    some = hashed.filter(part < F.element_at(most, F.col("label")) * float(1 << 31))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(part, "h"))
+    chosen = some.withColumn("rank", rank).filter(F.col("rank") <= each)
     hashes = sorted({r["h"] for r in chosen.select("h").collect()})
     sample = (
         rows.withColumn("h", F.xxhash64("text"))
