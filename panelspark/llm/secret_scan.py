@@ -2,7 +2,11 @@
 
 Texts are cut into words; assignment signs become words of their own. A candidate is a
 word that looks generated (16 or more characters with a digit or mixed case), or one of
-8 or more that is assigned to a name such as ``password``. The forest sees its length,
+8 or more that follows a name such as ``password``. A value that is assigned to such a
+name, or the password of ``scheme://user:password@host``, is a candidate of any length and
+is taken before the text is cut: in quotes up to the closing quote of the line, bare up to
+white space, to ``;``, ``&`` or ``,`` before another name or a space, or to a closing quote
+or bracket of the text around it. The forest sees its length,
 its character transitions and entropy, how much of it a small dictionary covers, what the
 path says, and the neighbouring words. It learns from labelled findings: texts of which
 every candidate is (or is not) a secret. Everything is column expressions; only words of
@@ -29,7 +33,30 @@ CUT = r"""[\s"'`,;(){}\[\]<>|&?#$%*!]+"""
 VALUE = r"^[A-Za-z0-9+/_.~@-]{8,}$"
 MADE = r"^(?=.{16,}$)(?:(?=.*[0-9])|(?=.*[a-z])(?=.*[A-Z])(?!^[A-Z][a-z]+$)).*$"
 KNOWN = r"^(AKIA|ASIA|ghp_|gho_|github_pat_|sk_live_|xox[abp]-|AIza|eyJ|glpat-)"
-MAYBE = r"[A-Za-z0-9+/_.~@-]{16,}|(?i:pass|pwd|secret|token|api.?key|auth|bearer|credential|private|access_key)"
+MAYBE = r"[A-Za-z0-9+/_.~@-]{16,}|(?i:pass|pwd|secret|token|api.?key|auth|bearer|credential|private|access_?key)|://[^\s/:@]*:[^\s/]+@"
+
+#: Marks put around values before the text is cut; in texts they count as white space.
+VALUE_OPEN, VALUE_CLOSE, URL_OPEN, URL_CLOSE = "\x01", "\x02", "\x03", "\x04"
+WORD_OPEN, WORD_CLOSE = "\x05", "\x06"
+MARKS = [VALUE_OPEN, VALUE_CLOSE, URL_OPEN, URL_CLOSE, WORD_OPEN, WORD_CLOSE]
+_KEY = r"(?i:pass|pwd|secret|token|api[_.-]?key|auth|bearer|credential|private|access_?key)"
+_SCHEME = r"(?:(?i:bearer|basic|token)[ \t]++)?+"
+_HEAD = (
+    rf"(?:{_KEY}[A-Za-z0-9_.-]*+(?:\\*+[\"'`])?+[\])}}]?+"
+    r"(?:[ \t]*:[ \t]*(?i:str|string|bytes|Optional\[str\])(?=[ \t]*=))?+"
+    r"[ \t]*+[?+|!]{0,2}[=:](?:[=:>~]|[ \t]++(?=[=:]))*+"
+    rf"|(?<![A-Za-z0-9_-])--[A-Za-z0-9-]{{0,40}}?{_KEY}[A-Za-z0-9-]*+[ \t]++(?!-))"
+)
+_BARE = (
+    r"(?![\s,;)\]}\x03])(?:\([^\s()]*+\)|\[[^\s\[\]]*+\]|\{[^\s{}]*+\}|<[^\s<>]*+>|[^\s\"'`;&,)\]}>]"
+    r"|[)\]}>](?![\s\"'`,;)\]}>]|$)|[;&,](?![A-Za-z0-9_.-]*+[ \t]*+[=:]|[\s\"'`)\]}]|$)|[\"'`](?=[A-Za-z0-9]))++"
+)
+ASSIGNED = (
+    rf"({_HEAD}\s*+[rbfuRBFU@$]{{0,2}}(\\*+(?:\"{{3}}|'{{3}}|[\"'`])){_SCHEME})((?:(?!\2)(?:\\[^\n]|[^\\\n]))++)(?=\2)"
+    rf"|({_HEAD}[ \t]*+[\"'`]*+{_SCHEME})({_BARE})"
+    rf"|({_KEY}[A-Za-z0-9_.-]*+>)([^<\n]++)(?=</)"
+)
+IN_URL = r"(://[^\s/:@\"'`<>]*+:)([^\s/\"'`<>]+)(?=@[A-Za-z0-9_\[])"
 
 #: Words that written identifiers and placeholders are made of.
 DICTIONARY = (
@@ -50,11 +77,17 @@ DICTIONARY = (
 ).split()
 NEAR_SECRET = r"(?i)(pass|pwd|secret|token|api.?key|auth|bearer|credential|private|access_key)"
 NEAR_OTHER = r"(?i)(commit|sha|md5|hash|checksum|digest|uuid|guid|version|revision|build|invoice|card|phone|order|file|request|trace|example|sample)"
+STRONG = r"(?i)(password|passwd|passphrase|pwd|secret|token|api[_.-]?key|credential|access_?key|private[_.-]?key|(^|[_.-])pass$|bearer|authorization)"
+CODE = (
+    r"^[$%]\{?[A-Za-z_]+\}?$|^\$\(|^[A-Za-z_][A-Za-z0-9_.]*[(\[]|\{\{|^<.*>$|^[A-Za-z_]+(\.[A-Za-z_]+)+$"
+    r"|^(?i:null|none|nil|true|false|undefined|string|str|bytes|text|required|optional|empty|unknown|changeme|n/a)$"
+)
 TEST_PATH = r"(?i)(test|spec|example|sample|fixture|mock|doc|readme)"
 
 FEATURES = [
     "length", "digits", "uppers", "symbols", "switches", "vowel_switches", "entropy", "covered",
     "hex", "assigned", "named", "near_secret", "near_other", "test_path", "prefixed", "repeats",
+    "strong", "in_url", "code", "spaces",
 ]
 
 
@@ -76,43 +109,85 @@ def _entropy(value: Column) -> Column:
     return bits
 
 
+def _marked(text: Column) -> Column:
+    """A text with marks around the values of assignments and the passwords of URLs. A
+    value of one word has marks of its own."""
+    text = F.translate(text, "".join(MARKS), " " * len(MARKS))
+    text = F.regexp_replace(text, IN_URL, f"$1{URL_OPEN}$2{URL_CLOSE}")
+    text = F.regexp_replace(text, ASSIGNED, f"$1$4$6{VALUE_OPEN}$3$5$7{VALUE_CLOSE}")
+    word = f"([^=:{''.join(MARKS)}{CUT[1:-2]}]+)"
+    one = f"{VALUE_OPEN}{word}{VALUE_CLOSE}|{URL_OPEN}{word}{URL_CLOSE}"
+    return F.regexp_replace(text, one, f"{WORD_OPEN}$1$2{WORD_CLOSE}")
+
+
+def _name(before: Column) -> Column:
+    """The last of the words that is not an assignment sign."""
+    return F.element_at(F.filter(before, lambda w: ~w.isin("=", ":")), -1)
+
+
 def find_candidates(docs: DataFrame, text_col: str, path_col: str | None, keep: list[str]) -> DataFrame:
     """A row per candidate: ``keep`` columns, ``at`` (word number), ``value``, its
-    neighbours ``before`` and ``after``, and ``path``."""
+    neighbours ``before`` and ``after``, and ``path``. Of a value of several words ``at``
+    is the number of the first; words in it that look generated have rows of their own."""
     text = words_text(docs[text_col])
     path = words_text(docs[path_col].cast("string")) if path_col else F.lit("")
-    words = F.split(F.regexp_replace("__text", r"[=:]", " $0 "), CUT)
     rows = docs.select(
         *[docs[c].alias(f"__keep_{c}") for c in keep], text.alias("__text"), path.alias("path")
     ).filter(F.col("__text").rlike(MAYBE))
-    rows = rows.withColumn("words", words).drop("__text")
+    rows = rows.withColumn("__text", _marked(F.col("__text")))
+    spaced = F.regexp_replace("__text", f"[=:{''.join(MARKS)}]", " $0 ")
+    rows = rows.withColumn("raw", F.split(spaced, CUT))
+
+    def spans(opening: str, closing: str) -> Column:
+        """Place of each mark and of its end among the raw words, with the value."""
+        at = lambda mark: F.filter(F.transform("raw", lambda w, i: F.when(w == mark, i)), lambda i: i.isNotNull())
+        values = F.regexp_extract_all("__text", F.lit(f"{opening}([^{closing}]*){closing}"), F.lit(1))
+        return F.transform(
+            F.arrays_zip(at(opening).alias("i"), at(closing).alias("end"), values.alias("v")),
+            lambda z: F.struct(
+                z["i"].alias("i"), z["end"].alias("end"), F.translate(z["v"], "".join(MARKS), "").alias("value")
+            ),
+        )
 
     def chosen(word: Column, i: Column) -> Column:
-        before = F.when(i >= 1, F.get("words", i - 1))
-        name = F.when(before.isin("=", ":") & (i >= 2), F.get("words", i - 2)).otherwise(before)
+        before = F.when(i >= 1, F.get("raw", i - 1))
+        name = F.when(
+            before.isin("=", ":"), _name(F.slice("raw", F.greatest(i - 3, F.lit(1)), F.least(i, F.lit(4))))
+        ).otherwise(before)
         named = F.coalesce(name.rlike(NAMED), F.lit(False))
-        return F.when(word.rlike(VALUE) & (word.rlike(MADE) | word.rlike(KNOWN) | named & ~word.rlike(NAMED)), i)
+        looks = word.rlike(VALUE) & (word.rlike(MADE) | word.rlike(KNOWN) | named & ~word.rlike(NAMED))
+        return F.when(looks | F.coalesce(before == WORD_OPEN, F.lit(False)), i)
 
-    places = F.filter(F.transform("words", chosen), lambda i: i.isNotNull())
-    found = rows.withColumn("i", F.explode(places))
+    single = F.transform(
+        F.filter(F.transform("raw", chosen), lambda i: i.isNotNull()),
+        lambda i: F.struct(i.alias("i"), (i + 1).alias("end"), F.get("raw", i).alias("value")),
+    )
+    marks = F.filter(F.transform("raw", lambda w, i: F.when(w.isin(MARKS), i)), lambda i: i.isNotNull())
+    places = F.concat(single, spans(VALUE_OPEN, VALUE_CLOSE), spans(URL_OPEN, URL_CLOSE))
+    rows = rows.withColumns({"marks": marks, "words": F.filter("raw", lambda w: ~w.isin(MARKS))})
+    # the list is exploded as it is: of a column Spark makes a filter that cuts the text per word
+    found = rows.withColumn("c", F.explode(places)).drop("__text", "raw")
+    passed = lambda end: F.size(F.filter("marks", lambda m: m < end))
+    found = found.withColumn("i", F.col("c.i") - passed(F.col("c.i")))
+    found = found.withColumn("end", F.col("c.end") - passed(F.col("c.end")))
     first = F.greatest(F.col("i") - BEFORE, F.lit(0))
     return found.select(
         *[F.col(f"__keep_{c}").alias(c) for c in keep],
         F.col("i").cast("long").alias("at"),
-        F.get("words", F.col("i")).alias("value"),
+        F.col("c.value").alias("value"),
         F.slice("words", first + 1, F.col("i") - first).alias("before"),
-        F.slice("words", F.col("i") + 2, F.lit(AFTER)).alias("after"),
+        F.slice("words", F.col("end") + 1, F.lit(AFTER)).alias("after"),
         "path",
     )
 
 
 def with_features(found: DataFrame) -> DataFrame:
     value = F.col("value")
-    signs = F.col("before")
+    signs = F.filter(F.transform("before", lambda w: F.rtrim(w, F.lit("\\"))), lambda w: w != "")  # escaped quotes
     last = F.element_at(signs, -1)
     assigned = F.coalesce(F.when(F.size(signs) > 0, last.isin("=", ":")), F.lit(False))
-    name = F.when(assigned & (F.size(signs) > 1), F.element_at(signs, -2)).when(F.size(signs) > 0, last)
-    around = F.array_join(F.concat(signs, "after"), " ")
+    name = F.when(F.size(signs) > 0, _name(signs))
+    around = F.array_join(F.concat("before", "after"), " ")
     cover = "(?i)(" + "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))) + ")"
     number = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
     columns = {
@@ -132,6 +207,10 @@ def with_features(found: DataFrame) -> DataFrame:
         "test_path": F.col("path").rlike(TEST_PATH),
         "prefixed": value.rlike(KNOWN),
         "repeats": _share(value, r"(.)(?=\1)"),
+        "strong": name.rlike(STRONG),
+        "in_url": assigned & name.startswith("//"),
+        "code": value.rlike(CODE),
+        "spaces": _share(value, r"\s"),
     }
     return found.select("*", *[number(columns[c]).alias(c) for c in FEATURES])
 
@@ -155,6 +234,11 @@ def labelled_texts(docs: DataFrame, text_col: str = "text", n: int = LABELLED_FR
     uuid = F.regexp_replace(md5("u"), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
     number = F.substring(F.regexp_replace(F.concat(sha("n"), sha("m")), "[a-f]", ""), 1, 16)
     mixed = F.concat(F.substring(b64("p"), 1, 13), F.lit("7x"))
+    bit = lambda k, i, n: F.substring(b64(k), i, n)
+    signed = lambda k: F.concat(
+        bit(k, 1, 3), F.lit("#"), bit(k, 4, 2), F.lit("!"), bit(k, 6, 2), F.lit("$"), bit(k, 8, 3)
+    )
+    short = lambda k: F.concat(bit(k, 1, 4), F.lit("7"), bit(k, 5, 2))
 
     def case(label: int, *parts, path: str = "src/main"):
         parts = [F.lit(p) if isinstance(p, str) else p for p in parts]
@@ -172,6 +256,31 @@ def labelled_texts(docs: DataFrame, text_col: str = "text", n: int = LABELLED_FR
         case(1, 'api_key = "', md5("g"), '"'),
         case(1, "client_secret: '", sha("h"), "'", path="deploy/values"),
         case(1, "DB_PASSWORD = ", F.substring(b64("i"), 1, 20)),
+        case(1, 'DB_PASSWORD="', signed("q"), '"'),
+        case(1, "password=", signed("r")),
+        case(1, "root_pwd := '", short("s"), "'"),
+        case(1, "if password == ", short("t")),
+        case(1, "Password: ", short("v")),
+        case(1, "postgres://app:", F.substring(b64("x"), 1, 10), "@db/x"),
+        case(1, "amqp://", w(4), ":", signed("y"), "@mq.", w(5), ".net:5672/", w(6)),
+        case(1, "secret = '", F.lower(w(4)), "7", short("z"), "'"),
+        case(0, "password = None"),
+        case(0, 'password = "${DB_PASSWORD}"'),
+        case(0, "password=$", F.upper(w(4))),
+        case(0, "password = os.getenv('", F.upper(w(4)), "')"),
+        case(0, "token = self.", F.lower(w(4)), ".", F.lower(w(5))),
+        case(0, 'password_label: "', w(4), " ", w(5), " ", w(6), '"'),
+        case(0, "password: string"),
+        case(0, "token: ", w(4)),
+        case(0, "author: ", w(4), " ", w(5)),
+        case(0, "author = ", F.substring(sha("A"), 1, 6)),
+        case(0, "passed: ", F.substring(number, 1, 3)),
+        case(0, 'secret = "<your-secret>"'),
+        case(0, 'pwd = "********"'),
+        case(0, "mysql://user:password@localhost/", w(4)),
+        case(0, "https://", w(4), ":${TOKEN}@", w(5), ".com/"),
+        case(0, F.initcap(F.concat(w(4), w(5), w(6), w(7))), "."),
+        case(0, w(1), " ", F.initcap(F.concat(w(5), w(6), w(4))), "."),
         case(0, "commit ", sha("j")),
         case(0, "sha1 checksum: ", sha("k")),
         case(0, "md5 = ", md5("l")),

@@ -84,3 +84,52 @@ def test_odd_tables(spark, model):
 def test_no_python_in_the_plan(docs, model):
     plan = scan(docs, model)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+#: Text, and what is assigned in it.
+ASSIGNED = [
+    ('DB_PASSWORD="tR7#kq!92$Lm"', "tR7#kq!92$Lm"),
+    ("password: 'a<b>&(c)*9 x'", "a<b>&(c)*9 x"),
+    ("export PASSWORD=tR7#kq!92$Lm next", "tR7#kq!92$Lm"),
+    ("Server=h;Password=t7#kq(1);Database=y", "t7#kq(1)"),
+    ("GET /x?token=tR7k*9q&user=me", "tR7k*9q"),
+    ("connect(password=xK9dq2)", "xK9dq2"),
+    ("pwd = xK9dq2", "xK9dq2"),
+    ("password := xK9dq2", "xK9dq2"),
+    ("if password == 'xK9dq2wz':", "xK9dq2wz"),
+    ("'password' => 'xK9#q2wz',", "xK9#q2wz"),
+    (r'{\"password\": \"tR7#kq!92\"}', "tR7#kq!92"),
+    (r'password = "a\"b#c9"', r"a\"b#c9"),
+    ("mysql --password tR7#kq!92$Lm -u x", "tR7#kq!92$Lm"),
+    ("<password>tR7#kq!92$Lm</password>", "tR7#kq!92$Lm"),
+    ("postgres://app:Xk29dlfPq1@db/x", "Xk29dlfPq1"),
+    ("redis://:Xk2:9d#lfP@q1@db:6379/x", "Xk2:9d#lfP@q1"),
+    ("https://token:Xk29dlfPq1@git/x", "Xk29dlfPq1"),
+]
+
+
+def test_assigned_values_are_whole_candidates(spark):
+    rows = [(i, text, "p", "v", 1, "w") for i, (text, _) in enumerate(ASSIGNED)]
+    found = find_candidates(spark.createDataFrame(rows, SCHEMA), "text", "source", ["doc_id"]).collect()
+    got = {i: [r["value"] for r in found if r["doc_id"] == i] for i in range(len(ASSIGNED))}
+    assert got == {i: [value] for i, (_, value) in enumerate(ASSIGNED)}
+
+
+def test_places_around_assigned_values(spark):
+    text = f'a b password = "x#y!z 9" c d DB_URL=pg://u:p#w@h/x token = "see {HEX} there" e'
+    df = spark.createDataFrame([(1, text, "p", "v", 1, "w")], SCHEMA)
+    got = {r["value"]: r for r in find_candidates(df, "text", "source", ["doc_id"]).collect()}
+    assert set(got) == {"x#y!z 9", "p#w", f"see {HEX} there", HEX}
+    first = got["x#y!z 9"]
+    assert (first["at"], first["before"], first["after"]) == (4, ["a", "b", "password", "="], ["c", "d", "DB_URL"])
+    assert got[HEX]["at"] == got[f"see {HEX} there"]["at"] + 1 and got[HEX]["after"] == ["there", "e"]
+
+
+def test_assigned_secrets_are_kept_and_references_are_not(spark, model):
+    no = ["password = None", "author: Smith", 'password = "${DB_PASSWORD}"', "password = os.getenv('PW')",
+          "mysql://user:password@localhost/db", 'pwd = "********"']
+    rows = [(i, f"some words {text} and more", "src/main", "v", 1, "w") for i, (text, _) in enumerate(ASSIGNED)]
+    rows += [(100 + i, f"some words {text} and more", "src/main", "v", 1, "w") for i, text in enumerate(no)]
+    got = scan(spark.createDataFrame(rows, SCHEMA), model).filter("secret").collect()
+    want = {(i, sha(value)) for i, (_, value) in enumerate(ASSIGNED)}
+    assert {(r["doc_id"], r["value_sha256"]) for r in got} == want
