@@ -3,7 +3,10 @@
 A template is compared with a part of a text by words. Words that occur once in both are
 anchors; the longest run of them that rises in both is kept, and the gaps between them
 are aligned in the same way. What is matched, over the words of the template, is its
-coverage.
+coverage. The words that identify a license (name, version, variant; ``IDENTITY``) must all
+be matched, with no other word between them, so a near variant is not taken for it. In
+templates of more than ``SHORT`` words only version and variant must be; another word of
+the phrase may be changed, none put in.
 
 The parts of a text that are worth aligning follow from the coverage asked for: a copy
 that lacks at most ``m`` words of a template has one of any ``m + 1`` of them, so the
@@ -25,6 +28,40 @@ from .decontamination import split_words
 
 COVERAGE = 0.8
 
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: Redistributions of source code must retain the "
+    "above copyright notice, this list of conditions and the following disclaimer. Redistributions in "
+    "binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_ADVERTISING = (
+    " All advertising materials mentioning features or use of this software must display the following "
+    "acknowledgement: This product includes software developed by the organization."
+)
+_NO_NAME = (
+    " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission."
+)
+_GNU = (
+    ("GPL-2.0", "", "2"),
+    ("AGPL-3.0", "Affero ", "3"),
+    ("LGPL-3.0", "Lesser ", "3"),
+    ("LGPL-2.1", "Lesser ", "2.1"),
+)
+_GNU_NOTICE = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+    "{kind}General Public License as published by the Free Software Foundation, either version {version} "
+    "of the License, or (at your option) any later version."
+)
+_CC = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+
 #: Public license notices.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
@@ -68,14 +105,59 @@ TEMPLATES = (
     ),
     (
         "BSD-2-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted "
-        "provided that the following conditions are met: Redistributions of source code must retain the "
-        "above copyright notice, this list of conditions and the following disclaimer. Redistributions in "
-        "binary form must reproduce the above copyright notice, this list of conditions and the following "
-        "disclaimer in the documentation and/or other materials provided with the distribution.",
+        _BSD_2,
     ),
+    ("BSD", "Released under the BSD License."),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+    ("ISC", "Released under the ISC License."),
+    ("BSD-3-Clause", _BSD_2 + _NO_NAME),
+    ("BSD-4-Clause", _BSD_2 + _ADVERTISING + _NO_NAME),
+    *[
+        (name, f"This work is licensed under the GNU {kind}General Public License, version {version}.")
+        for name, kind, version in _GNU
+    ],
+    *[(name, _GNU_NOTICE.format(kind=kind, version=version)) for name, kind, version in _GNU],
+    *[(f"CC-{by}-4.0", f"Licensed under CC {by} 4.0.") for by in _CC],
+    *[
+        (
+            f"CC-{by}-4.0",
+            f"This work is licensed under the Creative Commons {long} 4.0 International License.",
+        )
+        for by, long in _CC.items()
+    ],
 )
 
+#: Words of templates that short are all asked for where they identify the license.
+SHORT = 20
+VARIANTS = {b"affero", b"lesser", b"neither", b"advertising", b"attribution"}
+
+#: Phrases that identify a license; those that are in a template must be in its copies.
+IDENTITY = {
+    "MIT": ("mit license",),
+    "ISC": ("isc license",),
+    "BSD": ("bsd license",),
+    "BSD-2-Clause": ("bsd 2 clause license",),
+    "BSD-3-Clause": ("bsd 3 clause license", "neither the name"),
+    "BSD-4-Clause": ("all advertising materials",),
+    "Apache-2.0": ("apache license version 2 0",),
+    **{
+        name: (
+            f"gnu {kind.lower()}general public license",
+            f"general public license version {version.replace('.', ' ')}",
+            f"either version {version.replace('.', ' ')} of",
+        )
+        for name, kind, version in (("GPL-3.0", "", "3"), *_GNU)
+    },
+    **{
+        f"CC-{by}-4.0": (
+            f"cc {by.lower().replace('-', ' ')} 4 0",
+            f"creative commons {long.lower().replace('-', ' ')} 4 0",
+        )
+        for by, long in (("BY-NC", "Attribution-NonCommercial"), *_CC.items())
+    },
+}
+
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Longest part of pairs (rising in the first) that rises in the second."""
@@ -137,6 +219,29 @@ class Template:
         self.missing = int(len(self.words) * (1 - coverage) + 1e-9)
         self.slack = max(3, len(self.words) // 2)
         self.least = coverage * len(self.words) - 1e-9
+        phrases = [p.encode().split() for p in IDENTITY.get(name, ())]
+        self.identity = [
+            (i, i + len(p))
+            for p in phrases
+            for i in range(len(self.words) - len(p) + 1)
+            if self.words[i : i + len(p)] == p
+        ]
+        whole = len(self.words) <= SHORT
+        self.needed = {
+            j: self.words[j]
+            for first, end in self.identity
+            for j in range(first, end)
+            if whole or self.words[j].isdigit() or self.words[j] in VARIANTS
+        }
+
+    def identified(self, pairs: list[tuple[int, int]]) -> bool:
+        """Whether the identifying phrases are matched, without other words put in."""
+        if not self.identity:
+            return True
+        place = {j: i for i, j in pairs}
+        return self.needed.keys() <= place.keys() and all(
+            len({place[j] - j for j in range(first, end) if j in place}) <= 1 for first, end in self.identity
+        )
 
 
 def find_licenses(words: list[bytes], templates: list[Template], vocabulary: set) -> list[tuple]:
@@ -148,7 +253,7 @@ def find_licenses(words: list[bytes], templates: list[Template], vocabulary: set
             where.setdefault(w, []).append(i)
     found = []
     for t in templates:
-        if not t.words or sum(w in where for w in t.words) < t.least:
+        if not t.words or sum(w in where for w in t.words) < t.least or not where.keys() >= set(t.needed.values()):
             continue
         rare = sorted(range(len(t.words)), key=lambda j: len(where.get(t.words[j], ())))
         starts = sorted(
@@ -160,12 +265,17 @@ def find_licenses(words: list[bytes], templates: list[Template], vocabulary: set
             # a wide part, and if copies too near to each other spoil it, exact ones
             parts = [(max(0, starts[at] - t.slack), starts[end - 1] + n + t.slack)]
             parts += [(max(0, i), i + n) for i in starts[at:end]]
+            best = None
             for low, high in parts:
                 pairs = align(words[low:high], t.words)
-                if len(pairs) >= t.least:
+                if len(pairs) >= t.least and t.identified(pairs):
                     span = (low + pairs[0][0], low + pairs[-1][0] + 1)
-                    found.append((len(pairs), len(pairs) / n, t.name, *span))
-                    break
+                    if best is None or (len(pairs), span[0] - span[1]) > (best[0], best[3] - best[4]):
+                        best = (len(pairs), len(pairs) / n, t.name, *span)
+                    if best[4] - best[3] <= n:  # else words of a notice beside it may be in the span
+                        break
+            if best is not None:
+                found.append(best)
             at = end
     kept: list[tuple] = []
     for size, share, name, first, end in sorted(found, key=lambda f: (-f[0], -f[1], f[3], f[2])):

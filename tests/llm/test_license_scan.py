@@ -103,3 +103,31 @@ def test_query_finds_the_notices(spark):
         want[d["doc_id"]] = ",".join(sorted(names))
     got = QUERIES["op8_license_scan"](spark, "/root/testdata/sf0.001").collect()
     assert {r["doc_id"]: r["licenses"] for r in got} == want and any(want.values())
+
+
+@pytest.mark.parametrize(
+    "text,names",
+    [
+        ("Released under the BSD License.", ["BSD"]),
+        ("Released under the Foo License.", []),
+        ("Licensed under the MIT License.", ["MIT"]),
+        ("Released under the MIT-0 License.", []),
+        ("Licensed under CC BY 4.0.", ["CC-BY-4.0"]),
+        ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0"]),
+        ("Licensed under CC BY-ND 4.0.", ["CC-BY-ND-4.0"]),
+        ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+        ("Licensed under CC BY-NC 3.0.", []),
+        ("Licensed under the Apache License, Version 1.1.", []),
+        ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", ["AGPL-3.0"]),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]),
+        ("This work is licensed under the GNU General Public License, version 1.", []),
+        ([t for n, t in TEMPLATES if n == "GPL-3.0"][1].replace("version 3", "version 2"), ["GPL-2.0"]),
+    ],
+)
+def test_near_variants_have_their_own_name(text, names):
+    long = [t for n, t in TEMPLATES if n == "GPL-3.0"][1]
+    for body in (text, f"see {text} {text}", f"{text} {long}"):
+        found, _ = scan(body)
+        want = names * (2 if body.startswith("see") else 1) + (["GPL-3.0"] if body.endswith(long) else [])
+        assert [f[0] for f in found] == want
