@@ -273,3 +273,13 @@ def license_scan(spark, folder):
         F.array_max(F.transform("found", lambda f: F.round(f["coverage"], 6))).alias("coverage"),
         F.to_json("found").alias("found"),
     )
+
+
+# -- 11: whitening -------------------------------------------------------------------
+
+from .whitening import whiten  # noqa: E402
+
+
+@query("op11_whitening")
+def whitening(spark, folder):
+    return whiten(table(spark, folder, "embeddings"), "vec_id", "embedding", 4)
