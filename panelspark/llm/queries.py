@@ -283,3 +283,40 @@ from .whitening import whiten  # noqa: E402
 @query("op11_whitening")
 def whitening(spark, folder):
     return whiten(table(spark, folder, "embeddings"), "vec_id", "embedding", 4)
+
+
+# -- 12: WARC ------------------------------------------------------------------------
+
+from panelspark.session import scratch_dir  # noqa: E402
+
+from .warc import normalise, read_index, read_records, record_texts, write_archives  # noqa: E402
+
+
+@query(
+    "op12_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+           CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+    FROM f
+    """,
+)
+def warc(spark, folder):
+    raw, members = scratch_dir(spark, "streams"), scratch_dir(spark, "members")
+    pages = table(spark, folder, "pages")
+    write_archives(record_texts(pages, "page_id", "url", "html", "2024-01-01T00:00:00Z"), raw)
+    normalise(spark, raw, members)
+    back = read_records(read_index(spark, members), payloads=False)
+
+    def page(c: str):
+        return F.substring_index(c, ":", -1).try_cast("long")
+
+    return back.select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
