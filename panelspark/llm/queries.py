@@ -320,3 +320,73 @@ def warc(spark, folder):
         "record_type",
         page("refers_to").alias("refers_to"),
     )
+
+
+# -- 13: spelling variants -----------------------------------------------------------
+
+from .spelling import group_variants, runs  # noqa: E402
+
+
+# crc32 comes from its table of 256 entries, which the first part builds by its rule.
+@query(
+    "op13_spelling",
+    r"""
+    WITH RECURSIVE rounds AS (
+      SELECT unnest(range(256)) AS b, unnest(range(256)) AS v, 0 AS k
+      UNION ALL
+      SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM rounds WHERE k < 8),
+    crc AS MATERIALIZED (SELECT list(v ORDER BY b) AS t FROM rounds WHERE k = 8),
+    found AS (
+      SELECT doc_id, run, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x
+      FROM (SELECT doc_id, unnest(list_transform(
+              regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+'),
+              lambda r: translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS run
+            FROM documents)
+      WHERE length(run) >= 7),
+    hashed AS (
+      SELECT run, xor(4294967295, list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2),
+                 lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))),
+               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+      FROM found, crc),
+    words AS MATERIALIZED (
+      SELECT word, count(*) AS n FROM (
+        SELECT CASE WHEN h % 31 = 0
+                    THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+        FROM hashed)
+      WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+    holes AS MATERIALIZED (
+      SELECT DISTINCT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+      FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    near AS MATERIALIZED (
+      SELECT a.word, b.word AS other FROM holes a JOIN holes b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+      UNION SELECT word, rest FROM holes WHERE rest IN (SELECT word FROM words)
+      UNION SELECT rest, word FROM holes WHERE rest IN (SELECT word FROM words)),
+    best AS (
+      SELECT near.word, count(*) AS n_near, max(n) AS m, arg_min(other, (-n, other)) AS other
+      FROM near JOIN words ON words.word = other GROUP BY near.word),
+    formed AS MATERIALIZED (
+      SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN other END AS form,
+             CASE WHEN m >= 10 * n THEN m END AS form_n
+      FROM words LEFT JOIN best USING (word)),
+    path(word, root) AS (
+      SELECT word, word FROM formed
+      UNION ALL
+      SELECT path.word, form FROM path JOIN formed ON formed.word = root WHERE form IS NOT NULL)
+    SELECT formed.word, form, root, n, n_near, form_n
+    FROM formed JOIN path ON path.word = formed.word
+    WHERE root IN (SELECT word FROM formed WHERE form IS NULL)
+""",
+)
+def spelling(spark, folder):
+    # a run is changed by its hash with the document's id, so that variants exist
+    found = table(spark, folder, "documents").select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
+        F.explode(runs(F.col("text"), 7)).alias("run"),
+    )
+    found = found.withColumn("h", F.crc32(F.concat("id", F.lit(":"), "run")))
+    at = F.pmod("h", F.length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    words = found.select(F.when(F.col("h") % 31 == 0, cut).otherwise(F.col("run")).alias("word"))
+    words = words.filter(F.length("word") >= 7).groupBy("word").agg(F.count("*").alias("n"))
+    return group_variants(words.filter("n >= 2"))
