@@ -17,6 +17,9 @@ _RIGHT = "__right__"
 # Rows and characters (of the rows written out) up to which a frame is sent to all tasks.
 SMALL_SIDE, SMALL_TEXT = 50_000, 8 << 20
 
+# A key with more rows than PART_ROWS is dealt apart, up to HEAVY_KEYS of them.
+PART_ROWS, HEAVY_KEYS = 1 << 17, 1000
+
 
 def null_safe_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
@@ -71,11 +74,68 @@ def enrich(df: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(small_side(lookup.distinct()), list(on), "left")
 
 
-def lookup_right(df: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Every lookup row with the matching rows of ``df``, NULL matching NULL."""
-    wanted = null_safe_join(lookup, df, on, "left")
+def heavy_keys(
+    df: DataFrame, on: Sequence[str], part_rows: int = PART_ROWS, most: int = HEAVY_KEYS
+) -> DataFrame:
+    """Hash ``__key`` and number of parts ``__parts`` of the keys with over ``part_rows`` rows.
+
+    A sketch of the most frequent keys is kept per task and merged, without a shuffle of
+    keys. It tracks ten times as many keys as it names, so that a key that it misses has
+    less than one row in ``most``. At most ``most`` rows come out, whatever the input.
+    """
+    key = F.xxhash64(*[F.col(c) for c in on])
+    hashed = df.select(key.alias("k"))
+    top = hashed.agg(F.expr(f"approx_top_k(k, {most}, {10 * most})").alias("top"))
+    found = top.select(F.explode("top").alias("t")).filter(F.col("t.count") > part_rows)
+    parts = F.ceil(F.col("t.count") / part_rows).cast("int")
+    return found.select(F.col("t.item").alias("__key"), parts.alias("__parts"))
+
+
+def weighted_join(
+    big: DataFrame,
+    other: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    null_safe: bool = False,
+    part_rows: int = PART_ROWS,
+) -> DataFrame:
+    """Join in which each heavy key of ``big`` is dealt over tasks by its number of rows.
+
+    The rows of a key with ``n`` rows go to ``n / part_rows`` parts by a hash of the whole
+    row, and the rows of ``other`` with that key to each of these parts; all other rows are
+    joined as they are. Every row of ``big`` meets all rows of its key, so that any join
+    that keeps or drops rows of ``big`` stays whole.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"rows of the other side would be repeated in a {how} join")
+    heavy = F.broadcast(heavy_keys(big, on, part_rows))
+    key = F.xxhash64(*[F.col(c) for c in on])
+    row = F.xxhash64(*[F.col(c) for c in big.columns], F.lit(1))
+    one = F.coalesce("__parts", F.lit(1))
+    left = big.withColumn("__key", key).join(heavy, "__key", "left")
+    left = left.withColumn("__part", F.pmod(row, one).cast("int")).drop("__key", "__parts")
+    right = other.withColumn("__key", key).join(heavy, "__key", "left")
+    right = right.withColumn("__part", F.explode(F.sequence(F.lit(0), one - 1)))
+    right = right.drop("__key", "__parts")
+    keys = [*on, "__part"]
+    met = null_safe_join(left, right, keys, how) if null_safe else left.join(right, keys, how)
+    return met.drop("__part")
+
+
+def lookup_right(
+    df: DataFrame, lookup: DataFrame, on: Sequence[str], part_rows: int = PART_ROWS
+) -> DataFrame:
+    """Every lookup row with the matching rows of ``df``, NULL matching NULL.
+
+    Rows of ``df`` meet the lookup in an inner join that deals heavy keys apart; lookup rows
+    that no key of ``df`` matches are added.
+    """
     rest = [c for c in lookup.columns if c not in df.columns]
-    return wanted.select(*df.columns, *rest)
+    met = weighted_join(df, lookup, on, null_safe=True, part_rows=part_rows)
+    alone = not_matching(lookup, df.select(*on).distinct(), on)
+    return met.select(*df.columns, *rest).unionByName(
+        alone.select(*on, *rest), allowMissingColumns=True
+    )
 
 
 def salted_join(

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .grid import bounded_rows
-from .joins import not_matching, salted_join, small_side
+from .joins import PART_ROWS, enrich, not_matching, small_side, weighted_join
 from ..functions.nulls import sum_strict
 from ..functions.numbers import percent_label
 from ..functions.periods import month_start
@@ -111,25 +111,22 @@ def exposure(
     edges: DataFrame,
     weights: Sequence[str],
     aggregate_origins: bool = True,
-    salts: int = 1,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Edge weights arriving at each destination from origins with an outbreak.
 
     Edges (origin, destination, year, weights) meet active origins on origin and
     year only; the joined rows are those of the by-origin table. Edges are made unique
     first, which is cheap, so that the large by-origin rows need no grouping; totals
-    are combined on the map side before they are shuffled. ``salts`` spreads each
-    origin's disease months over that many tasks where one origin dominates.
+    are combined on the map side before they are shuffled. An origin and year with more
+    than ``part_rows`` disease months is dealt over tasks by their number.
     """
     on = ["country_origin", "year"]
     unique = edges.groupBy(*on, "country_destination").agg(
         *[F.sum(w).alias(w + SUFFIX) for w in weights]
     )
     active = active_origins(status)
-    if salts > 1:
-        met = salted_join(active, unique, on, salts, ["disease", "month"])
-    else:
-        met = active.join(unique, on)
+    met = weighted_join(active, unique, on, part_rows=part_rows)
     met = met.withColumnRenamed("country_destination", "country_iso3c")
     if not aggregate_origins:
         return met.drop("year")
@@ -141,14 +138,14 @@ def augment(
     edges: DataFrame,
     weights: Sequence[str],
     aggregate_origins: bool = True,
-    salts: int = 1,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Status rows with exposure columns; no active origin means zero.
 
     With ``aggregate_origins=False`` there is one row per contributing origin, and one
     with a NULL origin for cells without any.
     """
-    arriving = exposure(status, edges, weights, aggregate_origins, salts)
+    arriving = exposure(status, edges, weights, aggregate_origins, part_rows)
     joined = status.join(arriving, list(CELL), "left")
     return joined.fillna(0.0, [w + SUFFIX for w in weights])
 
@@ -217,14 +214,22 @@ def variable_importance(
     coefs: DataFrame,
     variables: Sequence[str],
     probability: str = "predicted_outbreak_probability",
+    countries: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per cell and variable: value times coefficient, its sign, and labels."""
+    """One row per cell and variable: value times coefficient, its sign, and labels.
+
+    ``countries`` (``country_iso3c``, ``country_name``) adds the name of the country.
+    """
     values = df.select(*CELL, probability, *[F.col(v).cast("double") for v in variables])
     long = values.unpivot([*CELL, probability], list(variables), "variable", "value")
-    scored = long.join(coefs.select("disease", "variable", "coef"), ["disease", "variable"], "left")
+    lookup = small_side(coefs.select("disease", "variable", "coef"))
+    scored = long.join(lookup, ["disease", "variable"], "left")
     importance = F.col("value") * F.col("coef")
+    if countries is not None:
+        scored = enrich(scored, countries.select("country_iso3c", "country_name"), ["country_iso3c"])
     return scored.select(
         *CELL,
+        *(["country_name"] if countries is not None else []),
         recode(title_case("variable"), EXPOSURE_DISPLAY_NAMES).alias("variable"),
         "value",
         "coef",
@@ -248,7 +253,10 @@ def relative_imports(
 
 def basemap_status(map_countries: DataFrame, predictions: DataFrame) -> DataFrame:
     """Mapped countries never scored or in outbreak now, with their category."""
-    cells = map_countries.join(predictions, "country_iso3c", "left")
+    met = weighted_join(predictions, map_countries, ["country_iso3c"])
+    alone = map_countries.join(predictions.select("country_iso3c"), "country_iso3c", "left_anti")
+    cells = met.unionByName(alone, allowMissingColumns=True)
+    cells = cells.select(*map_countries.columns, *[c for c in predictions.columns if c not in map_countries.columns])
     unscored = F.col("predicted_outbreak_probability").isNull()
     label = F.when(unscored, F.lit(NEVER_IN_COUNTRY)).otherwise(F.lit(CURRENT_OUTBREAK))
     flagged = cells.select(

@@ -90,7 +90,7 @@ def test_augment_sums_active_origins(status, edges, rows):
         ("B", 2020, 7.0),
         ("C", 2020, 5.0),
     ]
-    assert rows(got) == rows(network.augment(status, edges, WEIGHTS, salts=3))
+    assert rows(got) == rows(network.augment(status, edges, WEIGHTS, part_rows=1))
 
 
 def test_augment_by_origin_adds_up(status, edges, rows):
