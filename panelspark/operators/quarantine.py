@@ -87,6 +87,7 @@ def preprocess_events(
     full: bool = False,
     columns: Sequence[str] | None = None,
     combine: Callable[[DataFrame], DataFrame] | None = None,
+    single: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows to score, rejected keys) from new events and stored history.
 
@@ -94,6 +95,8 @@ def preprocess_events(
     ``disease_primary_taxa`` flag per standard disease. An incremental run reads the
     history of touched keys only and keeps rows that differ from ``cache``. Raw names
     that share a standard name give several rows per month; ``combine`` makes one.
+    ``single`` has the flags of diseases in a single country where ``new`` and ``history``
+    are only a part of all events.
     """
     if full:
         parts = [p for p in (history, new) if p is not None]
@@ -116,7 +119,7 @@ def preprocess_events(
     processed = expand(events).join(small_side(taxa), "disease", "left")
     on = [*KEY, "disease_name_uncleaned"]
     if full:
-        flags = small_side(single_country(events))
+        flags = small_side(single_country(events) if single is None else single)
         processed = processed.join(flags, "disease", "left")
     else:
         processed = lookup_right(processed, lookup, on)

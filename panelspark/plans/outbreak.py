@@ -23,8 +23,9 @@ from ..operators.network import (
     scale,
     score_logit,
 )
-from ..operators.joins import not_matching
-from ..operators.quarantine import preprocess_events
+from ..operators.joins import matching, not_matching, small_side
+from ..operators.quarantine import KEY, clean_disease_names, preprocess_events
+from ..operators.rollup import single_country
 from ..sources.tables import Tables
 
 LOG = "outbreak_reports_ingest_status_log"
@@ -37,12 +38,22 @@ COEFFICIENTS = "network_lme_coefficients"
 SCALING = "network_lme_scaling_values"
 REJECTED = "outbreak_reports_excluded"
 FETCHED = "outbreak_reports_fetched"
-STATUS = "network_status_to_score"
+BY_KEY = "outbreak_reports_events_by_key"
+KEYS = "outbreak_reports_event_keys"
+STATUS = "network_status"
+CHANGED = "network_changed_status"
+TOUCHED = "network_affected_cells"
 CELLS = "network_cells_to_score"
 ARRIVING = "network_arriving_by_origin"
 SCORED = "network_newly_scored"
 TAG = "model_tag"
 
+REPORT = "report_id"
+#: Scores of a disease and month depend on reports of all countries, and on no others.
+GROUP = ("disease", "month")
+EVENT_COLUMNS = (
+    REPORT, *KEY, "is_aquatic", "start_date", "last_report_date", "resolved_date", "endemic",
+)
 OUTBREAK_KEY = ("report_id", "outbreak_location_id", "species_name")
 
 
@@ -74,7 +85,7 @@ def ingest(
     if not any_good(matching_log(tables, requested, key)):
         return None
     raw = parsed(got)
-    tables.upsert(EVENTS, raw[EVENTS], ["report_id"], fill_missing=True)
+    tables.upsert(EVENTS, raw[EVENTS], [REPORT], fill_missing=True, changes=True)
     tables.upsert(
         OUTBREAKS,
         unique_outbreaks(raw[OUTBREAKS]),
@@ -91,6 +102,63 @@ def matching_log(tables: Tables, requested: DataFrame, key: str) -> DataFrame:
     return tables.read(LOG).join(requested.select(key), key, "left_semi")
 
 
+def daily(
+    tables: Tables,
+    listing: DataFrame,
+    responses: Callable[[DataFrame], DataFrame],
+    parsed: Callable[[DataFrame], dict[str, DataFrame]],
+    url_prefix: str,
+    **model,
+) -> DataFrame | None:
+    """Ingest what is missing, then score what the new and corrected reports change.
+
+    ``model`` are the arguments of :func:`score` after the events. The event table is read
+    only in the buckets of the reports that came in.
+    """
+    new = ingest(tables, listing, responses, parsed, url_prefix)
+    if new is None:
+        return None
+    before = tables.before(EVENTS)
+    return score(tables, new, None, replaced=new.limit(0) if before is None else before, **model)
+
+
+def _slice(
+    tables: Tables, new: DataFrame, replaced: DataFrame, names: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Take new reports into the stored events and find what has to be scored again.
+
+    Returns the raw keys and the (country, disease) keys whose months may differ now, the
+    events of these keys, and the single-country flags of all diseases. Keys are those that
+    the reports name now and those they named before, other raw names of the same disease
+    in the same country, and all keys of a disease that came to a second country or is left
+    in one only.
+    """
+    both = new.select(*KEY).unionByName(replaced.select(*KEY)).distinct()
+    touched = small_side(both)
+    groups = not_matching(tables.read_keys(BY_KEY, touched), new, [REPORT])
+    earlier = tables.read(KEYS)
+    tables.replace(BY_KEY, groups.unionByName(new.select(*EVENT_COLUMNS)), touched, KEY)
+    live = tables.read_keys(BY_KEY, touched).filter(~F.col("is_aquatic")).select(*KEY).distinct()
+    tables.replace(KEYS, live, touched, KEY)
+
+    was = clean_disease_names(earlier, names).filter("disease IS NOT NULL")
+    now = clean_disease_names(tables.read(KEYS), names).filter("disease IS NOT NULL")
+    flags = single_country(now)
+    old = single_country(was).withColumnRenamed("disease_in_single_country", "__was")
+    turned = flags.join(old, "disease", "full").filter(
+        ~F.col("disease_in_single_country").eqNullSafe(F.col("__was"))
+    )
+    every = was.unionByName(now)
+    moved = every.join(turned.select("disease"), "disease", "left_semi").select(*KEY)
+    standard = clean_disease_names(touched, names).filter("disease IS NOT NULL").select(*KEY)
+    wanted = small_side(standard.unionByName(moved).distinct())
+    named = every.join(wanted, list(KEY), "left_semi").select(
+        "country_iso3c", F.col("disease_name_uncleaned").alias("disease")
+    )
+    raw = small_side(named.unionByName(both).distinct())
+    return raw, wanted, tables.read_keys(BY_KEY, raw), flags
+
+
 def score(
     tables: Tables,
     new_events: DataFrame | None,
@@ -105,75 +173,101 @@ def score(
     as_of: dt.date,
     since: dt.date,
     full: bool | None = None,
+    replaced: DataFrame | None = None,
 ) -> DataFrame:
     """Score changed rows, or everything after a model change, and store the results.
 
     Every known country and disease has a row for each month from ``since`` to
     ``as_of``, in outbreak or not, so a month that is no longer active is a changed row.
-    ``history`` is the event table as it was before ``new_events`` were stored. Without
-    new events all of it is scored again, which is the monthly run that carries open
-    outbreaks on to the current month. An incremental run scores the changed months and
-    those of countries that they have an edge to, and gives what a full run would.
+    ``history`` is the event table as it was before ``new_events`` were stored; without
+    it the stored one is taken. Without new events all of it is scored again, which is the
+    monthly run that carries open outbreaks on to the current month.
+
+    An incremental run reads the stored events of the keys that the new reports and the
+    versions they replaced (``replaced``, else looked up in ``history``) name, scores the
+    changed months and those of countries that they have an edge to, and takes out the
+    cells of keys that no report names any more. It gives what a full run would give.
     """
-    if new_events is not None and history is not None:
-        # a corrected report replaces what it said before
-        history = not_matching(history, new_events, ["report_id"])
     cached = tables.read_if_exists(PREDICTIONS)
     if full is None:
         full = new_events is None or run_mode(cached, TAG, tag) == FULL
+    full = full or not tables.exists(BY_KEY)
     variables = [f"{w}{SUFFIX}" for w in weights]
+    columns = [*CELL, *FLAGS]
+
+    if full:
+        events = tables.read(EVENTS) if history is None else history
+        if new_events is not None:
+            # a corrected report replaces what it said before
+            events = not_matching(events, new_events, [REPORT]).select(*EVENT_COLUMNS)
+            events = events.unionByName(new_events.select(*EVENT_COLUMNS))
+        events = tables.overwrite(events.select(*EVENT_COLUMNS), BY_KEY, by=KEY)
+        live = events.filter(~F.col("is_aquatic")).select(*KEY).distinct()
+        tables.overwrite(live, KEYS, by=KEY)
+        flags = None
+    else:
+        if replaced is None:
+            replaced = matching(history, new_events, [REPORT])
+        raw, wanted, events, flags = _slice(tables, new_events, replaced, names)
 
     def expand(events: DataFrame) -> DataFrame:
         return month_status(events, as_of, since, carried=["disease_name_uncleaned"])
 
     rows, rejected = preprocess_events(
-        new_events,
-        history,
+        events,
+        None,
         names,
         taxa,
         coefficients.select("disease").distinct(),
         expand,
-        cache=cached,
-        full=full,
-        columns=[*CELL, *FLAGS],
+        full=True,
+        columns=columns,
         combine=combine_status,
+        single=flags,
     )
     # every output starts from the stored status rows instead of re-reading the events
-    changed = tables.overwrite(rows, STATUS)
-    everywhere, cells = changed, changed
-    if not full and cached is not None:
-        everywhere = (
-            cached.select(*changed.columns)
-            .join(changed, list(CELL), "left_anti")
-            .unionByName(changed)
-        )
-        touched = affected_cells(changed, edges)
-        cells = everywhere.join(touched, list(CELL), "left_semi")
-    cells = tables.overwrite(cells, CELLS)
-
-    # only outbreaks and edges of the months to be scored can contribute
-    when = cells.select("disease", "month").distinct()
-    sources = everywhere.join(when, ["disease", "month"], "left_semi")
-    years = when.select(F.year("month").alias("year")).distinct()
-    arriving = exposure(sources, edges.join(years, "year", "left_semi"), weights, False)
+    if full:
+        cells = status = tables.overwrite(rows, STATUS, by=KEY, unique=CELL)
+    else:
+        before = tables.read_keys(STATUS, wanted)
+        tables.replace(STATUS, rows, wanted, KEY, unique=CELL)
+        after = tables.read_keys(STATUS, wanted)
+        changed = after.subtract(before.select(*columns)).withColumn("gone", F.lit(False))
+        gone = before.join(after, list(CELL), "left_anti").withColumn("gone", F.lit(True))
+        changed = tables.overwrite(changed.unionByName(gone), CHANGED)
+        touched = tables.overwrite(affected_cells(changed, edges), TOUCHED)
+        # sources and destinations of a changed cell share its disease and month
+        groups = touched.select(*GROUP).distinct()
+        kept = tables.read_keys(PREDICTIONS, groups).select(*columns)
+        kept = kept.join(changed, list(CELL), "left_anti")
+        status = kept.unionByName(changed.filter("NOT gone").drop("gone"))
+        cells = tables.overwrite(status.join(touched, list(CELL), "left_semi"), CELLS)
+
+    years = cells.select(F.year("month").alias("year")).distinct()
+    arriving = exposure(status, edges.join(years, "year", "left_semi"), weights, False)
     joined = cells.join(arriving, list(CELL), "left").fillna(0.0, variables)
     by_origin = tables.overwrite(joined, ARRIVING)
 
     totals = by_origin.groupBy(*CELL, *FLAGS).agg(*[F.sum(v).alias(v) for v in variables])
     scored = score_logit(scale(totals, scaling, variables), coefficients, variables)
     scored = scored.withColumn(TAG, F.lit(tag))
-    scored = tables.overwrite(
-        scored.select(surrogate_id(*CELL).alias("id"), "*"), SCORED, unique=CELL
-    )
-    origins = predictions_by_origin(by_origin, scored)
+    scored = scored.select(surrogate_id(*CELL).alias("id"), "*")
+    unique = (*CELL, "country_origin")
+    reject_key = ["country_iso3c", "disease_name_uncleaned"]
     if full:
-        tables.overwrite(origins, BY_ORIGIN, unique=(*CELL, "country_origin"), nullable_keys=True)
-        scored = tables.overwrite(scored, PREDICTIONS, unique=CELL)
+        scored = tables.overwrite(scored, PREDICTIONS, by=GROUP, unique=CELL)
+        origins = predictions_by_origin(by_origin, scored)
+        tables.overwrite(origins, BY_ORIGIN, by=GROUP, unique=unique, nullable_keys=True)
+        tables.overwrite(rejected, REJECTED, by=reject_key)
     else:
-        # all origins of a cell are replaced together, as some may be gone
-        tables.upsert(BY_ORIGIN, origins, CELL, one_row_per_key=False)
-        scored = tables.upsert(PREDICTIONS, scored, CELL)
+        scored = tables.overwrite(scored, SCORED)
+        origins = predictions_by_origin(by_origin, scored)
+        tables.replace(
+            BY_ORIGIN, origins, touched, CELL, by=GROUP, unique=unique, nullable_keys=True
+        )
+        scored = tables.replace(PREDICTIONS, scored, touched, CELL, by=GROUP, unique=CELL)
+        raw = raw.withColumnRenamed("disease", "disease_name_uncleaned")
+        tables.replace(REJECTED, rejected, raw, reject_key)
     tables.overwrite(label_coefficients(coefficients), COEFFICIENTS)
     tables.overwrite(scaling, SCALING)
-    tables.overwrite(rejected, REJECTED)
     return scored

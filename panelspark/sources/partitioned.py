@@ -112,7 +112,8 @@ class PartitionedTable:
                 "parts": {**parts, **{f: run for f in moved}},
             }
             self.pointers.publish(base + 1, json.dumps(content))
-        except Exception:
+        except Conflict:
+            # after any other error the version may be visible; prune() finds what is not
             for folder in moved:
                 self.pointers.remove(f"{self.path}/data/{folder}/{RUN}={run}")
             raise

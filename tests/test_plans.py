@@ -91,7 +91,8 @@ def test_outbreak_run_end_to_end(spark, tables, rows):
     second = score(later, history, "v1")
     assert second.count() == 18
     assert {r["model_tag"] for r in second.collect()} == {"v1"}
-    assert tables.read(outbreak.STATUS).count() == 6  # only the new country
+    assert tables.read(outbreak.CHANGED).count() == 6  # only the new country
+    assert tables.read(outbreak.STATUS).count() == 18
 
     # nothing is left to fetch, and a new model scores everything again
     done = outbreak.ingest(tables, listing, responses, parsed, "u/")

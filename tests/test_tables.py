@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from panelspark.operators.upsert import merge
 from panelspark.sources import files
-from panelspark.sources.pointers import Conflict
+from panelspark.sources.partitioned import PartitionedTable
+from panelspark.sources.pointers import Conflict, Pointers
 from panelspark.sources.tables import Tables, read_path
 
 
@@ -69,19 +70,182 @@ def test_a_version_is_published_once(spark, base, tables):
 def test_two_upserts_from_one_base_are_both_kept(spark, base, tables, rows, monkeypatch):
     tables.upsert("t", base, ["id"])
     other = Tables(spark, tables.root)
-    write, late = Tables._write, []
+    publish, late = Tables._publish, []
 
-    def overtaken(self, df, name, at, **options):
+    def overtaken(self, name, at, content, folders):
         if not late:  # the other writer publishes between our merge and our pointer
             late.append(1)
             other.upsert("t", spark.createDataFrame([(8, "other", 8.0)], base.schema), ["id"])
-        return write(self, df, name, at, **options)
+        return publish(self, name, at, content, folders)
 
-    monkeypatch.setattr(Tables, "_write", overtaken)
+    monkeypatch.setattr(Tables, "_publish", overtaken)
     got = tables.upsert("t", spark.createDataFrame([(9, "mine", 9.0)], base.schema), ["id"])
     assert rows(got, "id") == [(1,), (2,), (8,), (9,)] and tables.versions("t") == [1, 2, 3]
 
 
+def data_files(tables, name):
+    """Data files of the buckets of a table's newest version."""
+    return {p.split("/")[-2] + "/" + p.split("/")[-1] for p in tables.read(name).inputFiles()}
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_path, rows):
+    tables = Tables(spark, str(tmp_path / "t"), buckets=16)
+    many = spark.range(4000).select("id", F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("a").alias("v"))
+    tables.upsert("t", many.drop("id"), ["k"], nullable_keys=True)
+    first = data_files(tables, "t")
+    daily = spark.createDataFrame([(7, "b"), (None, "n"), (9000, "c"), (8, "d")], "k int, v string")
+    got = tables.upsert("t", daily, ["k"], nullable_keys=True)
+    assert got.count() == 4001 and dict(got.dtypes) == {"k": "bigint", "v": "string"}
+    assert rows(got.filter("v <> 'a'")) == sorted([(7, "b"), (8, "d"), (9000, "c"), (None, "n")], key=repr)
+    gone = first - data_files(tables, "t")
+    assert 1 <= len({f.split("/")[0] for f in gone}) <= 4 and len(first) - len(gone) >= 12
+    # a new column leaves the other buckets' files in place too
+    wide = spark.createDataFrame([(7, "e", "x")], "k int, v string, w string")
+    second = data_files(tables, "t")
+    got = tables.upsert("t", wide, ["k"], fill_missing=True)
+    assert len({f.split("/")[0] for f in second - data_files(tables, "t")}) == 1
+    assert rows(got.filter("w IS NOT NULL")) == [(7, "e", "x")] and got.count() == 4001
+
+
+def test_only_the_buckets_of_wanted_keys_are_read(spark, tmp_path, rows):
+    tables = Tables(spark, str(tmp_path / "t"), buckets=16)
+    pairs = spark.range(600).select((F.col("id") % 60).cast("int").alias("k"), (F.col("id") % 7).alias("j"), "id")
+    tables.overwrite(pairs, "t", by=["k"], unique=["id"])
+    wanted = spark.createDataFrame([(5,), (6,), (5,)], "k long")
+    got = tables.read_keys("t", wanted)
+    assert rows(got) == rows(pairs.filter("k IN (5, 6)"))
+    assert len(data_files(tables, "t")) > 8 and len(got.inputFiles()) <= 2
+    assert rows(tables.read_keys("t", wanted.selectExpr("k AS j"))) == rows(pairs.filter("j IN (5, 6)"))
+
+
+def test_replacing_groups_and_rows_that_were_replaced(spark, tables, rows):
+    data = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z"), (None, 1, "n")], "g string, k int, v string")
+    tables.upsert("t", data, ["g", "k"], by=["g"], nullable_keys=True, changes=True)
+    assert tables.before("t") is None
+    new = spark.createDataFrame([("a", 2, "Y"), (None, 1, "N"), ("c", 1, "w")], data.schema)
+    tables.upsert("t", new, ["g", "k"], by=["g"], nullable_keys=True, changes=True)
+    assert rows(tables.before("t")) == sorted([("a", 2, "y"), (None, 1, "n")], key=repr)
+    touched = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1), ("d", 1)], "g string, k int")
+    put = spark.createDataFrame([("c", 1, "W"), ("d", 1, "D")], data.schema)
+    got = tables.replace("t", put, touched, ["g", "k"], by=["g"], unique=["g", "k"])
+    assert rows(got) == sorted([("a", 2, "Y"), (None, 1, "N"), ("c", 1, "W"), ("d", 1, "D")], key=repr)
+    with pytest.raises(ValueError, match="not unique"):
+        tables.replace("t", put.unionByName(put), touched, ["g", "k"], unique=["g", "k"])
+    with pytest.raises(ValueError, match="part of the key"):
+        tables.upsert("t", new, ["g"], by=["k"], one_row_per_key=False)
+
+
+def test_an_overwritten_table_becomes_bucketed(spark, base, tables, rows):
+    tables.overwrite(base, "t")
+    new = spark.createDataFrame([(2, "c", 5.0)], base.schema)
+    assert rows(tables.upsert("t", new, ["id"])) == [(1, "a", 1.0), (2, "c", 5.0)]
+    assert rows(tables.upsert("t", new.withColumn("v", F.lit(6.0)), ["name"])) == [(1, "a", 1.0), (2, "c", 6.0)]
+    tables.overwrite(base, "t")
+    assert rows(tables.read("t")) == rows(base)
+
+
+def test_a_batch_is_taken_once(spark, base, tables, rows):
+    tables.upsert("t", base, ["id"], batch=("s", 0))
+    tables.upsert("t", base.withColumn("v", F.lit(9.0)), ["id"], batch=("s", 0))
+    assert tables.versions("t") == [1] and rows(tables.read("t")) == rows(base)
+    tables.upsert("t", base.withColumn("v", F.lit(9.0)), ["id"], batch=("other", 0))
+    tables.upsert("t", base, ["id"], batch=("s", 1))
+    tables.upsert("t", base.withColumn("v", F.lit(7.0)), ["id"], batch=("other", 0))
+    assert tables.versions("t") == [1, 2, 3] and rows(tables.read("t")) == rows(base)
+
+
+class Raising:
+    """File contexts whose rename takes effect and raises all the same."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def __enter__(self):
+        self.old = Pointers.publish
+
+        def publish(pointers, version, content):
+            self.old(pointers, version, content)
+            return self.old(pointers, version, content)  # the target is there, rename raises
+
+        Pointers.publish = publish
+
+    def __exit__(self, *_):
+        Pointers.publish = self.old
+
+
+def test_a_rename_that_raises_after_success_loses_nothing(spark, base, tables, rows, tmp_path):
+    with Raising(spark):
+        tables.overwrite(base, "t")
+        tables.upsert("u", base, ["id"])
+        parted = PartitionedTable(spark, str(tmp_path / "p"), ["id", "name"], ["name"])
+        parted.upsert(base)
+    assert rows(tables.read("t")) == rows(tables.read("u")) == rows(base) and tables.versions("t") == [1]
+    assert parted.read().count() == 2
+
+
+def test_an_unclear_error_leaves_the_folder(spark, base, tables, rows, monkeypatch):
+    def lost(self, version, content):
+        publish(self, version, content)
+        raise OSError("connection lost")
+
+    publish = Pointers.publish
+    monkeypatch.setattr(Pointers, "publish", lost)
+    with pytest.raises(OSError):
+        tables.overwrite(base, "t")
+    monkeypatch.setattr(Pointers, "publish", publish)
+    assert rows(tables.read("t")) == rows(base)
+
+
+def test_snapshot_of_all_tables(spark, base, tables, rows, tmp_path):
+    one, two = base, base.withColumn("name", F.lit("second"))
+    tables.overwrite(one, "a")
+    tables.upsert("b", one, ["id"])
+    seen = tables.publish_all()
+    tables.overwrite(two, "a")
+    assert rows(tables.snapshot().read("a")) == rows(tables.snapshot().read("b")) == rows(one)
+    with pytest.raises(ValueError, match="b: 2 rows, at least 3"):
+        tables.publish_all(min_rows={"b": 3})
+    assert tables.snapshot().pins == seen.pins and rows(tables.snapshot().read("a")) == rows(one)
+    tables.upsert("b", two, ["id"])
+    now = tables.publish_all(versions={"a": 2, "b": 2})
+    assert rows(now.read("a")) == rows(now.read("b")) == rows(two)
+    for _ in range(3):
+        tables.overwrite(one.limit(1), "a")
+    tables.prune("a", keep=1)
+    assert rows(tables.snapshot().read("a")) == rows(two) and tables.read("a").count() == 1
+    with pytest.raises(ValueError):
+        Tables(spark, str(tmp_path / "none")).snapshot()
+
+
+def test_push_shows_all_tables_at_once(spark, base, tables, rows, tmp_path):
+    tables.overwrite(base, "a")
+    tables.upsert("b", base, ["id"])
+    there = Tables(spark, str(tmp_path / "stage"))
+    tables.publish_all().push(there)
+    assert there.snapshot().names() == ["a", "b"] and rows(there.snapshot().read("b")) == rows(base)
+    tables.overwrite(base.limit(0), "a")
+    tables.overwrite(base.withColumn("name", F.lit("new")), "b")
+    with pytest.raises(ValueError, match="a: 0 rows"):
+        tables.publish_all(min_rows=0).push(there)
+    assert rows(there.snapshot().read("b")) == rows(base)  # the new copy of b is not shown
+
+
+def test_snapshot_waits_for_a_run_that_goes_on(spark, base, tables, monkeypatch):
+    tables.overwrite(base, "a")
+    tables.overwrite(base, "b")
+    count, late = Tables.read, []
+
+    def read(self, name, version=None):
+        if name == "b" and not late:  # both tables change while they are checked
+            late.append(1)
+            tables.overwrite(base, "a")
+            tables.overwrite(base, "b")
+        return count(self, name, version)
+
+    monkeypatch.setattr(Tables, "read", read)
+    assert tables.publish_all().pins == {"a": 2, "b": 2}
+
+
 def test_a_bad_version_is_never_visible(spark, base, tables):
     tables.overwrite(base, "t")
     with pytest.raises(ValueError, match="not unique"):
