@@ -25,7 +25,7 @@ from panelspark.operators.ingest import (
     version_actions,
 )
 from panelspark.operators.upsert import merge
-from panelspark.plans import outbreak
+from panelspark.plans import annual, outbreak, six_month
 from panelspark.plans.outbreak import OUTBREAK_KEY, unique_outbreaks
 from panelspark.plans.six_month import clean_detail, clean_summary, store_predictions
 from panelspark.sources.files import (
@@ -37,6 +37,7 @@ from panelspark.sources.files import (
     write_partitioned,
 )
 from panelspark.sources.partitioned import PartitionedTable
+from panelspark.sources.pointers import Pointers
 from panelspark.streaming.ingest import stream_upsert
 
 from .base import CELLS_SQL, predictions, query, reports
@@ -504,6 +505,48 @@ def sk8_snapshot(d):
     return tables.read("supplier")
 
 
+@query(
+    "sk8_snapshot_all",
+    """SELECT c_mktsegment, count(*) AS n_orders, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS n_filled
+       FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
+)
+def sk8_snapshot_all(d):
+    """Two tables copied to another place and shown there together.
+
+    A run that is half done, and one in which a table is too small, are not seen.
+    """
+    tables, stage = d.tables(), d.tables()
+    tables.upsert("orders", d.orders.select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_orderkey"])
+    tables.overwrite(d.customer.select("c_custkey", "c_mktsegment"), "customers")
+    tables.publish_all().push(stage)
+    tables.overwrite(tables.read("customers").limit(0), "customers")
+    for half_done in (lambda: tables.publish_all(), lambda: tables.snapshot().push(stage, {"orders": 1 << 60})):
+        try:
+            half_done()
+        except ValueError:
+            pass  # a table was too small, so that nothing was published
+    shown = stage.snapshot()
+    placed = shown.read("orders").withColumnRenamed("o_custkey", "c_custkey")
+    return placed.join(shown.read("customers"), "c_custkey").groupBy("c_mktsegment").agg(
+        F.count("*").alias("n_orders"),
+        F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).alias("n_filled"),
+    )
+
+
+@query(
+    "sk2_changed_rows",
+    """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
+       WHERE o_orderdate >= TIMESTAMP '1999-01-01' AND o_orderdate < TIMESTAMP '2000-01-01'""",
+)
+def sk2_changed_rows(d):
+    """The rows that an upsert replaced, as they were."""
+    base, updates = base_and_updates(d)
+    tables = d.tables()
+    tables.upsert("orders", base, ["o_orderkey"])
+    tables.upsert("orders", updates, ["o_orderkey"], fill_missing=True, changes=True)
+    return tables.before("orders").drop("level")
+
+
 @query(
     "sk9_partitioned_write",
     """SELECT lower(c_mktsegment) AS disease, n_name AS country_iso3c, c_custkey, c_acctbal
@@ -597,8 +640,15 @@ GROUP BY l_orderkey, l_linenumber, l_returnflag HAVING count(*) = 1
 
 @query("cx21_incremental_ingest", INGEST_SQL)
 def cx21_incremental_ingest(d):
-    """Unfetched orders to unique outbreak rows in a stored table."""
+    """Unfetched orders whose response is usable to unique outbreak rows in a stored table."""
     todo = unfetched(listing(d), order_log(d), "report_info_id", url_prefix=URL)
+    got = todo.select(
+        "report_info_id", F.lit("available").alias("ingest_status"), F.lit(None).cast("string").alias("message")
+    )
+    log = classify_errors(todo, got, "report_info_id")
+    if not any_good(log):
+        raise ValueError("no usable response")
+    todo = log.filter(~F.col("ingest_error"))
     lines = d.lineitem.select(
         F.col("l_orderkey").alias("report_id"),
         F.col("l_linenumber").alias("outbreak_location_id"),
@@ -735,6 +785,164 @@ def wn2_six_month_detail(d):
     return clean_detail(rows)
 
 
+@query(
+    "cx21_six_month_run",
+    """WITH rep AS (
+      SELECT n_name AS country_iso3c, CAST(extract(year FROM o_orderdate) AS INTEGER) AS report_year,
+             CASE WHEN extract(month FROM o_orderdate) < 7 THEN 1 ELSE 2 END AS report_semester,
+             lower(c_mktsegment) AS disease, o_orderstatus AS disease_population,
+             o_orderpriority AS taxa, CASE WHEN o_totalprice > 250000 THEN 'A' END AS serotype,
+             CAST(NULL AS VARCHAR) AS control_measures, c_custkey AS report_id, count(*) AS n_orders
+      FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+      WHERE c_custkey % 5 <> 0 GROUP BY ALL),
+    bad AS (SELECT report_id FROM (SELECT DISTINCT country_iso3c, report_year, report_semester, report_id FROM rep)
+            QUALIFY row_number() OVER (PARTITION BY country_iso3c, report_year, report_semester
+                                       ORDER BY report_id) > 1)
+    SELECT country_iso3c || CAST(report_year AS VARCHAR) || CAST(report_semester AS VARCHAR) || disease
+           || disease_population || taxa || coalesce(serotype, 'NA') || 'NA' AS id, *
+    FROM rep WHERE report_id NOT IN (SELECT report_id FROM bad)""",
+)
+def cx21_six_month_run(d):
+    """The weekly run over all customers; every fifth report never arrives.
+
+    The second run finds only those left to fetch, and changes nothing.
+    """
+    tables = d.tables()
+    listing = d.customer.select(F.col("c_custkey").alias("report_id"))
+
+    def responses(asked):
+        failed = F.col("report_id") % 5 == 0
+        return asked.select(
+            "report_id",
+            F.when(failed, "ingestion error: x").otherwise("available").alias("ingest_status"),
+            F.lit(None).cast("string").alias("message"),
+        )
+
+    def parsed(got):
+        good = got.filter("ingest_status = 'available'").select("report_id")
+        rows = reports(d).select(
+            "country_iso3c",
+            "report_year",
+            "report_semester",
+            "disease",
+            "disease_population",
+            "taxa",
+            F.when(F.col("o_totalprice") > 250000, "A").alias("serotype"),
+            F.lit(None).cast("string").alias("control_measures"),
+            F.col("o_custkey").alias("report_id"),
+        )
+        summary = rows.groupBy(*rows.columns).agg(F.count("*").alias("n_orders"))
+        summary = summary.join(good, "report_id", "left_semi")
+        detail = summary.drop("control_measures").withColumns({"adm": F.lit("a"), "period": F.lit("p")})
+        return {six_month.SUMMARY: summary, six_month.DETAIL: detail}
+
+    for _ in range(2):
+        six_month.ingest(tables, listing, responses, parsed, URL)
+    return tables.read(six_month.SUMMARY)
+
+
+@query(
+    "se5_preprocess_six_month",
+    f"""WITH rep AS (
+      SELECT CAST(o_orderkey AS VARCHAR) AS id, n_name AS country_iso3c,
+             CAST(extract(year FROM o_orderdate) AS INTEGER) AS report_year,
+             CASE WHEN extract(month FROM o_orderdate) < 7 THEN 1 ELSE 2 END AS report_semester,
+             lower(c_mktsegment) AS raw, o_orderstatus AS disease_population, o_orderpriority AS taxa
+      FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+      WHERE o_totalprice > 20000),
+    known AS (SELECT id, country_iso3c, report_year, report_semester, 'std_' || raw AS disease,
+                     disease_population, taxa, raw AS disease_name_uncleaned
+              FROM rep WHERE raw <> 'furniture'),
+    future AS (SELECT CAST((i + k) // 2 AS INTEGER) AS report_year,
+                      CAST((i + k) % 2 + 1 AS INTEGER) AS report_semester
+               FROM (SELECT max(report_year * 2 + report_semester - 1) AS i FROM known)
+               CROSS JOIN (VALUES (1), (2)) AS n(k)),
+    grid AS (SELECT * FROM (SELECT DISTINCT disease, disease_population, taxa FROM known)
+             CROSS JOIN (SELECT DISTINCT country_iso3c FROM known)
+             CROSS JOIN (SELECT DISTINCT report_year, report_semester FROM known UNION SELECT * FROM future)),
+    rejected AS (SELECT DISTINCT country_iso3c, report_year, report_semester, disease_population
+                 FROM rep WHERE raw = 'furniture')
+    SELECT id, country_iso3c, report_year, report_semester, disease, disease_population, taxa,
+           disease_name_uncleaned, NULL AS disease_status, NULL AS reason_for_exclusion FROM known
+    UNION ALL
+    SELECT NULL, country_iso3c, report_year, report_semester, disease, disease_population, taxa,
+           NULL, 'unreported', NULL
+    FROM grid ANTI JOIN known USING (disease, disease_population, taxa, country_iso3c, report_year, report_semester)
+    UNION ALL
+    SELECT NULL, country_iso3c, report_year, report_semester, NULL, disease_population, NULL,
+           'furniture', NULL, 'unrecognized disease' FROM rejected""",
+)
+def se5_preprocess_six_month(d):
+    """Stored reports up to 2000 and new ones after, together with what was rejected."""
+    rows = reports(d).select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        "country_iso3c",
+        "report_year",
+        "report_semester",
+        "disease",
+        "disease_population",
+        "taxa",
+        (F.col("o_totalprice") <= 20000).alias("is_aquatic"),
+    )
+    names = rows.select(F.upper("disease").alias("disease_name")).distinct()
+    names = names.filter("disease_name <> 'FURNITURE'").withColumn(
+        "disease_standard", F.concat(F.lit("std_"), F.lower("disease_name"))
+    )
+    kept, rejected = six_month.preprocess(
+        rows.filter("report_year > 2000"), rows.filter("report_year <= 2000"), names
+    )
+    return kept.drop("is_aquatic").unionByName(rejected, allowMissingColumns=True)
+
+
+@query(
+    "cx21_annual_run",
+    """SELECT CAST(c_custkey AS VARCHAR) AS report, n_name AS country_iso3c, 2000 AS report_year,
+              c_custkey % 2 AS report_semester, c_custkey % 4 <> 0 AS in_database,
+              CASE c_custkey % 4 WHEN 0 THEN 'failed to fetch' END AS ingest_error,
+              CASE WHEN c_custkey % 4 <> 0 THEN coalesce(n, 0) END AS n_hosts
+       FROM customer JOIN nation ON c_nationkey = n_nationkey
+       LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey
+       WHERE c_acctbal > 0""",
+)
+def cx21_annual_run(d):
+    """The annual run, twice: every fourth report cannot be fetched, the others not again."""
+    tables = d.tables()
+    nation = d.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country_iso3c"))
+    listed = d.customer.join(nation, "c_nationkey").select(
+        F.col("c_custkey").cast("string").alias("report"),
+        "country_iso3c",
+        F.lit(2000).alias("report_year"),
+        (F.col("c_custkey") % 2).alias("report_semester"),
+        (F.col("c_acctbal") > 0).alias("reported"),
+    )
+
+    def responses(asked):
+        there = F.col("report").cast("long") % 4 != 0
+        return asked.filter(there).withColumn("ingest_status", F.lit("available"))
+
+    def parsed(got):
+        placed = d.orders.select(F.col("o_custkey").cast("string").alias("report"), "o_orderkey")
+        return {
+            "annual_reports_animal_hosts": placed.join(got.select("report"), "report", "left_semi"),
+            "annual_reports_diseases_unmatched": got.select(F.lit("odd").alias("disease")).limit(1),
+        }
+
+    for _ in range(2):
+        log = annual.ingest_annual(
+            tables, listed, responses, parsed, "year=%d&report=%s", ["report_year", "report"]
+        )
+    hosts = tables.read("annual_reports_animal_hosts").groupBy("report").agg(F.count("*").alias("n"))
+    n_hosts = F.when(F.col("in_database"), F.coalesce("n", F.lit(0)))
+    return log.join(hosts, "report", "left").withColumn("n_hosts", n_hosts).drop("n")
+
+
+def lose_last_commit(d, checkpoint):
+    """What a crash after the rows were published and before the checkpoint leaves."""
+    marks = Pointers(d.spark, f"{checkpoint}/commits")
+    last = max(int(c) for c in marks.children(marks.path) if c.isdigit())
+    marks.remove(f"{marks.path}/{last}")
+
+
 @query(
     "st1_stream_upsert",
     "SELECT event_id, user_id, event_type, CAST(props::JSON ->> 'k' AS BIGINT) AS k FROM events",
@@ -749,8 +957,12 @@ def st1_stream_upsert(d):
         "k", F.when(F.col("event_type") == "view", -1).otherwise(F.col("k"))
     )
     late = rows.filter("event_type in ('error', 'view')")
-    for delivery in (first, late):
-        delivery.write.mode("append").json(source)
+    # the second checkpoint is lost once: its batch is delivered again, and passed over
+    for delivery in (first, late, None):
+        if delivery is None:
+            lose_last_commit(d, f"{tables.root}/_checkpoint")
+        else:
+            delivery.write.mode("append").json(source)
         run = stream_upsert(
             d.spark,
             source,
@@ -766,13 +978,13 @@ def st1_stream_upsert(d):
 
 
 @query(
-    "wn3_prediction_ids",
+    "pr2_prediction_ids",
     f"""WITH {CELLS_SQL}
     SELECT country_iso3c || CAST(report_year AS VARCHAR) || CAST(report_semester AS VARCHAR)
            || disease || disease_population || taxa AS id, coalesce(cases, 0) AS cases
     FROM predictions""",
 )
-def wn3_prediction_ids(d):
+def pr2_prediction_ids(d):
     key = surrogate_id(
         "country_iso3c",
         "report_year",

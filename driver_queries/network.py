@@ -438,22 +438,31 @@ def so5_top_origins(d):
     "cx7_variable_importance",
     f"""WITH {NETWORK_SQL}, {MODEL_SQL},
     long AS (SELECT country_iso3c, disease, CAST(month AS VARCHAR) AS month, c1, c2, c3,
+                    predicted_outbreak_probability AS p,
                     unnest(['Border Contact', 'Economic Trade', 'Livestock Imports']) AS variable,
                     unnest([shared_borders_from_outbreaks, ots_trade_dollars_from_outbreaks,
                             fao_livestock_heads_from_outbreaks]) AS value
-             FROM augmented LEFT JOIN coefs USING (disease))
-    SELECT country_iso3c, disease, month, variable, value, c AS coef, value * c AS variable_importance,
+             FROM scored LEFT JOIN coefs USING (disease)),
+    labelled AS (SELECT *, CAST(CASE variable WHEN 'Border Contact' THEN c1 WHEN 'Economic Trade' THEN c2
+                                ELSE c3 END AS DOUBLE) AS c,
+                        CASE WHEN p = 0 THEN 0.0 ELSE
+                          round(p * pow(10, 1 - floor(log10(p)))) / pow(10, 1 - floor(log10(p))) END AS s
+                 FROM long)
+    SELECT country_iso3c, lower(n_name) AS country_name, disease, month, variable,
+           value, c AS coef, value * c AS variable_importance,
            value * c > 0 AS pos,
            upper(disease[1]) || split_part(disease, '_', 1)[2:] || ' ' || right(disease, 1)
-             AS disease_name
-    FROM (SELECT *, CAST(CASE variable WHEN 'Border Contact' THEN c1 WHEN 'Economic Trade' THEN c2
-                         ELSE c3 END AS DOUBLE) AS c FROM long)""",
+             AS disease_name,
+           regexp_replace(CAST(CAST(round(s * 100, 10) AS DECIMAL(28, 10)) AS VARCHAR), '\\.?0+$', '') || '%'
+             AS probability_label
+    FROM labelled JOIN nation ON n_name = country_iso3c""",
 )
 def cx7_variable_importance(d):
+    names = d.nation.select(F.col("n_name").alias("country_iso3c"), F.lower("n_name").alias("country_name"))
     rows = augment(status_panel(d), edges(d), WEIGHTS)
-    rows = rows.withColumn("predicted_outbreak_probability", F.lit(0.5))
-    out = variable_importance(rows, model(d), VARIABLES)
-    return month_text(out.drop("probability_label"))
+    known = scored(d).select(*CELL, "predicted_outbreak_probability")
+    rows = rows.join(known, list(CELL))
+    return month_text(variable_importance(rows, model(d), VARIABLES, countries=names))
 
 
 @query(
@@ -727,7 +736,6 @@ def jn2_salted_join(d):
 
 # -- whole scoring runs --------------------------------------------------------------
 
-# Every 199th report is first known as still open and corrected later.
 MODELLED_SQL = f"""
 {NETWORK_SQL}, {MODEL_SQL},
 stored AS (SELECT * FROM scored SEMI JOIN coefs USING (disease))
@@ -739,7 +747,7 @@ def numbered_events(d):
     return events.withColumn("is_aquatic", F.lit(False))
 
 
-def run_scores(d, tables, new, history):
+def run_scores(d, tables, new, history, replaced=None):
     every = reports(d).select(
         F.concat("disease", F.lit("_"), F.substring("taxa", 1, 1)).alias("disease")
     ).distinct()
@@ -756,6 +764,7 @@ def run_scores(d, tables, new, history):
         "v1",
         AS_OF,
         SINCE,
+        replaced=replaced,
     )
 
 
@@ -766,13 +775,28 @@ def full_scores(d):
 
 
 def incremental_scores(d):
+    """Scores after corrections of every kind, given what the reports said at first.
+
+    Every 199th report was first known as still open, or with another disease, in another
+    country, or as aquatic; some reports more turn out to be aquatic.
+    """
     tables = d.tables()
-    final = d.stored("events", lambda: numbered_events(d))
-    late = F.col("report_id") % 199 == 0
-    first = final.withColumn("resolved_date", F.when(~late, F.col("resolved_date")))
-    first = tables.overwrite(first, outbreak.EVENTS)
+    final = d.stored("events", lambda: numbered_events(d)).select(*outbreak.EVENT_COLUMNS)
+    late, kind = F.col("report_id") % 199 == 0, F.floor(F.col("report_id") / 199) % 4
+    ghosts = final.filter(F.col("report_id") % 199 == 1).withColumn("report_id", -F.col("report_id"))
+    first = final.withColumns(
+        {
+            "resolved_date": F.when(~late | (kind != 0), F.col("resolved_date")),
+            "disease": F.when(late & (kind == 1), F.lit("building_1")).otherwise(F.col("disease")),
+            "country_iso3c": F.when(late & (kind == 2), F.lit("FRANCE")).otherwise(F.col("country_iso3c")),
+            "is_aquatic": late & (kind == 3),
+        }
+    )
+    first = tables.upsert(outbreak.EVENTS, first.unionByName(ghosts), ["report_id"], changes=True)
     run_scores(d, tables, None, first)
-    run_scores(d, tables, final.filter(late), first)
+    new = final.filter(late).unionByName(ghosts.withColumn("is_aquatic", F.lit(True)))
+    tables.upsert(outbreak.EVENTS, new, ["report_id"], changes=True)
+    run_scores(d, tables, new, None, tables.before(outbreak.EVENTS))
     return tables
 
 

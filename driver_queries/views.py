@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from panelspark.functions.status import STATUS_LEVELS
+from panelspark.operators.joins import small_side
 from panelspark.operators.rollup import nowcast_summary
 from panelspark.operators.views import (
     QueryCache,
@@ -17,6 +18,8 @@ from panelspark.operators.views import (
     timeline_long,
 )
 
+from panelspark.session import stored
+
 from .base import CELLS_SQL, predictions, query
 from .rollup import ROLLUP_SQL, SUMMARY_SQL
 
@@ -227,6 +230,22 @@ def cx14_query_predictions(d):
     )
 
 
+@query(
+    "cx15_query_cache_version",
+    f"""WITH {ORDER_PREDICTIONS_SQL}
+    SELECT id, predicted_cases * 2 AS predicted_cases FROM p WHERE country_iso3c = '3-MEDIUM'""",
+)
+def cx15_query_cache_version(d):
+    """A re-score is never answered from what was kept before it."""
+    tables, kept = d.tables(), d.tables()
+    wanted = {"columns": "id,predicted_cases", "countries": "3-MEDIUM"}
+    tables.overwrite(order_predictions(d), "predictions")
+    QueryCache.over(tables, "predictions", kept).get(**wanted)
+    twice = order_predictions(d).withColumn("predicted_cases", F.col("predicted_cases") * 2)
+    tables.overwrite(twice, "predictions")
+    return QueryCache.over(tables, "predictions", kept).get(**wanted)
+
+
 @query(
     "so2_query_limit",
     f"""WITH {ORDER_PREDICTIONS_SQL}
@@ -260,21 +279,51 @@ def so3_last_rows(d):
     return newest.select("o_orderkey", "o_totalprice")
 
 
+def ranked(ordered):
+    """Rows of a sorted result with their place in it, from the order they are written in."""
+    part, at = F.spark_partition_id().alias("part"), F.monotonically_increasing_id()
+    rows = stored(ordered.select("*", part, at.bitwiseAND((1 << 33) - 1).alias("at")), "sorted")
+    sizes = rows.groupBy("part").agg(F.count("*").alias("size"))
+    before = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("part", F.coalesce(before, F.lit(0)).alias("start"))
+    return rows.join(small_side(starts), "part").select(
+        *ordered.columns, (F.col("start") + F.col("at") + 1).alias("place")
+    )
+
+
 @query(
     "so1_multi_key_sort",
-    "SELECT doc_id, lang, quality FROM documents LEFT JOIN labels USING (doc_id)",
+    """SELECT doc_id, lang, quality,
+              row_number() OVER (ORDER BY lang NULLS LAST, quality DESC NULLS LAST, doc_id) AS place
+       FROM documents LEFT JOIN labels USING (doc_id)""",
 )
 def so1_multi_key_sort(d):
     docs = d.documents.select("doc_id", "lang", "source").join(d.labels, "doc_id", "left")
     ordered = docs.orderBy(
         F.col("lang").asc_nulls_last(), F.col("quality").desc_nulls_last(), "doc_id"
     )
-    return ordered.select("doc_id", "lang", "quality")
+    return ranked(ordered.select("doc_id", "lang", "quality"))
 
 
 @query(
     "so4_random_order",
-    "SELECT c_custkey FROM customer WHERE c_acctbal > 0",
+    """SELECT c_custkey, TRUE AS repeats, TRUE AS other_seed_differs, TRUE AS shuffled
+       FROM customer WHERE c_acctbal > 0""",
 )
 def so4_random_order(d):
-    return d.customer.filter("c_acctbal > 0").select("c_custkey").orderBy(F.rand(7))
+    """Each customer, and whether its place is the same with the same seed again; whether
+    most places differ with another seed, and from the order of keys."""
+    rich = d.customer.filter("c_acctbal > 0").select("c_custkey")
+
+    def places(name, *order):
+        return ranked(rich.orderBy(*order)).withColumnRenamed("place", name)
+
+    a, b, c = (places(n, F.rand(s)) for n, s in (("a", 7), ("b", 7), ("c", 8)))
+    every = stored(a.join(b, "c_custkey").join(c, "c_custkey").join(places("k", "c_custkey"), "c_custkey"), "places")
+    most = every.agg(F.avg((F.col("a") != F.col("c")).cast("int")), F.avg((F.col("a") != F.col("k")).cast("int"))).first()
+    return every.select(
+        "c_custkey",
+        (F.col("a") == F.col("b")).alias("repeats"),
+        F.lit(most[0] > 0.9).alias("other_seed_differs"),
+        F.lit(most[1] > 0.9).alias("shuffled"),
+    )

@@ -41,8 +41,9 @@ def signif(c: ColumnOrName, digits: int) -> Column:
 
 def percent_label(c: ColumnOrName, digits: int = 2) -> Column:
     """``0.1234`` as ``12%``, ``0.0123`` as ``1.2%``."""
-    pct = F.round(signif(c, digits) * 100, 10).cast("string")
-    return F.concat(F.regexp_replace(pct, r"\.0$", ""), F.lit("%"))
+    # a decimal, because small doubles are spelled with an exponent
+    pct = F.round(signif(c, digits) * 100, 10).cast("decimal(28,10)").cast("string")
+    return F.concat(F.regexp_replace(pct, r"\.?0+$", ""), F.lit("%"))
 
 
 def number_text(c: ColumnOrName) -> Column:

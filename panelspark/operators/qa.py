@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .ingest import FAILED_TO_FETCH
 from .joins import null_safe_join
-from .rollup import ANNUAL_PERIOD, OUTBREAK_MEASURES, event_totals
-from ..functions.nulls import sum_known
+from .rollup import OUTBREAK_MEASURES, event_totals, period_totals
 
 DISEASE_KEYS = ("country_iso3c", "report_year", "disease", "serotype")
 
@@ -79,41 +78,17 @@ def reported_vs_calculated(
     return long.filter("value_calculated <> value_reported")
 
 
-def _totals(
-    df: DataFrame, keys: Sequence[str], measures: Mapping[str, str]
-) -> DataFrame:
-    sums = [sum_known(F.col(m).try_cast("double")).alias(n) for m, n in measures.items()]
-    return df.groupBy(*keys).agg(*sums)
-
-
-def _halves_and_years(
-    df: DataFrame,
-    keys: Sequence[str],
-    halves: Mapping[str, str],
-    years: Mapping[str, str],
-    period: str,
-) -> DataFrame:
-    half = _totals(df.filter(F.col(period) != ANNUAL_PERIOD), keys, halves)
-    year = _totals(df.filter(F.col(period) == ANNUAL_PERIOD), keys, years)
-    return null_safe_join(half, year, keys, "full")
-
-
 def outbreaks_by_period_check(
     df: DataFrame,
     keys: Sequence[str] = DISEASE_KEYS,
     period: str = "report_months",
 ) -> DataFrame:
     """Years whose new outbreaks differ from, or whose total exceeds, their halves."""
-    joined = _halves_and_years(
-        df,
-        keys,
-        {
-            "new_outbreaks": "sum_new_outbreaks_sem",
-            "total_outbreaks": "sum_total_outbreaks_sem",
-        },
-        {"new_outbreaks": "new_outbreaks_ann", "total_outbreaks": "total_outbreaks_ann"},
-        period,
-    )
+    measures = {
+        "new_outbreaks": ("sum_new_outbreaks_sem", "new_outbreaks_ann"),
+        "total_outbreaks": ("sum_total_outbreaks_sem", "total_outbreaks_ann"),
+    }
+    joined = period_totals(df, keys, measures, period)
     checked = joined.withColumns(
         {
             "total_outbreak_check": F.col("sum_total_outbreaks_sem")
@@ -131,9 +106,7 @@ def cases_by_period_check(
     period: str = "report_months",
 ) -> DataFrame:
     """Years with more cases than their halves together."""
-    joined = _halves_and_years(
-        df, keys, {"cases": "sum_cases_sem"}, {"cases": "cases_ann"}, period
-    )
+    joined = period_totals(df, keys, {"cases": ("sum_cases_sem", "cases_ann")}, period)
     checked = joined.withColumn(
         "cases_check", F.col("sum_cases_sem") >= F.col("cases_ann")
     )

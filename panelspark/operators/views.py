@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -16,6 +17,7 @@ from ..functions.periods import half_year_axis
 from ..functions.status import NEVER, PREDICTED_ABSENT, three_state
 from ..functions.text import split_list, title_case
 from ..session import stored
+from ..sources.pointers import Pointers
 
 # What an absent country is filled with.
 MISSING_COUNTRY_DEFAULTS = {
@@ -184,35 +186,61 @@ def query_predictions(
 
 
 class QueryCache:
-    """Keeps query results by their arguments as tables, until cleared.
+    """Keeps query results by their arguments and the version they were read from.
 
     Results are written once to ``tables``, so they outlive the driver and the loss of
-    executors. At most ``most`` are kept; beyond that the cache starts anew.
+    executors. ``version`` names what ``predictions`` were read from, so that results of an
+    earlier version never answer for a later one; :meth:`over` takes it from a stored table.
+    At most ``most`` results are kept: the one that was used least recently goes, unless it
+    was used within ``grace`` seconds, in which somebody may be reading it.
     """
 
     PREFIX = "query-"
+    USES = "_uses"
 
-    def __init__(self, predictions: DataFrame, tables, most: int = 256):
+    def __init__(
+        self, predictions: DataFrame, tables, most: int = 256, version: object = "", grace: float = 3600
+    ):
         self._predictions, self._tables, self._most = predictions, tables, most
+        self._version, self._grace = str(version), grace
+
+    @classmethod
+    def over(cls, source, name: str, tables, **options) -> QueryCache:
+        """A cache of queries over the newest version of a stored table."""
+        newest = source.versions(name)[-1]
+        return cls(source.read(name, newest), tables, version=f"{source.root}/{name}@{newest}", **options)
 
     def _name(self, params: dict) -> str:
-        known = json.dumps({k: str(v) for k, v in params.items() if v is not None}, sort_keys=True)
+        given = {k: str(v) for k, v in params.items() if v is not None}
+        known = json.dumps([self._version, given], sort_keys=True)
         return self.PREFIX + hashlib.blake2b(known.encode(), digest_size=16).hexdigest()
 
     def _held(self) -> list[str]:
         return [n for n in self._tables.names() if n.startswith(self.PREFIX)]
 
+    def _uses(self) -> Pointers:
+        return Pointers(self._tables.spark, f"{self._tables.root}/{self.USES}")
+
     def get(self, cache: bool = True, **params) -> DataFrame:
         if not cache:
             return query_predictions(self._predictions, **params)
-        name = self._name(params)
+        name, uses = self._name(params), self._uses()
         held = self._tables.read_if_exists(name)
+        uses.touch(name)
         if held is None:
-            if len(self._held()) >= self._most:
-                self.clear()
             held = self._tables.overwrite(query_predictions(self._predictions, **params), name)
+            self._evict(name)
         return held
 
+    def _evict(self, keep: str, most: int | None = None) -> None:
+        used = self._uses().touched()
+        old = sorted((n for n in self._held() if n != keep), key=lambda n: used.get(n, 0))
+        many = len(old) + (keep != "") - (self._most if most is None else most)
+        for name in old[: max(0, many)]:
+            if used.get(name, 0) <= (time.time() - self._grace) * 1000:
+                self._tables.drop(name)
+                self._uses().remove(f"{self._uses().path}/{name}")
+
     def clear(self) -> None:
-        for name in self._held():
-            self._tables.drop(name)
+        """Drop all results but those that somebody may be reading."""
+        self._evict("", 0)

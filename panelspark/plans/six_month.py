@@ -7,9 +7,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import surrogate_id
-from ..operators.dedupe import drop_duplicated_reports, first_per_key
+from ..operators.dedupe import drop_duplicated_reports, first_per_key, require_any_new
 from ..operators.ingest import any_good, classify_errors, unfetched
+from ..operators.panel import append_absent
+from ..operators.quarantine import UNRECOGNIZED, clean_disease_names
 from ..operators.rollup import nowcast_summary
+from ..session import stored
 from ..sources.tables import Tables
 
 LOG = "six_month_reports_ingest_status_log"
@@ -74,6 +77,29 @@ def ingest(
     return stored
 
 
+def preprocess(
+    new: DataFrame, existing: DataFrame | None, names: DataFrame, key: str = "id"
+) -> tuple[DataFrame | None, DataFrame]:
+    """(rows to score, rejected keys) from new and stored half-year reports.
+
+    At least one new row must have a ``key`` that is not stored, else ``ValueError``.
+    Aquatic rows, and rows that do not say, leave first. Disease names are replaced by
+    their standard ones; items of an unknown disease are rejected with the reason. Every
+    remaining item gets an ``unreported`` row for each country and half-year without one,
+    two half-years into the future. None where no row remains.
+    """
+    rows = new
+    if existing is not None:
+        require_any_new(new, existing, [key])
+        rows = existing.unionByName(new, allowMissingColumns=True)
+    cleaned = clean_disease_names(rows.filter(~F.col("is_aquatic")), names)
+    lookup = cleaned.select(*GROUP, "disease", "disease_population", "disease_name_uncleaned")
+    unknown = lookup.filter("disease IS NULL").distinct()
+    rejected = unknown.withColumn("reason_for_exclusion", F.lit(UNRECOGNIZED))
+    known = stored(cleaned.filter("disease IS NOT NULL"), "half-years")
+    return (None if known.isEmpty() else append_absent(known)), rejected
+
+
 def store_predictions(
     tables: Tables, predictions: DataFrame, diseases: Sequence[str], tags: dict[str, str]
 ) -> DataFrame:

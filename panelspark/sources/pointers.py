@@ -43,6 +43,18 @@ class Pointers:
         if not fs.rename(where, to):
             raise OSError(f"cannot rename {source} to {target}")
 
+    def touch(self, name: str) -> None:
+        """Mark a name as used now."""
+        fs, where = self._fs(f"{self.path}/{name}")
+        fs.create(where, True).close()
+
+    def touched(self) -> dict[str, int]:
+        """When each marked name was last used, in milliseconds."""
+        fs, where = self._fs(self.path)
+        if not fs.exists(where):
+            return {}
+        return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(where)}
+
     def versions(self) -> list[int]:
         marks = self.children(self.path)
         return sorted(int(m.removeprefix("v=")) for m in marks if m.startswith("v="))

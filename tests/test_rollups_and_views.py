@@ -1,8 +1,11 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from panelspark.functions.status import NEVER, PREDICTED_ABSENT
 from panelspark.operators import qa, rollup, views
+from panelspark.sources.tables import Tables
 
 CELL = "country_iso3c string, disease string, report_year int, report_semester int"
 
@@ -129,18 +132,44 @@ def test_query_filters_before_it_projects(predictions, rows):
 
 
 def test_cache_holds_until_cleared(predictions, tables, rows):
-    cache = views.QueryCache(predictions, tables, most=2)
+    cache = views.QueryCache(predictions, tables, most=2, grace=0)
     first = rows(cache.get(countries="A"))
     assert first == rows(cache.get(cache=False, countries="A")) != []
-    empty = views.QueryCache(predictions.limit(0), tables)  # another process finds it
-    assert rows(empty.get(countries="A", years=None)) == first
+    empty = views.QueryCache(predictions.limit(0), tables, most=2, grace=0)  # another process finds it
     assert rows(empty.get(countries="B")) == [] and len(tables.names()) == 2
-    cache.get(limit="1")
-    assert len(tables.names()) == 1  # full, so it was emptied first
+    time.sleep(0.01)
+    assert rows(empty.get(countries="A", years=None)) == first
+    cache.get(limit="1")  # the result for B is the one that was not used since
+    assert len(tables.names()) == 2 and rows(empty.get(countries="A")) == first
+    assert rows(views.QueryCache(predictions, tables).get(countries="B")) != []
     cache.clear()
     assert tables.names() == [] and rows(empty.get(countries="A")) == []
 
 
+def test_cache_keeps_what_is_being_read(predictions, tables, rows):
+    cache = views.QueryCache(predictions, tables, most=1, grace=600)
+    held = [cache.get(limit=str(n)) for n in (1, 2, 3)]
+    cache.clear()
+    assert [h.count() for h in held] == [1, 2, 3] and len(tables.names()) == 3
+
+
+def test_cache_keeps_as_many_as_it_may(predictions, tables):
+    cache = views.QueryCache(predictions, tables, most=8, grace=0)
+    for n in range(9):
+        cache.get(limit=str(n))
+    assert len(tables.names()) == 8
+
+
+def test_cache_is_never_stale(predictions, tables, tmp_path, rows):
+    source = Tables(predictions.sparkSession, str(tmp_path / "source"))
+    source.overwrite(predictions, "p")
+    old = views.QueryCache.over(source, "p", tables).get(countries="A")
+    source.overwrite(predictions.withColumn("predicted_cases", F.lit(7.0)), "p")
+    new = views.QueryCache.over(source, "p", tables).get(countries="A")
+    assert {r["predicted_cases"] for r in new.collect()} == {7.0}
+    assert {r["predicted_cases"] for r in old.collect()} != {7.0}
+
+
 def test_reported_vs_calculated(spark, rows):
     detail = spark.createDataFrame(
         [(1, None, "2", "x"), (1, None, "3", None), (2, "b", "1", "1")],
