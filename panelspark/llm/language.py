@@ -8,14 +8,15 @@ landmarks' own kernel matrix; on that map a kernel ridge regression per language
 language against the rest) is solved. Scores of a batch of texts are two matrix products.
 
 The fit takes a bounded sample of labelled texts: ``TRAINING`` in all, spread evenly over
-the languages and chosen by the hash of the text, ``LANDMARKS`` of them as landmarks. The
-driver gets their presence bits (``SLOTS / 8`` bytes each), not their texts. Prediction
-reads whole texts.
+the languages (one each where there are more languages than that) and chosen by the hash of
+the text, ``LANDMARKS`` of them as landmarks. The driver gets their presence bits
+(``SLOTS / 8`` bytes each), not their texts, and unpacks ``BLOCK`` rows at a time; the
+model has one column of ``LANDMARKS`` weights per language. Prediction reads whole texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,13 +25,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
+from .base import stored
+
 ORDERS, SLOTS = 4, 1 << 15
 TRAINING, LANDMARKS = 2048, 192
-#: Labels beyond this number are not languages but a wrong column.
-MOST_LANGUAGES = 512
 RIDGE = 1e-4
 UNKNOWN = "und"
-BATCH, PIECE = 128, 1 << 20
+#: Least score of a text in a known language; below it all languages reject the text.
+LEAST_SCORE = 0.3
+BATCH, PIECE, BLOCK = 128, 1 << 20, 64
 
 TABLE = bytes(
     b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -86,20 +89,30 @@ def solve(labels: list[str], packed: np.ndarray, landmarks: int = LANDMARKS) ->
         return None
     places = {g: [i for i, x in enumerate(labels) if x == g] for g in languages}
     each = max(1, landmarks // len(languages))
-    chosen = [i for g in languages for i in places[g][:each]]
-    bits = np.unpackbits(packed, axis=1).astype(np.float32)
+    # with more languages than landmarks, every so many languages give one
+    step = max(1, -(-len(languages) // landmarks))
+    chosen = [i for g in languages[::step] for i in places[g][:each]]
+    bits = np.unpackbits(packed[chosen], axis=1).astype(np.float32)
     sizes = bits.sum(1)
-    whole = _normed(bits, bits[chosen], sizes[chosen])
+    whole = np.vstack(
+        [
+            _normed(np.unpackbits(packed[at : at + BLOCK], axis=1).astype(np.float32), bits, sizes)
+            for at in range(0, len(packed), BLOCK)
+        ]
+    )
     values, vectors = np.linalg.eigh(whole[chosen, :-1])
     good = values > 1e-6 * values.max()
     white = np.zeros((len(chosen) + 1, int(good.sum()) + 1))
     white[:-1, :-1] = vectors[:, good] / np.sqrt(values[good])
     white[-1, -1] = 1
     features = whole @ white
-    targets = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
+    # targets are 1 in the own language and -1 elsewhere
+    own = np.zeros((len(languages), features.shape[1]))
+    np.add.at(own, np.searchsorted(languages, labels), features)
+    wanted = 2 * own.T - features.sum(0)[:, None]
     ridge = RIDGE * len(labels) * np.eye(features.shape[1])
     ridge[-1, -1] = 0
-    weights = white @ np.linalg.solve(features.T @ features + ridge, features.T @ targets)
+    weights = white @ np.linalg.solve(features.T @ features + ridge, wanted)
     return Model(languages, packed[chosen], weights)
 
 
@@ -131,42 +144,35 @@ def train(
 ) -> Model | None:
     """Fit on rows with a label and a letter in the text; None if there are none.
 
-    Equal texts count once per label. A text with several labels is used for each.
+    Equal texts count once per label. A text with several labels is used for each. Any
+    number of labels is learned.
     """
     rows = labelled.select(
         F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text")
     ).filter(F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}"))
     hashed = rows.select("label", F.xxhash64("text").alias("h")).distinct()
-    counted = hashed.groupBy("label").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(counted) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} labels")
-    if not counted:
+    counted = stored(hashed.groupBy("label").count(), "labels")
+    labels = counted.count()
+    if not labels:
         return None
-    each = max(1, training // len(counted))
+    each = max(1, training // labels)
     # all but about four times the wanted rows of a label are left out by hash first, so
     # that a frequent label does not gather in one task
     part = F.pmod("h", F.lit(1 << 31))
-    most = F.create_map(
-        *[F.lit(x) for r in counted for x in (r["label"], min(1.0, 4 * each / r["count"]))]
+    some = hashed.join(counted, "label").filter(
+        part * F.col("count") < float((1 << 31) * 4 * each)
     )
-    some = hashed.filter(part < F.element_at(most, F.col("label")) * float(1 << 31))
     rank = F.row_number().over(Window.partitionBy("label").orderBy(part, "h"))
-    chosen = some.withColumn("rank", rank).filter(F.col("rank") <= each)
-    hashes = sorted({r["h"] for r in chosen.select("h").collect()})
+    chosen = some.withColumn("rank", rank).filter(F.col("rank") <= each).select("label", "h")
     sample = (
         rows.withColumn("h", F.xxhash64("text"))
-        .filter(F.col("h").isin(hashes))
+        .join(stored(chosen, "chosen"), ["label", "h"], "left_semi")
         .groupBy("label", "h")
         .agg(F.any_value("text").alias("text"))
         .select("label", "h", _presence()(spelled(F.col("text"))).alias("bits"))
         .collect()
     )
-    taken: dict[str, int] = {}
-    kept = []
-    for r in sorted(sample, key=lambda r: (r["label"], r["h"])):
-        if taken.setdefault(r["label"], 0) < each:
-            taken[r["label"]] += 1
-            kept.append(r)
+    kept = sorted(sample, key=lambda r: (r["label"], r["h"]))
     packed = np.array([np.frombuffer(r["bits"], np.uint8) for r in kept])
     return solve([r["label"] for r in kept], packed, landmarks)
 
@@ -226,10 +232,24 @@ def identify(docs: DataFrame, text_col: str = "text", label_col: str = "lang") -
     )
 
 
-def drop_unknown(docs: DataFrame, text_col: str = "text", label_col: str = "lang") -> DataFrame:
-    """The documents with a language; those without a text or a letter go."""
+def drop_unknown(
+    docs: DataFrame,
+    text_col: str = "text",
+    label_col: str = "lang",
+    languages: Collection[str] | None = None,
+    least: float = LEAST_SCORE,
+) -> DataFrame:
+    """The documents predicted to be in one of ``languages``, all learned ones unless given.
+
+    Rejected are null texts, texts without a letter, texts predicted in another language,
+    and texts whose best score is under ``least``. Where nothing was learned, texts with a
+    letter stay. Columns are unchanged; repeated rows have one fate, an empty table gives
+    none; rows with a null id are judged but not learned from.
+    """
     known = docs.filter((F.crc32(docs["doc_id"].cast("string")) % 4) != 2)
     model = train(known, text_col, label_col)
     if model is None:
         return docs.filter(docs[text_col].rlike(r"\p{L}"))
-    return docs.filter(language(docs[text_col], model)["lang"] != UNKNOWN)
+    wanted = model.languages if languages is None else sorted(languages)
+    found = language(docs[text_col], model)
+    return docs.filter(F.when(found["score"] >= least, found["lang"]).isin(wanted))

@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
+from panelspark.operators.joins import weighted_join
+
 from .base import stored, utf8
 from .components import components
 
@@ -43,6 +45,10 @@ BITS, LEAST_BITS = 256, 190
 MAP = 1024
 #: Leaders taken per bucket in the second pass, eight times as many in each further one.
 LEADERS = 64
+#: Followers of a leader that are compared in one task.
+LED_ROWS = 1024
+#: Components joined by broadcast; any other has a smaller share of the classes.
+LARGEST = 1000
 SLICE = 256
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -227,7 +233,8 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``a``, ``b`` whose shingle sets are similar enough."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
-    both = pairs.select("a", "b").distinct().join(right, "b").join(left, "a")
+    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
+    both = weighted_join(pairs.join(right, "b"), left, ["a"], part_rows=LED_ROWS)
     return both.filter(_similar()(F.col("left"), F.col("right"))).select("a", "b")
 
 
@@ -247,8 +254,9 @@ def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 def link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """``node`` and ``component`` of the classes that are linked to another one.
 
-    ``classes`` has ``node``, ``bands`` and the :data:`FACTS`; ``docs`` has ``node`` and
-    ``text`` (UTF-8) and at least the rows of all nodes.
+    ``classes`` has ``node`` (a number of its own), ``doc_id`` and ``mark`` (a hash of the
+    text) of one of its documents, ``bands`` and the :data:`FACTS`; ``docs`` has ``doc_id``,
+    ``mark`` and ``text`` (UTF-8) and at least the rows of all classes.
     """
     bands = classes.select("node", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -256,13 +264,16 @@ def link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     # a text that shares many bands with many others is in the middle of its group
     middle = buckets.groupBy("node").agg(F.sum("size").alias("weight"))
     known = stored(
-        classes.select("node", *FACTS).join(middle, "node").withColumn(
+        classes.select("node", "doc_id", "mark", *FACTS).join(middle, "node").withColumn(
             "rank", F.struct("weight", (-F.col("node")).alias("first"))
         ),
         "bucket-nodes",
     )
+    # an id may stand for several texts, and equal rows may be repeated
     texts = stored(
-        docs.join(known.select("node"), "node", "left_semi").dropDuplicates(["node"]),
+        docs.join(known.select("node", "doc_id", "mark"), ["doc_id", "mark"])
+        .select("node", "text")
+        .dropDuplicates(["node"]),
         "bucket-texts",
     )
 
@@ -272,8 +283,12 @@ def link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     best = ranked.join(leaders, "key").groupBy("node").agg(F.max("lead").alias("lead"))
     best = best.select("node", (-F.col("lead.first")).alias("lead_node")).filter("node <> lead_node")
     pairs = (
-        best.join(known, "node")
-        .join(_named(known, "node", *FACTS), "lead_node")
+        weighted_join(
+            best.join(known, "node"),
+            _named(known, "node", *FACTS),
+            ["lead_node"],
+            part_rows=LED_ROWS,
+        )
         .filter(_plausible())
         .select(F.col("lead_node").alias("a"), F.col("node").alias("b"))
     )
@@ -312,49 +327,93 @@ def link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     return labels
 
 
-def label_near_duplicates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every document.
-
-    Documents are linked if 100 times the common shingles are at least 75 times all
-    shingles of both; ``component_id`` is the smallest id reachable, and that document is
-    ``kept``. Null texts and texts without words are linked with nothing. Rows that repeat
-    an id are one document; rows with a null id belong to the component of an equal text
-    that has an id, and stand alone (component null, kept) if there is none. An empty
-    table gives no rows; other columns are not looked at.
-    """
+def _sketches(docs: DataFrame, text_col: str) -> DataFrame:
+    """Per document its id, a hash of its text, and the facts of its set."""
     text = utf8(docs[text_col])
-    sketched = stored(
-        docs.select(docs["doc_id"].cast("long").alias("doc_id"), _sketcher()(text).alias("s")).select(
-            "doc_id", "s.n", "s.class", "s.bands", "s.bits", "s.map"
-        ),
+    return stored(
+        docs.select(
+            docs["doc_id"].cast("long").alias("doc_id"),
+            F.xxhash64(text).alias("mark"),
+            _sketcher()(text).alias("s"),
+        ).select("doc_id", "mark", "s.n", "s.class", "s.bands", "s.bits", "s.map"),
         "sketches",
     )
+
+
+def _least_ids(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``class`` and ``component_id``, the smallest id in the component of the class.
+
+    A component may hold any share of the classes: the :data:`LARGEST` ones reach theirs by
+    broadcast, so that every other one has less than one class in as many.
+    """
+    slim = classes.select("class", "node", "doc_id")
+    linked = stored(slim.join(labels, "node").select("class", "doc_id", "component"), "linked")
+    least = linked.groupBy("component").agg(
+        F.min("doc_id").alias("component_id"), F.count("*").alias("size")
+    )
+    least = stored(least, "components")
+    large = least.orderBy(F.desc("size"), "component").limit(LARGEST).drop("size")
+    hot = linked.join(F.broadcast(large), "component")
+    rest = linked.join(F.broadcast(large), "component", "left_anti")
+    cold = rest.join(least.drop("size"), "component")
+    alone = slim.join(labels, "node", "left_anti").withColumn("component_id", F.col("doc_id"))
+    columns = ["class", "component_id"]
+    return hot.select(columns).unionByName(cold.select(columns)).unionByName(alone.select(columns))
+
+
+def _labelled(docs: DataFrame, text_col: str) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, ``mark``, ``n`` and ``component_id``."""
+    sketched = _sketches(docs, text_col)
     one = sketched.filter("n > 0 AND doc_id IS NOT NULL").groupBy("class").agg(
-        F.min("doc_id").alias("node"),
+        F.min(F.struct("doc_id", "mark")).alias("first"),
         F.min("n").alias("n"),
         F.min("bands").alias("bands"),
         F.min("bits").alias("bits"),
         F.min("map").alias("map"),
     )
-    classes = stored(one, "classes")
-    rows = docs.select(docs["doc_id"].cast("long").alias("node"), text.alias("text"))
-    labels = link_classes(classes, rows.filter("node IS NOT NULL"))
-    placed = classes.select("class", "node").join(labels, "node", "left").select(
-        "class", F.coalesce("component", "node").alias("component")
+    numbered = one.select(
+        F.monotonically_increasing_id().alias("node"), "class", "first.*", "bands", *FACTS
     )
-    out = sketched.select("doc_id", "n", "class").join(placed, "class", "left")
-    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    return out.select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    classes = stored(numbered, "classes")
+    text = utf8(docs[text_col])
+    rows = docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text")
+    )
+    labels = stored(link_classes(classes, rows), "class-labels")
+    placed = _least_ids(classes, labels)
+    out = sketched.select("doc_id", "mark", "n", "class").join(placed, "class", "left")
+    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "mark", "n", component.alias("component_id"))
+
+
+def label_near_duplicates(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every document.
+
+    Documents are linked if 100 times the common shingles are at least 75 times all
+    shingles of both; ``component_id`` is the smallest id reachable, and that document is
+    ``kept``. Null texts and texts without words are linked with nothing. Rows that repeat
+    an id with another text are documents of their own, each in the component of its text;
+    rows with a null id belong to the component of an equal text that has an id, and stand
+    alone (component null, kept) if there is none. An empty table gives no rows; other
+    columns are not looked at.
+    """
+    out = _labelled(docs, text_col).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """One document of each component, columns unchanged; rows without an id stay."""
+    """The document with the smallest id of each component, columns unchanged.
+
+    Rows without an id stay. Of rows that share an id, only those go whose own text is near
+    that of a smaller id.
+    """
     gone = (
-        label_near_duplicates(docs, text_col)
-        .filter("NOT kept AND doc_id IS NOT NULL")
-        .select(F.col("doc_id").alias("__gone"))
+        _labelled(docs, text_col)
+        .filter("doc_id IS NOT NULL AND doc_id <> component_id")
+        .select(F.col("doc_id").alias("__gone"), F.col("mark").alias("__mark"))
         .distinct()
     )
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    same = (docs["doc_id"].cast("long") == gone["__gone"]) & (
+        F.xxhash64(utf8(docs[text_col])) == gone["__mark"]
+    )
+    return docs.join(gone, same, "left_anti")

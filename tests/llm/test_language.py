@@ -1,9 +1,10 @@
 """String kernels against sets of n-grams, and held-out accuracy."""
 
+import random
 import zlib
 
 import numpy as np
-import pytest
+from pyspark.sql import functions as F
 
 from panelspark.llm import language as lang
 from panelspark.llm.language import drop_unknown, identify, mark, solve, train
@@ -102,10 +103,31 @@ def test_labels_of_held_out_rows_are_never_seen(spark):
     assert {r["lang_pred"] for r in got} == set(SAMPLES)
 
 
-def test_too_many_labels(spark, monkeypatch):
-    monkeypatch.setattr(lang, "MOST_LANGUAGES", 2)
-    with pytest.raises(ValueError):
-        train(spark.createDataFrame(rows(2), SCHEMA))
+def test_any_number_of_labels(spark, monkeypatch):
+    """More labels than landmarks and than training rows: every label is still learned."""
+    monkeypatch.setattr(lang, "BLOCK", 16)
+    r = random.Random(4)
+    spell = {g: ["".join(r.choices("bcdfghklmnprstvz", k=3)) for _ in range(6)] for g in range(600)}
+    data = [(i, " ".join(r.choices(spell[i % 600], k=40)), f"x{i % 600}", "s", 1) for i in range(2400)]
+    df = spark.createDataFrame(data, SCHEMA)
+    model = train(df, training=500, landmarks=100)
+    assert len(model.languages) == 600 and model.landmarks.shape[0] == 100
+    assert len(train(df, training=1200, landmarks=100).languages) == 600
+    got = df.select("lang", lang.language(F.col("text"), train(df, training=2400, landmarks=2400)).alias("found"))
+    assert got.filter("found.lang = lang").count() > 0.95 * len(data)
+
+
+def test_rejects_by_prediction(spark):
+    df = spark.createDataFrame([*rows(), (900, "zzzz qqqq", None, "s", 1), (901, None, None, "s", 1)], SCHEMA)
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in identify(df).collect()}
+
+    def kept(**how):
+        return {r["doc_id"] for r in drop_unknown(df, **how).collect()}
+
+    for least in (0.0, 0.3, 0.9):
+        assert kept(least=least) == {i for i, (g, s) in found.items() if g != "und" and s >= least}
+    assert kept(languages=["de"], least=0) == {i for i, (g, _) in found.items() if g == "de"}
+    assert 0 < len(kept(least=0.9)) < len(found)
 
 
 def test_query_accuracy(spark):

@@ -98,6 +98,27 @@ def test_empty_null_ids_and_repeated_rows(spark):
     assert drop_near_duplicates(df.limit(0)).count() == 0
 
 
+def test_an_id_with_several_texts(spark):
+    """Of (1, A), (2, A near) and (2, other) the other text stays."""
+    a = " ".join(f"w{i}" for i in range(60))
+    near, other = a + " more", " ".join(f"u{i}" for i in range(60))
+    rows = [(1, a), (2, near), (2, other), (3, other + " x"), (3, "short one"), (2, near)]
+    df = spark.createDataFrame([(i, t, 1, "c", 2, "k") for i, t in rows], SCHEMA)
+    out = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in label_near_duplicates(df).collect())
+    assert out == [(1, 56, 1), (2, 56, 2), (2, 57, 1), (2, 57, 1), (3, 1, 3), (3, 57, 2)]
+    kept = sorted((r["doc_id"], r["text"]) for r in drop_near_duplicates(df).collect())
+    assert kept == [(1, a), (2, other), (3, "short one")]
+
+
+def test_many_followers_of_one_leader(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LED_ROWS", 7)
+    monkeypatch.setattr(near_dedup, "LARGEST", 1)
+    base = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join([*base, f"x{i}"])) for i in range(90)] + [(200 + i, " ".join([*base[:40], f"y{i // 2}", f"z{i % 2}"])) for i in range(20)]
+    df = spark.createDataFrame([(i, t, 1, "c", 2, "k") for i, t in rows], SCHEMA)
+    assert got(label_near_duplicates(df)) == brute(rows)
+
+
 def test_sketch_is_full_and_estimates_similarity():
     known, rng = Hashed(), random.Random(9)
     for n in (1, 2, 7, 40, 300, 5000):
