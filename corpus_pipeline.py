@@ -17,27 +17,37 @@ from panelspark.llm.queries import piece_digests, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts without a language: null, or without a letter."""
+    """Keep documents that are predicted to be in a language of the corpus.
+
+    Null texts, texts without a letter, and texts that every language rejects go; repeated
+    rows have one fate, an empty table gives none, other columns are not looked at.
+    """
     return drop_unknown(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the largest id of equal texts."""
+    """Keep the largest id of equal texts; null counts as empty, ties keep one row."""
     return deduplicate(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each group of near copies."""
+    """Keep the smallest id of each group of near copies.
+
+    Null texts, texts without words and rows without an id stay.
+    """
     return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that repeat a passage of the benchmark."""
+    """Drop documents that repeat a passage of the benchmark; null texts have none."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the remaining texts, and the texts decoded from them, as digests."""
+    """Token ids of the remaining texts, and the texts decoded from them, as digests.
+
+    Null is encoded as an empty text; every row gives one.
+    """
     return piece_digests(docs)
 
 
