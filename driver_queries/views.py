@@ -8,6 +8,7 @@ from panelspark.functions.status import STATUS_LEVELS
 from panelspark.operators.joins import small_side
 from panelspark.operators.rollup import nowcast_summary
 from panelspark.operators.views import (
+    CLUSTERED,
     QueryCache,
     map_view,
     never_reported_override,
@@ -15,6 +16,7 @@ from panelspark.operators.views import (
     presence_long,
     probability_map_view,
     query_predictions,
+    query_stored,
     timeline_long,
 )
 
@@ -230,6 +232,20 @@ def cx14_query_predictions(d):
     )
 
 
+@query(
+    "cx14_query_stored",
+    f"""WITH {ORDER_PREDICTIONS_SQL}
+    SELECT id, predicted_cases FROM p
+    WHERE report_year IN (1998, 2000) AND country_iso3c IN ('1-URGENT', '5-LOW')""",
+)
+def cx14_query_stored(d):
+    """The same query over a copy that is clustered for it."""
+    tables = d.tables()
+    tables.overwrite(order_predictions(d), "predictions", **CLUSTERED)
+    wanted = {"columns": "id,predicted_cases", "years": "1998,2000", "countries": "1-URGENT,5-LOW"}
+    return query_stored(tables, "predictions", **wanted)
+
+
 @query(
     "cx15_query_cache_version",
     f"""WITH {ORDER_PREDICTIONS_SQL}

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .joins import matching, not_matching, small_side
 from ..functions.text import contains
-from ..session import scratch_dir
+from ..session import stored
 
 # Texts that mark a response as failed, and the fetch states of the log.
 INGESTION_ERROR = "ingestion error"
@@ -113,20 +113,19 @@ def row_positions(
 ) -> DataFrame:
     """1-based position in a global order, without a single-task sort.
 
-    The rows are cut into ranges of the whole order, so rows that share its leading
-    value can be cut apart, and written once. Positions are counted within ranges and
-    shifted by the sizes of the ranges before. Any cuts give the same positions; only
-    balance varies.
+    The rows are evaluated once, into files; everything after reads these. They are cut
+    into ranges of the whole order, so rows that share its leading value can be cut apart.
+    Positions are counted within ranges and shifted by the sizes of the ranges before. Any
+    cuts give the same positions; only balance varies.
     """
     spark = df.sparkSession
+    kept = stored(df, "unordered")
     if slices is None:
         cores = spark.sparkContext.defaultParallelism
-        slices = max(4 * cores, math.ceil(df.count() / SLICE_ROWS))
-    path = scratch_dir(spark, "ranges")
-    ranged = df.repartitionByRange(slices, *order).withColumn("__slice", F.spark_partition_id())
-    ranged.write.parquet(path)
-    stored = spark.read.schema(ranged.schema).parquet(path)
-    sizes = {r[0]: r[1] for r in stored.groupBy("__slice").count().collect()}
+        slices = max(4 * cores, math.ceil(kept.count() / SLICE_ROWS))
+    ranged = kept.repartitionByRange(slices, *order).withColumn("__slice", F.spark_partition_id())
+    ranges = stored(ranged, "ranges")
+    sizes = {r[0]: r[1] for r in ranges.groupBy("__slice").count().collect()}
     before, total = [], 0
     for i in range(slices + 1):
         before.append(total)
@@ -135,7 +134,7 @@ def row_positions(
         F.from_json(F.lit(json.dumps(before)), "array<bigint>"), F.col("__slice") + 1
     )
     within = Window.partitionBy("__slice").orderBy(*order)
-    return stored.withColumn(name, F.row_number().over(within) + offset).drop("__slice")
+    return ranges.withColumn(name, F.row_number().over(within) + offset).drop("__slice")
 
 
 def assign_batches(

@@ -43,7 +43,8 @@ def month_status(
     An event has ``start_date``, ``last_report_date``, ``resolved_date`` and
     ``endemic``. It is active from its start month to the month it was resolved in, or
     for twelve months after the last report if it was not. Without ``since`` only
-    active months are listed, with it every month of every key.
+    active months are listed, with it every month of every key. Starts and ends are swept
+    in order per key, so that months are expanded once per key, not once per event.
     """
     keys = [*keys, *carried]
     last = F.trunc(F.lit(as_of), "month")
@@ -56,14 +57,37 @@ def month_status(
         start.alias("__start"),
         end.alias("__end"),
     ).filter("__start <= __end")
-    months = spans.withColumn(
-        "month", F.explode(F.expr("sequence(__start, __end, interval 1 month)"))
+    # an event counts from its start month to the month before its end mark; marks of one
+    # month are added up, so that a key has one row per month however many events it has
+    def mark(month: Column, n: int, new: int) -> Column:
+        parts = {"__month": month, "__n": F.lit(n), "__new": F.lit(new),
+                 "__endemic": F.lit(n) * F.col("endemic").cast("int")}
+        return F.struct(*[c.alias(name) for name, c in parts.items()])
+
+    marks = spans.select(
+        *keys, F.inline(F.array(mark(F.col("__start"), 1, 1), mark(F.add_months("__end", 1), -1, 0)))
     )
-    first = F.col("month") == F.col("__start")
-    active = months.groupBy(*keys, "month").agg(
-        F.bool_or(first).alias("outbreak_start"),
-        F.bool_or(~first).alias("outbreak_subsequent_month"),
-        F.bool_or("endemic").alias("endemic"),
+    turns = marks.groupBy(*keys, "__month").agg(*[F.sum(c).alias(c) for c in ("__n", "__new", "__endemic")])
+    so_far = Window.partitionBy(*keys).orderBy("__month")
+    runs = turns.select(
+        *keys,
+        "__month",
+        "__new",
+        F.sum("__n").over(so_far).alias("__active"),
+        F.sum("__endemic").over(so_far).alias("__endemic"),
+        F.lead("__month").over(so_far).alias("__next"),
+    ).filter("__active > 0")
+    months = runs.withColumn(
+        "month", F.explode(F.expr("sequence(__month, add_months(__next, -1), interval 1 month)"))
+    )
+    first = F.col("month") == F.col("__month")
+    begun = F.when(first, F.col("__new")).otherwise(0)
+    active = months.select(
+        *keys,
+        "month",
+        (begun > 0).alias("outbreak_start"),
+        (F.col("__active") > begun).alias("outbreak_subsequent_month"),
+        (F.col("__endemic") > 0).alias("endemic"),
     )
     if since is None:
         return active

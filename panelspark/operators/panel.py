@@ -278,6 +278,8 @@ def append_absent(
 
     The half-years are those reported plus the next two. All axes come from the distinct
     keys, which are stored, so the reports are read once for them and once for the rows.
+    Per item and half-year the set of its countries is taken from the set of all: reported
+    keys are shuffled, the grid of countries never is. A set holds each country once.
     """
     keys = [*item, country, sem, year]
     known = stored(reports.select(*keys).distinct(), "report-keys")
@@ -285,10 +287,17 @@ def append_absent(
     future = next_half_years(known, year, sem).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in periods.schema]
     )
+    # a struct, because collected sets pass over bare nulls
+    place = F.collect_set(F.struct(country))
     items = spread(known.select(*item).distinct(), *item)
-    cells = product(items, known.select(country).distinct())
-    cells = product(cells, periods.unionByName(future).distinct())
-    absent = not_matching(cells, known, keys)
+    cells = product(items, periods.unionByName(future).distinct())
+    here = known.groupBy(*item, sem, year).agg(place.alias("__here"))
+    cells = null_safe_join(cells, here, [*item, sem, year], "left")
+    cells = product(cells, known.agg(place.alias("__all")))
+    none = F.array().cast(cells.schema["__all"].dataType)
+    missing = F.array_except("__all", F.coalesce("__here", none))
+    absent = spread(cells.select(*item, sem, year, missing.alias("__missing")), *item, sem, year)
+    absent = absent.select(*item, sem, year, F.inline("__missing"))
     return reports.unionByName(
         absent.withColumn(status, F.lit(UNREPORTED)), allowMissingColumns=True
     )

@@ -185,6 +185,23 @@ def query_predictions(
     return out.select(*wanted) if wanted else out
 
 
+#: How predictions are stored for :func:`query_stored`.
+CLUSTERED = {"by": ["country_iso3c"], "sort": ["country_iso3c", "report_year"]}
+
+
+def query_stored(tables, name: str, countries: str | None = None, **params) -> DataFrame:
+    """:func:`query_predictions` over a table stored with :data:`CLUSTERED`.
+
+    Only files of the wanted countries are opened, and in them only the parts that may
+    hold the wanted years.
+    """
+    wanted = split_list(countries)
+    if not wanted:
+        return query_predictions(tables.read(name), **params)
+    keys = tables.spark.createDataFrame([(c,) for c in wanted], "country_iso3c string")
+    return query_predictions(tables.read_keys(name, keys), countries=countries, **params)
+
+
 class QueryCache:
     """Keeps query results by their arguments and the version they were read from.
 

@@ -136,6 +136,7 @@ class Tables:
         unique: Sequence[str] = (),
         nullable_keys: bool = False,
         by: Sequence[str] = (),
+        sort: Sequence[str] = (),
     ) -> int:
         """Write, check and publish the version after ``base``, which replaces the table."""
         folder = f"data-{uuid.uuid4().hex}"
@@ -146,7 +147,7 @@ class Tables:
         }
         try:
             if by:
-                self._write_buckets(df, path, content)
+                self._write_buckets(df, path, content, sort)
                 content["parts"] = dict.fromkeys(self._written(path), folder)
                 written = self._load(name, content)
             else:
@@ -164,9 +165,13 @@ class Tables:
             raise
         return self._publish(name, base, content if by else folder, [folder])
 
-    def _write_buckets(self, df: DataFrame, path: str, content: dict) -> None:
-        dealt = df.withColumn(BUCKET, _bucket(content))
-        dealt.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+    def _write_buckets(
+        self, df: DataFrame, path: str, content: dict, sort: Sequence[str] = ()
+    ) -> None:
+        dealt = df.withColumn(BUCKET, _bucket(content)).hint("rebalance", BUCKET)
+        if sort:
+            dealt = dealt.sortWithinPartitions(BUCKET, *sort)
+        dealt.write.partitionBy(BUCKET).parquet(path)
 
     def _written(self, path: str) -> list[str]:
         found = self._pointers("").children(path)
@@ -186,14 +191,22 @@ class Tables:
         unique: Sequence[str] = (),
         nullable_keys: bool = False,
         by: Sequence[str] = (),
+        sort: Sequence[str] = (),
     ) -> DataFrame:
         """Replace the table; also the full refresh after a model change.
 
         A version in which ``unique`` columns repeat is not published. With ``by`` the
-        table is bucketed by these columns from the start.
+        table is bucketed by these columns from the start, each bucket in the order of
+        ``sort``, so that readers skip parts of files too.
         """
         return self._replace(
-            df, name, partition_by=partition_by, unique=unique, nullable_keys=nullable_keys, by=by
+            df,
+            name,
+            partition_by=partition_by,
+            unique=unique,
+            nullable_keys=nullable_keys,
+            by=by,
+            sort=sort,
         )
 
     def publish_snapshot(

@@ -193,3 +193,17 @@ def test_small_side_is_broadcast_only_up_to_its_limit(spark, rows):
         assert rows(small_side(df.distinct(), limit)) == [(1, None), (2, "b")]
     big = df.join(small_side(df.distinct(), 10), "k", "left_semi")
     assert "BroadcastHashJoin" in big._jdf.queryExecution().executedPlan().toString()
+
+
+def test_positions_evaluate_their_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(500).select(counted("id").alias("k"))
+    got = ingest.row_positions(df, ["k"], "pos", slices=5).collect()
+    assert [(r["k"], r["pos"]) for r in sorted(got)] == [(i, i + 1) for i in range(500)]
+    assert seen.value == 500

@@ -163,3 +163,30 @@ def test_variable_importance(status, edges, coefs):
     got = network.variable_importance(scored, coefs, VARIABLES).filter("country_iso3c = 'C'").first()
     assert (got["variable_importance"], got["pos"]) == (2.5, True)
     assert got["probability_label"] == "82%"
+
+
+def test_months_are_expanded_once_per_key(spark):
+    """100 overlapping events of twenty years: marks, not months, are shuffled."""
+    import random
+
+    r = random.Random(1)
+    schema = "country_iso3c string, disease string, start_date date, last_report_date date, resolved_date date, endemic boolean"
+    data = []
+    for i in range(100):
+        start = D(1990 + r.randrange(4), 1 + r.randrange(12), 1 + r.randrange(28))
+        data.append(("A", "pox", start, start, D(2010 + r.randrange(4), 1 + r.randrange(12), 3), i == 7))
+    data += [("B", "pox", D(2001, 3, 9), D(2001, 5, 9), None, None), ("B", "pox", D(2003, 1, 1), D(2003, 1, 1), D(2002, 1, 1), True), ("B", None, D(2001, 3, 9), None, D(2001, 3, 20), False)]
+    ev = spark.createDataFrame(data, schema)
+    got = network.month_status(ev, D(2012, 6, 1))
+    want = {}
+    for c, d, start, last, resolved, endemic in data:
+        end = resolved or D(last.year + 1, last.month, 1)
+        for m in range(start.year * 12 + start.month - 1, min(end.year * 12 + end.month, 2012 * 12 + 6)):
+            flags = want.setdefault((c, d, D(m // 12, m % 12 + 1, 1)), [False, False, False])
+            first = m == start.year * 12 + start.month - 1
+            flags[0] |= first
+            flags[1] |= not first
+            flags[2] |= bool(endemic)
+    assert {(r[0], r[1], r["month"]): [r["outbreak_start"], r["outbreak_subsequent_month"], r["endemic"]] for r in got.collect()} == want
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Generate explode") < text.index("Exchange") < text.index("Generate inline")

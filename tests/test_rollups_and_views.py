@@ -131,6 +131,21 @@ def test_query_filters_before_it_projects(predictions, rows):
     assert views.query_predictions(predictions).count() == 3
 
 
+def test_stored_query_opens_files_of_its_countries(spark, tmp_path, rows):
+    tables = Tables(spark, str(tmp_path / "t"), buckets=16)
+    many = spark.range(900).selectExpr(
+        "id", "concat('C', id % 30) AS country_iso3c", "CAST(2000 + id % 7 AS INT) AS report_year", "id / 2 AS predicted_cases"
+    )
+    tables.overwrite(many, "p", **views.CLUSTERED)
+    got = views.query_stored(tables, "p", countries="C3,C4", years="2001", columns="id")
+    want = views.query_predictions(many, countries="C3,C4", years="2001", columns="id")
+    assert rows(got) == rows(want) != []
+    assert len(got.inputFiles()) <= 2 < len(tables.read("p").inputFiles())
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "In(report_year" in text or "report_year,2001" in text
+    assert views.query_stored(tables, "p", years="2001").count() == many.filter("report_year = 2001").count()
+
+
 def test_cache_holds_until_cleared(predictions, tables, rows):
     cache = views.QueryCache(predictions, tables, most=2, grace=0)
     first = rows(cache.get(countries="A"))
