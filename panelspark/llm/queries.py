@@ -43,20 +43,17 @@ def exact_dedup(spark, folder):
 
 # -- 7: sharding ---------------------------------------------------------------------
 
-from .base import stored, words_text  # noqa: E402
+from .base import words_text  # noqa: E402
 from .sharding import shard  # noqa: E402
 
 
 @query("op7_sharding")
 def sharding(spark, folder):
     text = words_text("text")
-    rows = stored(
-        table(spark, folder, "documents").select(
-            "doc_id",
-            (F.octet_length(text).cast("long") + 1).alias("size"),
-            F.crc32(text).alias("text_crc32"),
-        ),
-        "sizes",
+    rows = table(spark, folder, "documents").select(
+        "doc_id",
+        (F.octet_length(text).cast("long") + 1).alias("size"),
+        F.crc32(text).alias("text_crc32"),
     )
     return shard(rows, "doc_id", F.col("size")).select(
         "doc_id",

@@ -1,6 +1,6 @@
 """Shards of equal bytes by histogram sort.
 
-The rows are ordered by a long key, ties by a hash of the row. To cut this order into
+The rows are ordered by a long key, ties by a hash of the row and of its place. To cut this order into
 shards, the exact bytes below candidate boundaries are counted over all partitions.
 Candidates are key prefixes: each round adds bits to the prefixes in which a cut lies and
 counts only their rows, until every cut is exact or within the tolerance. Then the rows
@@ -17,6 +17,7 @@ import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 from .base import stored
@@ -26,6 +27,8 @@ FIRST_BITS, NEXT_BITS = 12, 8
 PART_ROWS = 4_000_000
 LEAST_PARTS = 4
 LOW, FULL = -(1 << 63), 1 << 64
+#: Low bits of a tie, which tell rows apart that are equal in all columns.
+COPIES = (1 << 24) - 1
 
 
 @dataclass
@@ -145,20 +148,25 @@ def shard(
 
     Shards are consecutive ranges of ``key`` (a long; null sorts first) whose sizes come
     as near to equal as whole rows allow; ``tolerance`` is the part of a shard's size by
-    which a cut may miss. ``size`` is a row's bytes, null or negative counts as 0. Rows
-    with one key are ordered, and cut, by a hash of all their columns; rows equal in
-    every column stay together. With fewer rows than shards some shards are empty; an
-    empty table gives no rows. Columns named ``shard`` or ``slot`` are replaced.
+    which a cut may miss. ``size`` is a row's bytes, null or negative counts as 0. Text
+    keys are ordered by their hash. Rows with one key are ordered, and cut, by a hash of all
+    their columns, and rows equal in every column by their place in the table, so that a
+    row that is repeated any number of times is cut like others. With fewer rows than
+    shards some shards are empty; an empty table gives no rows. Columns named ``shard`` or
+    ``slot`` are replaced. The rows are written once, as places are only good there.
     """
     df = df.drop("shard", "slot")
-    rows = (
+    place = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(COPIES)
+    whole_row = F.xxhash64(*[df[c] for c in df.columns]).bitwiseAND(~COPIES)
+    text = isinstance(df.schema[key].dataType, StringType)
+    number = F.xxhash64(key) if text else F.col(key).cast("long")
+    rows = stored(
         df.withColumn("__size", F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)))
-        .withColumn("__key", F.coalesce(F.col(key).cast("long"), F.lit(LOW)))
-        .withColumn("__tie", F.xxhash64(*[df[c] for c in df.columns]))
-    )
-    narrow = stored(
-        rows.select(*[F.col(f"__{c}").alias(c) for c in ("key", "tie", "size")]), "positions"
+        .withColumn("__key", F.when(F.col(key).isNull(), F.lit(LOW)).otherwise(number))
+        .withColumn("__tie", whole_row.bitwiseOR(place)),
+        "rows",
     )
+    narrow = rows.select(*[F.col(f"__{c}").alias(c) for c in ("key", "tie", "size")])
     whole = narrow.agg(
         F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("n")
     ).first()

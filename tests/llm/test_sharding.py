@@ -44,6 +44,27 @@ def test_hot_key_is_cut_by_tie(spark):
         assert abs(r["n"] - 900 / 8) <= 1 and r["a"] == 0 and r["z"] == r["n"] - 1
 
 
+def test_a_repeated_row_is_cut_too(spark):
+    """A third of the table is one row; every shard still gets its share of the bytes."""
+    df = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.lit(10).cast("long").alias("size"),
+    ).repartition(5)
+    got = shard(df, "doc_id", F.col("size"), 16)
+    sizes = {r["shard"]: r["count"] for r in got.groupBy("shard").count().collect()}
+    assert len(sizes) == 16 and all(abs(n - 900 / 16) <= 2 for n in sizes.values())
+    slots = got.groupBy("shard").agg(F.countDistinct("slot").alias("n"), F.max("slot").alias("z")).collect()
+    assert all(r["n"] == r["z"] + 1 == sizes[r["shard"]] for r in slots)
+    assert got.filter("doc_id = 7").count() == 301
+
+
+def test_text_keys(spark):
+    df = spark.range(400).select(F.concat(F.lit("doc-"), "id").alias("doc_id"), F.lit(3).cast("long").alias("size"))
+    df = df.unionByName(spark.createDataFrame([(None, 3)], "doc_id string, size long"))
+    got = shard(df, "doc_id", F.col("size"), 8).groupBy("shard").count().collect()
+    assert sum(r["count"] for r in got) == 401 and all(abs(r["count"] - 50) <= 1 for r in got)
+
+
 def test_nulls_repeats_and_empty(spark):
     rows = [(None, None, "x", None), (None, 5, "x", None), (3, -7, "x", "n"), (3, 4, "x", "n")] * 3
     got = shard(spark.createDataFrame(rows, SCHEMA), "doc_id", F.col("size"), 4)
