@@ -27,6 +27,8 @@ WINDOW = 10
 BLOCK_BYTES = 8 << 20
 #: Suffixes in one array, and bytes of text that become words at a time.
 SHARD, PIECE = 1 << 20, 4 << 20
+#: Places in texts and in items that are paired at a time.
+PAIRS = 1 << 20
 
 #: A-Z become a-z; 0-9, a-z and all bytes beyond ASCII are kept; the rest separates.
 TABLE = bytes(
@@ -100,12 +102,12 @@ class TestSuffixes:
         kind = ">u2" if len(self.vocabulary) < 1 << 16 else ">u4"
         self.width = np.dtype(kind).itemsize
         self.key, self.code = f"S{window * self.width}", kind
-        places: dict[tuple[int, bytes], dict[int, int]] = {}
+        places: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
         for i, ids in enumerate(texts):
             n = min(window, len(ids))
             for at in range(len(ids) - n + 1 if n else 0):
                 prefix = np.array(ids[at : at + n], kind).tobytes()
-                places.setdefault((n, prefix), {}).setdefault(i, at)
+                places.setdefault((n, prefix), []).append((i, at))
         order = sorted(places)
         self.length = np.array([n for n, _ in order], np.int64)
         pad = window * self.width
@@ -114,8 +116,8 @@ class TestSuffixes:
         self.least = int(self.length.min()) if order else 0
         counts = np.array([len(places[k]) for k in order], np.int64)
         self.first = np.concatenate(([0], np.cumsum(counts))).astype(np.int64)
-        self.item = np.array([i for k in order for i in places[k]], np.int64)
-        self.item_at = np.array([a for k in order for a in places[k].values()], np.int64)
+        self.item = np.array([i for k in order for i, _ in places[k]], np.int64)
+        self.item_at = np.array([a for k in order for _, a in places[k]], np.int64)
         self.words = np.array([w for ids in texts for w in [*ids, 0]], np.int64)
         self.starts = np.cumsum([0, *(len(ids) + 1 for ids in texts)])[:-1].astype(np.int64)
 
@@ -149,19 +151,8 @@ class TestSuffixes:
             d = int(np.searchsorted(begin, a, "right")) - 1
             out[d][1].append((a - int(begin[d]), b - int(begin[d])))
 
-        # the first place of each window in a document, with all items that have it
-        order = np.lexsort((at, which, doc))
-        at, which, doc = at[order], which[order], doc[order]
-        new = np.ones(len(at), bool)
-        new[1:] = (which[1:] != which[:-1]) | (doc[1:] != doc[:-1])
-        at, which, doc = at[new], which[new], doc[new]
-        many = self.first[which + 1] - self.first[which]
-        slot = _ranges(self.first[which], many)
-        at, doc = np.repeat(at, many), np.repeat(doc, many)
-        length = np.repeat(self.length[which], many)
-        item, item_at = self.item[slot], self.item_at[slot]
-        length = self._followed(flat, at, self.starts[item] + item_at, length)
-        order = np.lexsort((at, -length, item, doc))
+        at, doc, item, item_at, length = self._maximal(flat, at, which, doc)
+        order = np.lexsort((item_at, at, -length, item, doc))
         last = None
         for k in order.tolist():
             pair = (doc[k], item[k])
@@ -173,6 +164,27 @@ class TestSuffixes:
                 last = pair
         return out
 
+    def _maximal(self, flat, at, which, doc) -> tuple[np.ndarray, ...]:
+        """Every match that the word before does not make longer: where it stands in the
+        text and in its item, and how many words it has.
+
+        Windows are paired with all places of theirs in items, ``PAIRS`` pairs at a time.
+        """
+        many = self.first[which + 1] - self.first[which]
+        groups = np.concatenate(([0], np.cumsum(many))) // PAIRS
+        found = []
+        for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(groups[:-1])) + 1):
+            slot = _ranges(self.first[which[part]], many[part])
+            a, d = np.repeat(at[part], many[part]), np.repeat(doc[part], many[part])
+            n = np.repeat(self.length[which[part]], many[part])
+            item, item_at = self.item[slot], self.item_at[slot]
+            place = self.starts[item] + item_at
+            # items and texts are followed by a 0, so that -1 stands for no word before
+            starts = (flat[a - 1] != self.words[place - 1]) | (flat[a - 1] == 0)
+            a, d, n, item, item_at, place = (x[starts] for x in (a, d, n, item, item_at, place))
+            found.append((a, d, item, item_at, self._followed(flat, a, place, n)))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
     def _occurrences(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of all windows: (position, window), by one suffix array per shard."""
         n = len(flat)
@@ -245,8 +257,8 @@ def matches(text: Column, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES)
     A struct: ``n_words``; ``hits``, the spans of words inside any occurrence of a window
     (:data:`WINDOW` successive words of an item, or all words of a shorter one); and
     ``items``, for each item with an occurring window its id, and the words, the place
-    and the item's place of the longest match (of an item's equal windows, and of a
-    text's, the first place is followed). Words are counted from 0. Nulls have no words;
+    and the item's place of the longest match (of matches of one length, the first in the
+    text, then in the item). Words are counted from 0. Nulls have no words;
     an item without words matches nothing; rows that repeat an item id count as one item.
     """
     spark = benchmark.sparkSession
