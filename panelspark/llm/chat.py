@@ -1,10 +1,11 @@
 """Chat formatting: records of many layouts become turns, turns become one text.
 
-A record is JSON. The nested paths of its fields, as far as some layout knows them, are
-hashed to a fingerprint (``messages[].role`` for the role of every message). Each layout
-declares its paths and where roles and texts come from; the fingerprints of all its forms
-(optional fields present or not) are looked up in one table, so a record is recognised
-by one hash and no layout's code is tried on it.
+A record is JSON. The nested paths of its fields, as far as a layout knows them, are hashed
+to a fingerprint (``messages[].role`` for the role of every message). Each layout declares
+its paths and where roles and texts come from; a record is of the first layout that has the
+fingerprint among those of its forms (optional fields present or not). Fields that a layout
+does not know are ignored, also where another layout knows them. Which layout a set of
+paths selects is remembered, so that records alike cost one look-up.
 
 A turn is ``<|im_start|>role``, a line end, the text, ``<|im_end|>`` and a line end. In
 texts a backslash is doubled and ``<|`` becomes ``<\\|``, so no text can hold a control
@@ -25,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
+#: Sets of paths remembered in a task.
+SEEN = 4096
 START, END = "<|im_start|>", "<|im_end|>\n"
 ASSISTANT = "assistant"
 
@@ -35,8 +38,9 @@ class Layout:
 
     ``steps`` give turns in order: ``(role, path, ...)`` is one turn whose text is made
     of the non-empty fields, or no turn if the first is absent; ``("each", list, role,
-    text)`` a turn per element; ``("pairs", list)`` a user and an assistant turn per
-    element.
+    text)`` a turn per element, whose text may be a list of parts; ``("pairs", list)`` a
+    user and an assistant turn per element. A record with a path that begins like one of
+    ``without`` is not of this layout.
     """
 
     name: str
@@ -44,12 +48,16 @@ class Layout:
     steps: tuple[tuple[str, ...], ...]
     optional: tuple[str, ...] = ()
     roles: tuple[tuple[str, str], ...] = ()
+    without: tuple[str, ...] = ()
 
 
+PARTS = ("messages[].content[]", "messages[].content[].type", "messages[].content[].text")
+
+#: In the order in which they are preferred.
 #: Field names of public data sets.
 LAYOUTS = (
-    Layout("messages", ("messages[]", "messages[].role", "messages[].content"), (("each", "messages", "role", "content"),)),
-    Layout("no messages", ("messages[]",), (("each", "messages", "role", "content"),)),
+    Layout("messages", ("messages[]", "messages[].role", "messages[].content"), (("each", "messages", "role", "content"),), PARTS),
+    Layout("messages of parts", ("messages[]", "messages[].role", PARTS[0]), (("each", "messages", "role", "content"),), PARTS[1:]),
     Layout(
         "from and value",
         ("conversations[]", "conversations[].from", "conversations[].value"),
@@ -57,6 +65,12 @@ LAYOUTS = (
         ("system",),
         (("human", "user"), ("gpt", "assistant")),
     ),
+    Layout(
+        "instruction with history",
+        ("instruction", "output", "history[]", "history[][]"),
+        (("system", "system"), ("pairs", "history"), ("user", "instruction", "input"), ("assistant", "output")),
+        ("input", "system"),
+    ),
     Layout(
         "instruction",
         ("instruction", "output"),
@@ -64,15 +78,16 @@ LAYOUTS = (
         ("input", "system"),
     ),
     Layout(
-        "instruction with history",
-        ("instruction", "output", "history[]", "history[][]"),
-        (("system", "system"), ("pairs", "history"), ("user", "instruction", "input"), ("assistant", "output")),
-        ("input", "system"),
+        "instruction and response",
+        ("instruction", "response"),
+        (("system", "system"), ("user", "instruction", "context"), ("assistant", "response")),
+        ("context", "system"),
     ),
     Layout("prompt and response", ("prompt", "response"), (("system", "system"), ("user", "prompt"), ("assistant", "response")), ("system",)),
     Layout("prompt and completion", ("prompt", "completion"), (("system", "system"), ("user", "prompt"), ("assistant", "completion")), ("system",)),
     Layout("question and answer", ("question", "answer"), (("user", "context", "question"), ("assistant", "answer")), ("context",)),
     Layout("turn", ("role", "text", "turn"), (("turn", "role", "text"),), ("conv_id",)),
+    Layout("no messages", ("messages[]",), (("each", "messages", "role", "content"),), without=("messages[].",)),
 )
 
 
@@ -97,18 +112,33 @@ class Layouts:
     """Layouts by the fingerprints of their forms."""
 
     def __init__(self, layouts: tuple[Layout, ...] = LAYOUTS):
-        self.known = {p for x in layouts for p in (*x.paths, *x.optional)}
-        self.by: dict[str, Layout] = {}
+        self.layouts = [(x, {*x.paths, *x.optional}) for x in layouts]
+        self.known = {p for _, own in self.layouts for p in own}
+        self.by: dict[tuple[str, str], Layout] = {}
         for x in layouts:
             for n in range(len(x.optional) + 1):
                 for more in combinations(x.optional, n):
-                    self.by[fingerprint((*x.paths, *more))] = x
+                    self.by[x.name, fingerprint((*x.paths, *more))] = x
+        self.seen: dict[frozenset, tuple[str, Layout | None]] = {}
+
+    def select(self, paths: frozenset) -> tuple[str, Layout | None]:
+        """Fingerprint and layout of a set of field paths."""
+        for layout, own in self.layouts:
+            key = fingerprint(p for p in paths if p in own)
+            odd = layout.without and any(p.startswith(layout.without) for p in paths)
+            if (layout.name, key) in self.by and not odd:
+                return key, layout
+        return fingerprint(p for p in paths if p in self.known), None
 
     def turns(self, record) -> tuple[str, str | None, list | None]:
         """Fingerprint, name of the layout, and turns (order, role, text) of a record."""
-        key = fingerprint(p for p in field_paths(record) if p in self.known)
-        layout = self.by.get(key) if isinstance(record, dict) else None
-        if layout is None:
+        paths = frozenset(field_paths(record))
+        if paths not in self.seen:
+            if len(self.seen) >= SEEN:
+                self.seen.clear()
+            self.seen[paths] = self.select(paths)
+        key, layout = self.seen[paths]
+        if layout is None or not isinstance(record, dict):
             return key, None, None
         roles, out = dict(layout.roles), []
 
@@ -120,7 +150,7 @@ class Layouts:
             if kind == "each":
                 for one in record[fields[0]] or ():
                     if isinstance(one, dict):
-                        add(one.get(fields[1]), one.get(fields[2]))
+                        add(one.get(fields[1]), _joined(one.get(fields[2])))
             elif kind == "pairs":
                 for one in record[fields[0]] or ():
                     for role, text in zip(("user", ASSISTANT), one if isinstance(one, list) else ()):
@@ -132,6 +162,13 @@ class Layouts:
         return key, layout.name, out
 
 
+def _joined(value):
+    """A text given as a list of parts; a part without text, like an image, adds nothing."""
+    if not isinstance(value, list):
+        return value
+    return "".join(_text(p.get("text")) if isinstance(p, dict) else _text(p) for p in value)
+
+
 def _text(value) -> str:
     return "" if value is None else value if isinstance(value, str) else json.dumps(value)
 
@@ -247,7 +284,9 @@ def read_back(text: Column, mask: Column) -> Column:
 def format_records(records: DataFrame, key: str, json_col: str) -> DataFrame:
     """``key``, ``layout``, ``text`` and ``mask`` of records that hold a whole chat each.
 
-    Records of unknown layout have null layout and an empty text.
+    Records that are null, no JSON object, or of unknown layout have null layout and an
+    empty text. Repeated and null keys are rows of their own, an empty table gives none, and
+    other columns are not looked at, whatever their names.
     """
     found = records.select(records[key].alias(key), canonical(records[json_col]).alias("c"))
     made = found.select(key, F.col("c.layout").alias("layout"), format_turns(F.col("c.turns")).alias("f"))

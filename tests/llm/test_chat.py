@@ -5,6 +5,7 @@ import json
 import pytest
 from hypothesis import given, strategies as st
 
+from panelspark.llm import chat
 from panelspark.llm.chat import (
     LAYOUTS,
     Layouts,
@@ -37,7 +38,7 @@ RECORDS = [
     ({"question": "q", "answer": "a", "context": "x"}, "question and answer", [("user", "x\n\nq"), ("assistant", "a")]),
     ({"text": "t", "turn": 4, "role": "user"}, "turn", [("user", "t")]),
     ({"prompt": "p"}, None, None),
-    ({"prompt": "p", "response": "r", "messages": []}, None, None),
+    ({"prompt": "p", "response": "r", "messages": []}, "prompt and response", [("user", "p"), ("assistant", "r")]),
     ({}, None, None),
 ]
 
@@ -104,3 +105,35 @@ def test_query_equals_sql(spark):
 
     got = spark_table(QUERIES["op10_chat"](spark, "/root/testdata/sf0.001"))
     assert difference(got, sql_table(connect("/root/testdata/sf0.001"), SQL["op10_chat"])) is None
+
+
+def test_records_with_fields_of_other_layouts():
+    said = [(0, "user", "hi"), (1, "assistant", "yo")]
+    talk = [{"role": "user", "content": "hi"}, {"role": "assistant", "content": "yo"}]
+    parts = [{"role": "user", "content": [{"type": "text", "text": "h"}, {"type": "image", "url": "u"}, {"type": "text", "text": "i"}]}, talk[1]]
+    cases = [
+        ({"messages": talk, "prompt": "hi", "prompt_id": "7"}, "messages", said),
+        ({"messages": parts, "source": {"text": "x"}}, "messages", said),
+        ({"messages": [parts[0]]}, "messages of parts", said[:1]),
+        ({"messages": [{"role": "user", "content": ["h", "i"]}]}, "messages of parts", said[:1]),
+        ({"messages": [{**talk[0], "name": "n"}, talk[1]], "text": "all"}, "messages", said),
+        ({"instruction": "hi", "input": "", "output": "yo", "text": "hi yo"}, "instruction", said),
+        ({"instruction": "hi", "context": "", "response": "yo", "category": "qa"}, "instruction and response", said),
+        ({"instruction": "hi", "context": "there", "response": "yo"}, "instruction and response", [(0, "user", "hi\n\nthere"), said[1]]),
+        ({"instruction": "b", "output": "c", "history": [["hi", "yo"]], "text": "t"}, "instruction with history", [*said, (2, "user", "b"), (3, "assistant", "c")]),
+        ({"prompt": "hi", "response": "yo", "answer": 1}, "prompt and response", said),
+        ({"messages": [], "id": 4}, "no messages", []),
+        ({"messages": [{"author": "x", "body": "y"}]}, None, None),
+        ({"title": "x"}, None, None),
+    ]
+    table = chat.Layouts()
+    for record, name, turns in cases * 2:
+        assert table.turns(record)[1:] == (name, turns), record
+
+
+def test_odd_records(spark):
+    rows = [(1, None), (1, "[1, 2]"), (None, "no json"), (2, '{"prompt": "a", "response": "b", "role": "r"}')]
+    df = spark.createDataFrame([(*r, "x", 1, "m") for r in rows], "k long, j string, text string, layout int, mask string")
+    got = {(r["k"], r["layout"], r["text"] != "") for r in chat.format_records(df, "k", "j").collect()}
+    assert got == {(1, None, False), (None, None, False), (2, "prompt and response", True)}
+    assert chat.format_records(df.limit(0), "k", "j").count() == 0
