@@ -15,6 +15,8 @@ texts that can hold a candidate are looked at one by one.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -33,7 +35,13 @@ CUT = r"""[\s"'`,;(){}\[\]<>|&?#$%*!]+"""
 VALUE = r"^[A-Za-z0-9+/_.~@-]{8,}$"
 MADE = r"^(?=.{16,}$)(?:(?=.*[0-9])|(?=.*[a-z])(?=.*[A-Z])(?!^[A-Z][a-z]+$)).*$"
 KNOWN = r"^(AKIA|ASIA|ghp_|gho_|github_pat_|sk_live_|xox[abp]-|AIza|eyJ|glpat-)"
-MAYBE = r"[A-Za-z0-9+/_.~@-]{16,}|(?i:pass|pwd|secret|token|api.?key|auth|bearer|credential|private|access_?key)|://[^\s/:@]*:[^\s/]+@"
+#: What a text must hold to have a candidate: a name in any case, a run of 16 signs of a
+#: value, or a password in a URL. Three searches that skip most places at their first sign.
+MAYBE = (
+    r"(?=[pPsStTaAbBcC])(?i:pass|pwd|secret|token|api.?key|auth|bearer|credential|private|access_?key)",
+    r"(?<![A-Za-z0-9+/_.~@-])[A-Za-z0-9+/_.~@-]{16}",
+    r"://[^\s/:@]*:[^\s/]+@",
+)
 
 #: Marks put around values before the text is cut; in texts they count as white space.
 VALUE_OPEN, VALUE_CLOSE, URL_OPEN, URL_CLOSE = "\x01", "\x02", "\x03", "\x04"
@@ -52,9 +60,11 @@ _BARE = (
     r"|[)\]}>](?![\s\"'`,;)\]}>]|$)|[;&,](?![A-Za-z0-9_.-]*+[ \t]*+[=:]|[\s\"'`)\]}]|$)|[\"'`](?=[A-Za-z0-9]))++"
 )
 ASSIGNED = (
+    # one look at the first letter and the name before the three forms are tried
+    rf"(?=[PpSsTtAaBbCc-])(?={_KEY}|--)(?:"
     rf"({_HEAD}\s*+[rbfuRBFU@$]{{0,2}}(\\*+(?:\"{{3}}|'{{3}}|[\"'`])){_SCHEME})((?:(?!\2)(?:\\[^\n]|[^\\\n]))++)(?=\2)"
     rf"|({_HEAD}[ \t]*+[\"'`]*+{_SCHEME})({_BARE})"
-    rf"|({_KEY}[A-Za-z0-9_.-]*+>)([^<\n]++)(?=</)"
+    rf"|({_KEY}[A-Za-z0-9_.-]*+>)([^<\n]++)(?=</))"
 )
 IN_URL = r"(://[^\s/:@\"'`<>]*+:)([^\s/\"'`<>]+)(?=@[A-Za-z0-9_\[])"
 
@@ -133,14 +143,26 @@ def find_candidates(docs: DataFrame, text_col: str, path_col: str | None, keep:
     path = words_text(docs[path_col].cast("string")) if path_col else F.lit("")
     rows = docs.select(
         *[docs[c].alias(f"__keep_{c}") for c in keep], text.alias("__text"), path.alias("path")
-    ).filter(F.col("__text").rlike(MAYBE))
+    ).filter(reduce(Column.__or__, [F.col("__text").rlike(p) for p in MAYBE]))
     rows = rows.withColumn("__text", _marked(F.col("__text")))
     spaced = F.regexp_replace("__text", f"[=:{''.join(MARKS)}]", " $0 ")
     rows = rows.withColumn("raw", F.split(spaced, CUT))
 
+    marks = F.filter(
+        F.transform("raw", lambda w, i: F.when(w.isin(MARKS), F.struct(i.alias("i"), w.alias("w")))),
+        lambda m: m.isNotNull(),
+    )
+    rows = rows.withColumns({"marks": marks, "words": F.filter("raw", lambda w: ~w.isin(MARKS))})
+    # how many marks stand before each place of the raw words, and before their end
+    until = F.concat(F.transform("marks", lambda m: m["i"]), F.array(F.size("raw")))
+    passed = F.transform(
+        until, lambda m, k: F.array_repeat(k, m - F.coalesce(F.get("marks", k - 1)["i"], F.lit(-1)))
+    )
+    rows = rows.withColumn("passed", F.flatten(passed))
+
     def spans(opening: str, closing: str) -> Column:
         """Place of each mark and of its end among the raw words, with the value."""
-        at = lambda mark: F.filter(F.transform("raw", lambda w, i: F.when(w == mark, i)), lambda i: i.isNotNull())
+        at = lambda mark: F.transform(F.filter("marks", lambda m: m["w"] == mark), lambda m: m["i"])
         values = F.regexp_extract_all("__text", F.lit(f"{opening}([^{closing}]*){closing}"), F.lit(1))
         return F.transform(
             F.arrays_zip(at(opening).alias("i"), at(closing).alias("end"), values.alias("v")),
@@ -155,30 +177,37 @@ def find_candidates(docs: DataFrame, text_col: str, path_col: str | None, keep:
             before.isin("=", ":"), _name(F.slice("raw", F.greatest(i - 3, F.lit(1)), F.least(i, F.lit(4))))
         ).otherwise(before)
         named = F.coalesce(name.rlike(NAMED), F.lit(False))
-        looks = word.rlike(VALUE) & (word.rlike(MADE) | word.rlike(KNOWN) | named & ~word.rlike(NAMED))
+        looks = word.rlike(MADE) | word.rlike(KNOWN) | named & ~word.rlike(NAMED)
+        looks = (F.length(word) >= 8) & word.rlike(VALUE) & looks
         return F.when(looks | F.coalesce(before == WORD_OPEN, F.lit(False)), i)
 
     single = F.transform(
         F.filter(F.transform("raw", chosen), lambda i: i.isNotNull()),
         lambda i: F.struct(i.alias("i"), (i + 1).alias("end"), F.get("raw", i).alias("value")),
     )
-    marks = F.filter(F.transform("raw", lambda w, i: F.when(w.isin(MARKS), i)), lambda i: i.isNotNull())
+
+    def numbered(c: Column) -> Column:
+        """A candidate with the numbers of its words instead of the places of the raw ones."""
+        return F.struct(
+            (c["i"] - F.get("passed", c["i"])).alias("i"),
+            (c["end"] - F.get("passed", c["end"])).alias("end"),
+            c["value"].alias("value"),
+        )
+
+    def among(c: Column) -> Column:
+        """A candidate with its neighbours, so that its row carries no other words."""
+        first = F.greatest(c["i"] - BEFORE, F.lit(0))
+        return F.struct(
+            c["i"].cast("long").alias("at"),
+            c["value"].alias("value"),
+            F.slice("words", first + 1, c["i"] - first).alias("before"),
+            F.slice("words", c["end"] + 1, F.lit(AFTER)).alias("after"),
+        )
+
     places = F.concat(single, spans(VALUE_OPEN, VALUE_CLOSE), spans(URL_OPEN, URL_CLOSE))
-    rows = rows.withColumns({"marks": marks, "words": F.filter("raw", lambda w: ~w.isin(MARKS))})
     # the list is exploded as it is: of a column Spark makes a filter that cuts the text per word
-    found = rows.withColumn("c", F.explode(places)).drop("__text", "raw")
-    passed = lambda end: F.size(F.filter("marks", lambda m: m < end))
-    found = found.withColumn("i", F.col("c.i") - passed(F.col("c.i")))
-    found = found.withColumn("end", F.col("c.end") - passed(F.col("c.end")))
-    first = F.greatest(F.col("i") - BEFORE, F.lit(0))
-    return found.select(
-        *[F.col(f"__keep_{c}").alias(c) for c in keep],
-        F.col("i").cast("long").alias("at"),
-        F.col("c.value").alias("value"),
-        F.slice("words", first + 1, F.col("i") - first).alias("before"),
-        F.slice("words", F.col("end") + 1, F.lit(AFTER)).alias("after"),
-        "path",
-    )
+    found = rows.withColumn("c", F.explode(F.transform(F.transform(places, numbered), among)))
+    return found.select(*[F.col(f"__keep_{c}").alias(c) for c in keep], "c.*", "path")
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -216,11 +245,12 @@ def with_features(found: DataFrame) -> DataFrame:
 
 
 def labelled_texts(docs: DataFrame, text_col: str = "text", n: int = LABELLED_FROM) -> DataFrame:
-    """Labelled findings ``text``, ``path``, ``label`` in the words of ``n`` documents.
+    """Labelled findings ``text``, ``path``, ``label``, ``form`` in the words of ``n`` documents.
 
     The documents are the ones with the smallest hashes of their texts. Their hashes,
     written as keys of many kinds, are put among their words as secrets, and as checksums,
-    ids, numbers, names and placeholders, which are not.
+    ids, numbers, names and placeholders, which are not. ``form`` is the number of the way
+    a finding is written, by which a test can hold out whole ways.
     """
     text = words_text(docs[text_col])
     long = docs.select(text.alias("t"), F.xxhash64(text).alias("h")).filter("length(t) > 20")
@@ -296,7 +326,8 @@ def labelled_texts(docs: DataFrame, text_col: str = "text", n: int = LABELLED_FR
         case(0, "image ", F.concat(w(4), w(5), w(6), F.lit("ViewController1"))),
         case(0, "secret = get_secret_from_config_file2"),
     )
-    return some.withColumn("w", words).select(F.explode(cases).alias("c")).select("c.text", "c.path", "c.label")
+    made = some.withColumn("w", words).select(F.posexplode(cases).alias("form", "c"))
+    return made.select("c.text", "c.path", "c.label", "form")
 
 
 def fit(labelled: DataFrame, seed: int = SEED) -> PipelineModel | None:

@@ -57,6 +57,36 @@ def test_forest_on_findings_it_has_not_seen(docs):
     assert len(rows) > 1500 and sum(r["label"] == r["prediction"] for r in rows) / len(rows) > 0.97
 
 
+def test_forest_on_ways_of_writing_it_has_not_seen(docs):
+    """Every way of writing a finding is scored by a forest that saw only other ways."""
+    cases = labelled_texts(docs, n=60).cache()
+    right = total = 0
+    for fold in range(4):
+        model = fit(cases.filter(F.col("form") % 4 != fold))
+        found = with_features(find_candidates(cases.filter(F.col("form") % 4 == fold), "text", "path", ["label"]))
+        for r in model.transform(found).groupBy((F.col("label") == F.col("prediction")).alias("ok")).count().collect():
+            total += r["count"]
+            right += r["count"] * r["ok"]
+    print("accuracy on unseen ways", right, total)
+    assert total > 2000 and right / total > 0.8, right / total
+
+
+def test_time_follows_the_number_of_assignments(spark):
+    """Numbers of words and neighbours of all candidates come from one pass over a text."""
+    import time
+
+    n = 40_000
+    text = "\n".join(f'password_{i} = "x{i}yZ#k"' for i in range(n))
+    df = spark.createDataFrame([(1, text, "p", "v", 1, "w")], SCHEMA)
+    start = time.perf_counter()
+    got = find_candidates(df, "text", "source", ["doc_id"])
+    r = got.agg(F.count("*").alias("n"), F.sum("at").alias("at"), F.count_if(F.size("before") == 5).alias("full")).first()
+    assert (r["n"], r["at"], r["full"]) == (n, sum(4 * i + 2 for i in range(n)), n - 1)
+    assert time.perf_counter() - start < 30
+    last = got.orderBy(F.desc("at")).first()
+    assert last["before"][-2:] == [f"password_{n - 1}", "="] and last["after"] == []
+
+
 def test_documents_tokens_are_found_and_numbers_are_not(docs, model):
     import re
 
