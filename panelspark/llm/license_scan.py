@@ -6,7 +6,8 @@ are aligned in the same way. What is matched, over the words of the template, is
 coverage. The words that identify a license (name, version, variant; ``IDENTITY``) must all
 be matched, with no other word between them, so a near variant is not taken for it. In
 templates of more than ``SHORT`` words only version and variant must be; another word of
-the phrase may be changed, none put in.
+the phrase may be changed, none put in. Titles and SPDX identifiers (``TITLES``) identify a
+license as a whole, so they are found word for word.
 
 The parts of a text that are worth aligning follow from the coverage asked for: a copy
 that lacks at most ``m`` words of a template has one of any ``m + 1`` of them, so the
@@ -62,6 +63,38 @@ _CC = {
     "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
 }
 
+#: Identifiers of the SPDX license list, as they stand in source files.
+SPDX = (
+    "0BSD AFL-3.0 AGPL-3.0 Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-2-Clause-Patent BSD-3-Clause "
+    "BSD-3-Clause-Clear BSD-4-Clause BSL-1.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-NC-ND-4.0 CC-BY-NC-SA-4.0 "
+    "CC-BY-ND-4.0 CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 EPL-1.0 EPL-2.0 EUPL-1.2 GPL-2.0 GPL-3.0 ISC LGPL-2.1 "
+    "LGPL-3.0 MIT MIT-0 MPL-1.1 MPL-2.0 MS-PL NCSA OFL-1.1 PostgreSQL Python-2.0 Unlicense WTFPL Zlib"
+).split()
+
+#: Titles and identifiers, found only word for word.
+TITLES = (
+    *[(name, f"SPDX-License-Identifier: {name}") for name in SPDX],
+    *[
+        (name, f"GNU {kind}General Public License, version {version}")
+        for name, kind, version in (("GPL-3.0", "", "3"), *_GNU)
+    ],
+    *[(f"CC-{by}-4.0", f"CC {by} 4.0") for by in ("BY-NC", *_CC)],
+    ("MIT", "MIT License"),
+    ("ISC", "ISC License"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("Apache-2.0", "Apache License, Version 2.0"),
+    ("Apache-2.0", "Apache License 2.0"),
+    ("Artistic-2.0", "Artistic License 2.0"),
+    ("BSL-1.0", "Boost Software License - Version 1.0"),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("EPL-1.0", "Eclipse Public License - v 1.0"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("OFL-1.1", "SIL Open Font License Version 1.1"),
+    ("WTFPL", "Do What The Fuck You Want To Public License"),
+)
+
 #: Public license notices.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
@@ -126,14 +159,34 @@ TEMPLATES = (
         )
         for by, long in _CC.items()
     ],
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+        "MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+        "binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+        "be held liable for any damages arising from the use of this software. Permission is granted to anyone to "
+        "use this software for any purpose, including commercial applications, and to alter it and redistribute "
+        "it freely, subject to the following restrictions:",
+    ),
 )
+#: All that a scan looks for.
+KNOWN = TEMPLATES + TITLES
 
 #: Words of templates that short are all asked for where they identify the license.
 SHORT = 20
 VARIANTS = {b"affero", b"lesser", b"neither", b"advertising", b"attribution"}
 
 #: Phrases that identify a license; those that are in a template must be in its copies.
-IDENTITY = {
+_PHRASES = {
     "MIT": ("mit license",),
     "ISC": ("isc license",),
     "BSD": ("bsd license",),
@@ -156,9 +209,19 @@ IDENTITY = {
         )
         for by, long in (("BY-NC", "Attribution-NonCommercial"), *_CC.items())
     },
+    "MPL-2.0": ("mozilla public license",),  # no other version has this notice
 }
 
 
+def _words(text: str) -> list[bytes]:
+    return [w for part in split_words(text.encode()) for w in part]
+
+
+IDENTITY = {name: [p.encode().split() for p in phrases] for name, phrases in _PHRASES.items()}
+for _name, _title in TITLES:
+    IDENTITY.setdefault(_name, []).append(_words(_title))
+
+
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Longest part of pairs (rising in the first) that rises in the second."""
     tails: list[int] = []
@@ -215,14 +278,13 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
 class Template:
     def __init__(self, name: str, text: str, coverage: float):
         self.name = name
-        self.words = [w for part in split_words(text.encode()) for w in part]
+        self.words = _words(text)
         self.missing = int(len(self.words) * (1 - coverage) + 1e-9)
         self.slack = max(3, len(self.words) // 2)
         self.least = coverage * len(self.words) - 1e-9
-        phrases = [p.encode().split() for p in IDENTITY.get(name, ())]
         self.identity = [
             (i, i + len(p))
-            for p in phrases
+            for p in IDENTITY.get(name, ())
             for i in range(len(self.words) - len(p) + 1)
             if self.words[i : i + len(p)] == p
         ]
@@ -233,6 +295,9 @@ class Template:
             for j in range(first, end)
             if whole or self.words[j].isdigit() or self.words[j] in VARIANTS
         }
+        self.asked = frozenset(self.needed.values())
+        if len(self.needed) == len(self.words):  # word for word: nothing may be put in
+            self.slack = 0
 
     def identified(self, pairs: list[tuple[int, int]]) -> bool:
         """Whether the identifying phrases are matched, without other words put in."""
@@ -253,7 +318,7 @@ def find_licenses(words: list[bytes], templates: list[Template], vocabulary: set
             where.setdefault(w, []).append(i)
     found = []
     for t in templates:
-        if not t.words or sum(w in where for w in t.words) < t.least or not where.keys() >= set(t.needed.values()):
+        if not t.words or not where.keys() >= t.asked or sum(w in where for w in t.words) < t.least:
             continue
         rare = sorted(range(len(t.words)), key=lambda j: len(where.get(t.words[j], ())))
         starts = sorted(
@@ -288,7 +353,7 @@ FINDINGS = "array<struct<license: string, coverage: double, first: bigint, end:
 
 
 def licenses(
-    text: Column, templates: tuple = TEMPLATES, coverage: float = COVERAGE
+    text: Column, templates: tuple = KNOWN, coverage: float = COVERAGE
 ) -> Column:
     """Licenses of a text: name, coverage, and the span of words, in order."""
 
@@ -311,7 +376,7 @@ def licenses(
 
 
 def scan_licenses(
-    docs: DataFrame, text_col: str = "text", templates: tuple = TEMPLATES, coverage: float = COVERAGE
+    docs: DataFrame, text_col: str = "text", templates: tuple = KNOWN, coverage: float = COVERAGE
 ) -> DataFrame:
     """``doc_id`` and ``found`` (see :func:`licenses`) of every document.
 

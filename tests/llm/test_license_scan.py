@@ -5,7 +5,7 @@ from itertools import combinations
 
 import pytest
 
-from panelspark.llm.license_scan import TEMPLATES, Template, _rising, align, find_licenses, scan_licenses
+from panelspark.llm.license_scan import KNOWN, TEMPLATES, TITLES, Template, _rising, align, find_licenses, scan_licenses
 
 SCHEMA = "doc_id long, text string, found string, license int"
 
@@ -56,8 +56,8 @@ def test_rising_is_longest():
         assert len(got) == longest_rising(pairs) and all(x[1] < y[1] for x, y in zip(got, got[1:]))
 
 
-def scan(text, coverage=0.8):
-    known = [Template(n, t, coverage) for n, t in TEMPLATES]
+def scan(text, coverage=0.8, templates=TEMPLATES):
+    known = [Template(n, t, coverage) for n, t in templates]
     words = [w for t in [text] for w in __import__("re").findall(rb"[0-9a-z\x80-\xff]+", t.lower().encode())]
     return find_licenses(words, known, {w for t in known for w in t.words}), words
 
@@ -131,3 +131,56 @@ def test_near_variants_have_their_own_name(text, names):
         found, _ = scan(body)
         want = names * (2 if body.startswith("see") else 1) + (["GPL-3.0"] if body.endswith(long) else [])
         assert [f[0] for f in found] == want
+
+
+@pytest.mark.parametrize(
+    "text,names",
+    [
+        ("MIT License", ["MIT"]),
+        ("# SPDX-License-Identifier: MIT", ["MIT"]),
+        ("// SPDX-License-Identifier: MIT-0", ["MIT-0"]),
+        ("/* SPDX-License-Identifier: GPL-2.0-or-later */", ["GPL-2.0"]),
+        ("SPDX-License-Identifier: BSD-2-Clause-Patent", ["BSD-2-Clause-Patent"]),
+        ("SPDX-License-Identifier: Foo-1.0", []),
+        ("CC BY-SA 4.0", ["CC-BY-SA-4.0"]),
+        ("CC BY-SA 3.0", []),
+        ("GNU General Public License, version 2", ["GPL-2.0"]),
+        ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", ["GPL-3.0"]),
+        ("GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", ["LGPL-2.1"]),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+         "was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.", ["MPL-2.0"]),
+        ("This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+         "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+         "binary, for any purpose, commercial or non-commercial, and by any means.", ["Unlicense"]),
+        ("the license that MIT gave", []),
+    ],
+)
+def test_titles_and_identifiers(text, names):
+    prose = "words that stand before and after it, by the way, 4 or 2 of them "
+    for body in (text, f"{prose} {text} {prose}", f"{prose} {text}"):
+        assert [f[0] for f in scan(body, templates=KNOWN)[0]] == names
+
+
+@pytest.mark.parametrize("name,text", TITLES)
+def test_every_title_among_prose_twice(name, text):
+    prose = "the of is under this license that with was for and permission to use version " * 3
+    found, _ = scan(f"{prose} {text} {prose} {text} {text} {prose}", templates=KNOWN)
+    assert [f[0] for f in found] == [name] * 3 and all(f[1] == 1 for f in found)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_titles_equal_a_plain_search(seed):
+    """All places of all titles, the longest first where they overlap."""
+    rng = random.Random(seed)
+    titles = [(n, Template(n, t, 0.8).words) for n, t in TITLES]
+    some = rng.sample(titles, 6)
+    parts = [w for _, w in some] + [w[:k] for _, w in some for k in (1, 2)]
+    words = [w for _ in range(60) for w in rng.choice(parts)]
+    places = [(-len(t), i, n) for n, t in titles for i in range(len(words)) if words[i : i + len(t)] == t]
+    want = []
+    for size, i, n in sorted(places, key=lambda p: p[:2]):
+        if all(i - size <= k or i >= e for _, k, e in want):
+            want.append((n, i, i - size))
+    known = [Template(n, t, 0.8) for n, t in TITLES]
+    found = find_licenses(words, known, {w for t in known for w in t.words})
+    assert [(f[0], f[2], f[3]) for f in found] == sorted(want, key=lambda w: w[1])
