@@ -343,8 +343,11 @@ def find_licenses(words: list[bytes], templates: list[Template], vocabulary: set
                 found.append(best)
             at = end
     kept: list[tuple] = []
+    spans: list[tuple[int, int]] = []  # of those kept, in order; they do not overlap
     for size, share, name, first, end in sorted(found, key=lambda f: (-f[0], -f[1], f[3], f[2])):
-        if all(end <= k[2] or first >= k[3] for k in kept):
+        k = bisect_left(spans, (first, end))
+        if (k == 0 or spans[k - 1][1] <= first) and (k == len(spans) or end <= spans[k][0]):
+            spans.insert(k, (first, end))
             kept.append((name, share, first, end))
     return sorted(kept, key=lambda k: k[2])
 
@@ -380,8 +383,10 @@ def scan_licenses(
 ) -> DataFrame:
     """``doc_id`` and ``found`` (see :func:`licenses`) of every document.
 
-    Null and empty texts have none. Repeated rows give repeated results, an empty table
-    none; other columns are not looked at. A template without words is never found.
+    Null and empty texts have none. Texts are read whole, in one task each, whose memory
+    follows the longest of them. Repeated rows give repeated results, an empty table none;
+    other columns are not looked at. Of overlapping findings the one with the most matched
+    words stays (ties: the larger coverage, then the first). A template without words is never found.
     """
     return docs.select(
         docs["doc_id"].alias("doc_id"), licenses(docs[text_col], templates, coverage).alias("found")

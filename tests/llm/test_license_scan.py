@@ -184,3 +184,16 @@ def test_titles_equal_a_plain_search(seed):
     known = [Template(n, t, 0.8) for n, t in TITLES]
     found = find_licenses(words, known, {w for t in known for w in t.words})
     assert [(f[0], f[2], f[3]) for f in found] == sorted(want, key=lambda w: w[1])
+
+
+def test_very_long_text_of_many_notices():
+    """A megabyte of titles between words: every one is found at its place."""
+    import time
+
+    n = 40_000
+    text = "words before MIT License and CC BY-SA 4.0 " * n
+    start = time.perf_counter()
+    found, words = scan(text, templates=KNOWN)
+    assert time.perf_counter() - start < 60
+    assert len(words) == 10 * n and [f[0] for f in found] == ["MIT", "CC-BY-SA-4.0"] * n
+    assert [f[2] for f in found[::2]] == [10 * i + 2 for i in range(n)]
