@@ -35,6 +35,7 @@ from panelspark.sources.files import (
     read_raw_documents,
     write_csv,
     write_partitioned,
+    write_raw_documents,
 )
 from panelspark.sources.partitioned import PartitionedTable
 from panelspark.sources.pointers import Pointers
@@ -575,14 +576,13 @@ def sk9_partitioned_write(d):
 def sk10_raw_documents(d):
     """Every document's text as a file of its own, read back whole with the file's name."""
     path = d.scratch()
-    texts = d.documents.select(F.coalesce("text", F.lit("")).alias("value"))
-    texts.write.option("maxRecordsPerFile", 1).text(path)
+    line = F.concat(F.coalesce("text", F.lit("")), F.lit("\n"))
+    write_raw_documents(d.documents.select(line.alias("text")), path)
     raw = read_raw_documents(d.spark, path)
-    per_file = raw.groupBy("file_name").agg(F.max("value").alias("value"))
+    digests = raw.select("file_name", F.sha2("value", 256).alias("text_sha256"))
+    per_file = digests.groupBy("file_name").agg(F.max("text_sha256").alias("text_sha256"))
     named = F.col("file_name").rlike(r"^part-.*[.]txt$").alias("named")
-    return per_file.groupBy(F.sha2("value", 256).alias("text_sha256"), named).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return per_file.groupBy("text_sha256", named).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 from .tables import Tables
 
 NULL_TEXT = "NA"
+#: Raw documents in one folder.
+FOLDER_FILES = 1000
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
@@ -59,10 +61,66 @@ def write_partitioned(
     writer.partitionBy(*by).parquet(path)
 
 
+def file_system(path: str):
+    """pyarrow's file system of a path or address, and the path in it."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+def write_raw_documents(df: DataFrame, path: str, text_col: str = "text") -> None:
+    """Every row's text as a file of its own, ``part-<task>-<row>.txt``, in a new folder.
+
+    Files are opened by ``pyarrow.fs``: Spark's writer commits, checks and sets rights per
+    file, on a local disk by starting processes. They lie in partition folders of at most
+    :data:`FOLDER_FILES`, so that listings are shared out, under one folder for each attempt
+    of a task; folders of attempts that failed are removed. A null text gives an empty file,
+    which Spark's readers skip.
+    """
+    from pyarrow import fs
+
+    store, top = file_system(path)
+    if store.get_file_info(top).type != fs.FileType.NotFound:
+        raise ValueError(f"{path} exists")
+    store.create_dir(top)
+
+    def write(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        here = TaskContext.get()
+        own, files, attempt = file_system(path)[0], 0, f"task={here.taskAttemptId()}"
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()):
+                folder = f"{top}/{attempt}/folder={files // FOLDER_FILES}"
+                if files % FOLDER_FILES == 0:
+                    own.create_dir(folder)
+                name = f"part-{here.partitionId():05d}-{files:09d}.txt"
+                with own.open_output_stream(f"{folder}/{name}") as out:
+                    out.write(text.as_buffer() if text.is_valid else b"")
+                files += 1
+        yield pa.RecordBatch.from_pydict({"attempt": [attempt]})
+
+    kept = {r.attempt for r in df.select(text_col).mapInArrow(write, "attempt string").collect()}
+    for found in store.get_file_info(fs.FileSelector(top)):
+        if found.base_name not in kept:
+            store.delete_dir(found.path)
+
+
 def read_raw_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: its name and whole text."""
-    files = spark.read.text(path, wholetext=True)
-    return files.select(F.col("_metadata.file_name").alias("file_name"), "value")
+    """One row per file: its name and whole text.
+
+    Read as binary, which opens a file without a copy of the job's settings. Spark counts
+    a small file as 4 MB when it cuts tasks; such tasks are run in as many as the session
+    has shuffle partitions. The driver lists the files.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    named = files.select(
+        F.col("_metadata.file_name").alias("file_name"), F.col("content").cast("string").alias("value")
+    )
+    return named.coalesce(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def read_documents(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:

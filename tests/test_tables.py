@@ -314,6 +314,33 @@ def test_documents(spark, tmp_path, rows):
     assert rows(docs.select("a.b")) == [(1,), (None,)]
 
 
+def test_many_raw_documents(spark, tmp_path):
+    """A file for every text, in folders of bounded size, and few tasks that read them."""
+    path = tmp_path / "raw"
+    texts = spark.range(0, 2500, 1, 1).select(F.concat(F.lit("é\r\nline "), "id", F.lit("\n")).alias("text"))
+    files.write_raw_documents(texts.unionByName(texts.limit(1)), str(path))
+    found = [f for f in path.rglob("*") if f.is_file()]
+    assert len(found) == len({f.name for f in found}) == 2501
+    assert max(len(list(f.iterdir())) for f in path.glob("*/*")) == files.FOLDER_FILES
+    got = files.read_raw_documents(spark, str(path))
+    assert got.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert {r.file_name: r.value for r in got.collect()} == {f.name: f.read_bytes().decode() for f in found}
+    assert sorted(r.value for r in got.collect()) == sorted(
+        [f"é\r\nline {i}\n" for i in range(2500)] + ["é\r\nline 0\n"]
+    )
+    with pytest.raises(ValueError, match="exists"):
+        files.write_raw_documents(texts, str(path))
+
+
+def test_raw_documents_null_and_none(spark, tmp_path, rows):
+    df = spark.createDataFrame([(None,), ("",), ("a",)], "text string")
+    files.write_raw_documents(df, f"file://{tmp_path}/raw")
+    assert sorted(f.stat().st_size for f in (tmp_path / "raw").rglob("*.txt")) == [0, 0, 1]
+    assert [r.value for r in files.read_raw_documents(spark, str(tmp_path / "raw")).collect()] == ["a"]
+    files.write_raw_documents(df.limit(0), str(tmp_path / "none"))
+    assert rows(files.read_raw_documents(spark, str(tmp_path / "none"))) == []
+
+
 def test_read_path_prunes(spark, base, tmp_path):
     base.write.parquet(str(tmp_path / "p"))
     assert read_path(spark, str(tmp_path / "p"), "id").columns == ["id"]
