@@ -3,7 +3,7 @@
 A token sequence is what repeated merging gives exactly when every two adjacent tokens
 are: merging the text of the pair gives back the pair. So a text is encoded from the left:
 at each position the longest piece found by an Aho-Corasick automaton is tried first, then
-shorter ones; a piece is taken if it is compatible with the token before it, which is
+shorter ones that it begins with (a table has the next one of each piece); a piece is taken if it is compatible with the token before it, which is
 tested by merging the two again (results are remembered). Where no piece fits, the
 position is marked in a bitfield of failed positions and the previous token is replaced.
 As the encoding of a prefix is unique, a failed position is never tried again.
@@ -15,6 +15,7 @@ their bytes; texts are cut there, and the ids of such units are remembered.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,6 +31,9 @@ SPACE = "▁"
 REMEMBERED = 1 << 18
 #: Rows turned into Python objects at a time.
 SLICE = 512
+#: Characters that the automaton reads ahead in one pass, besides the longest piece.
+PASS = 256
+NEVER = float("-inf")
 
 
 class Remembered(dict):
@@ -78,16 +82,19 @@ class PieceModel:
             raise ValueError("a piece has a space after another character")
         self.bos, self.eos = lib.bos_id(), lib.eos_id()
 
+        self.pieces = pieces
         self.automaton = ahocorasick.Automaton()
-        for p in self.ids:
-            self.automaton.add_word(p, len(p))
+        for p, i in self.ids.items():
+            self.automaton.add_word(p, (i, len(p)))
         self.automaton.make_automaton()
+        self.widest = max(map(len, self.ids))
+        self.pass_chars = self.widest + PASS
+        self.shorter = {i: self._shorter(p) for p, i in self.ids.items() if len(p) > 1}
         single = "".join(c for c in "\t\n\r" if not any(c in p for p in self.ids))
         cut = re.escape(single)
         self.units = re.compile(rf" +[^ {cut}]*|[{cut}]+|[^ {cut}]+".encode() if cut else rb" +[^ ]*|[^ ]+")
         self.unit_ids = Remembered(self._unit)
-        self.fits = Remembered(lambda pair: self.merge(pair[0] + pair[1]) == list(pair))
-        self.whole = Remembered(lambda piece: self.merge(piece) == [piece])
+        self.fits = Remembered(self._fits)
 
         self.surface = [
             b"" if lib.is_control(i) else p.replace(SPACE, " ").encode()
@@ -101,53 +108,102 @@ class PieceModel:
 
     def merge(self, text: str) -> list[str]:
         """Join the best-scored adjacent pair, leftmost first, until none is a piece."""
-        parts = list(text)
-        while len(parts) > 1:
-            joined = [self.score.get(a + b) for a, b in zip(parts, parts[1:])]
-            found = [s for s in joined if s is not None]
-            if not found:
-                break
-            at = joined.index(max(found))
+        parts, score = list(text), self.score
+        joined = [score.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while joined and (best := max(joined)) > NEVER:
+            at = joined.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del joined[at]
+            if at:
+                joined[at - 1] = score.get(parts[at - 1] + parts[at], NEVER)
+            if at < len(joined):
+                joined[at] = score.get(parts[at] + parts[at + 1], NEVER)
         return parts
 
-    def tokens(self, text: str) -> list[str]:
-        """The pieces of a text (spaces as :data:`SPACE`) by backtracking."""
-        n = len(text)
-        lengths: list[list[int]] = [[] for _ in range(n)]
-        for last, length in self.automaton.iter(text):
-            lengths[last - length + 1].append(length)
+    # A number stands for a piece (its id) or, below 0, for a character that is no piece.
+
+    def _number(self, char: str) -> int:
+        return self.ids.get(char, -1 - ord(char))
+
+    def _text(self, number: int) -> str:
+        return self.pieces[number] if number >= 0 else chr(-1 - number)
+
+    def _shorter(self, piece: str) -> tuple[int, int]:
+        """The next shorter piece that a piece begins with, or its first character."""
+        for end in range(len(piece) - 1, 1, -1):
+            if piece[:end] in self.ids:
+                return self.ids[piece[:end]], end
+        return self._number(piece[0]), 1
+
+    def _fits(self, pair: tuple[int | None, int]) -> bool:
+        """If merging gives the two back; None is the begin of a text."""
+        parts = [self._text(x) for x in pair if x is not None]
+        return self.merge("".join(parts)) == parts
+
+    def _longest(self, text: str, at: int, known: dict[int, tuple[int, int]]) -> tuple[int, int]:
+        """The longest piece (or the character) at a place, and its length.
+
+        One pass of the automaton gives also those that follow it end to end, up to a
+        known place or as far as no match can be cut by the end of the pass.
+        """
+        place, stop = at, min(len(text), at + self.pass_chars)
+        sure = stop if stop == len(text) else stop - self.widest
+        for last, match in self.automaton.iter_long(text[at:stop]):
+            begin = at + last - match[1] + 1
+            while place < begin and place < sure and place not in known:  # no piece begins there
+                known[place] = self._number(text[place]), 1
+                place += 1
+            if place >= sure or place in known:
+                break
+            known[place] = match
+            place = at + last + 1
+        else:
+            while place < sure and place not in known:
+                known[place] = self._number(text[place]), 1
+                place += 1
+        return known[at]
+
+    def numbers(self, text: str) -> list[int]:
+        """The numbers of a text (spaces as :data:`SPACE`) by backtracking."""
+        n, shorter, fits = len(text), self.shorter, self.fits
+        known: dict[int, tuple[int, int]] = {}
         failed = bytearray(n // 8 + 1)
-        ends, tried = [0], [0]
-        while ends[-1] < n:
-            at, own = ends[-1], lengths[ends[-1]]
-            if not tried[-1]:
-                own.sort(reverse=True)
-                if not own or own[-1] != 1:
-                    own.append(1)
-            before = text[ends[-2] : at] if at else ""
-            for k in range(tried[-1], len(own)):
-                end = at + own[k]
-                if failed[end >> 3] >> (end & 7) & 1:
-                    continue
-                piece = text[at:end]
-                if self.fits[before, piece] if before else self.whole[piece]:
-                    tried[-1] = k + 1
-                    ends.append(end)
-                    tried.append(0)
+        found: list[int] = []
+        ends = [0]
+        at, before, own = 0, None, None
+        while at < n:
+            if own is None:
+                match = known.get(at) or self._longest(text, at, known)
+            else:
+                match = shorter.get(own)
+            while match:
+                own, size = match
+                end = at + size
+                if not failed[end >> 3] >> (end & 7) & 1 and fits[before, own]:
                     break
+                match = shorter.get(own)
+            if match:
+                found.append(own)
+                ends.append(end)
+                at, before, own = end, own, None
             else:
                 failed[at >> 3] |= 1 << (at & 7)
                 ends.pop()
-                tried.pop()
-        return [text[a:b] for a, b in zip(ends, ends[1:])]
+                at, own = ends[-1], found.pop()
+                before = found[-1] if found else None
+        return found
+
+    def tokens(self, text: str) -> list[str]:
+        return [self._text(x) for x in self.numbers(text)]
 
     def _unit(self, unit: bytes) -> bytes:
         out: list[int] = []
-        for piece in self.tokens(unit.decode("utf-8", "replace").replace(" ", SPACE)):
-            known = self.ids.get(piece)
-            out.extend([known] if known is not None else [self.byte_ids[b] for b in piece.encode()])
-        return np.array(out, "<u4").tobytes()
+        for number in self.numbers(unit.decode("utf-8", "replace").replace(" ", SPACE)):
+            if number >= 0:
+                out.append(number)
+            else:
+                out.extend([self.byte_ids[b] for b in chr(-1 - number).encode()])
+        return struct.pack(f"<{len(out)}I", *out)
 
     def encode(self, text: bytes, ends: bool = True) -> bytes:
         """Ids of a UTF-8 text as little-endian unsigned 32-bit integers."""

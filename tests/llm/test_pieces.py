@@ -9,7 +9,7 @@ import sentencepiece
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from panelspark.llm.pieces import Remembered, encode_documents, model, piece_ids, piece_text
+from panelspark.llm.pieces import PASS, Remembered, encode_documents, model, piece_ids, piece_text
 
 FILE = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -102,3 +102,31 @@ def test_query_equals_library(spark, lib):
         text = lib.decode(ids).encode()
         want.add((d["doc_id"], len(ids), sha256(packed).hexdigest(), sha256(text).hexdigest()))
     assert set(map(tuple, QUERIES["op6_pieces"](spark, "/root/testdata/sf0.001").collect())) == want
+
+
+def test_backtracking_equals_merging():
+    """Few letters (many ways to cut), strange characters, and runs beyond one pass."""
+    m, rng = model(FILE), random.Random(5)
+    for letters in ("ab", "thein", "1230.", "sè語😀t", "\t\nab", "▁the"):
+        for n in [*range(12)] * 20 + [PASS, PASS + m.widest, 700]:
+            text = "".join(rng.choices(letters, k=n))
+            text = text[:1] + text[1:].replace("▁", "e")
+            assert m.tokens(text) == m.merge(text)
+
+
+def test_merging_looks_up_pairs_once():
+    """Lookups follow the length of the text, not its square."""
+    m, looked = model(FILE), []
+
+    class Counted(dict):
+        def get(self, *a):
+            looked.append(a)
+            return super().get(*a)
+
+    kept = m.score
+    m.score = Counted(kept)
+    try:
+        parts = m.merge("thein" * 40)
+    finally:
+        m.score = kept
+    assert "".join(parts) == "thein" * 40 and len(looked) <= 3 * 200
