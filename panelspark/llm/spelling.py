@@ -6,6 +6,10 @@ distances of two blocks of words come from one matrix product. Blocks hold words
 length and are compared with the block of the same and of the next length; length blocks
 are cut further by how many letters of each of :data:`CLASSES` classes a word has, which one
 edit can only move to a neighbouring cut. Edits are then verified on the pairs that are left.
+
+Joins of tables that grow with the vocabulary are told to shuffle: Spark sizes a written
+table by its packed file, and one whose rows an explode has repeated no higher, and would
+send it through the driver.
 """
 
 from __future__ import annotations
@@ -47,7 +51,8 @@ def _class_counts(word: Column) -> list[Column]:
 def _chunks(words: DataFrame) -> DataFrame:
     """One row per chunk: ``length``, class counts ``cut``, ``chunk``, ``words``.
 
-    A block is cut by a hash into as many chunks as its number of words asks for.
+    A block is cut by a hash into as many chunks as its number of words asks for; only
+    blocks of more than one chunk are looked up.
     """
     keyed = words.select(
         "word", "n", F.length("word").alias("length"), F.array(*_class_counts(F.col("word"))).alias("cut")
@@ -55,9 +60,10 @@ def _chunks(words: DataFrame) -> DataFrame:
     keyed = stored(keyed, "keyed")
     sizes = keyed.groupBy("length", "cut").agg(F.count("*").alias("size"))
     most = F.least(F.lit(CHUNK_WORDS), F.greatest(F.lit(1), F.floor(F.lit(CHUNK_CHARS) / F.col("length"))))
-    sizes = sizes.select("length", "cut", F.ceil(F.col("size") / most).alias("parts"))
-    dealt = keyed.join(sizes, ["length", "cut"]).select(
-        "length", "cut", F.pmod(F.xxhash64("word"), F.col("parts")).alias("chunk"), "word", "n"
+    sizes = sizes.select("length", "cut", F.ceil(F.col("size") / most).alias("parts")).filter("parts > 1")
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = keyed.join(sizes, ["length", "cut"], "left").select(
+        "length", "cut", F.pmod(F.xxhash64("word"), parts).alias("chunk"), "word", "n"
     )
     return dealt.groupBy("length", "cut", "chunk").agg(
         F.collect_list(F.struct("word", "n")).alias("words")
@@ -92,7 +98,7 @@ def _pairs_of_chunks(chunks: DataFrame) -> DataFrame:
     )
     left = left.filter(F.forall("cut", lambda c: c >= 0))
     right = chunks.select("length", "cut", "chunk", F.col("words").alias("right"))
-    both = left.join(right, ["length", "cut"]).filter("NOT own OR left_chunk <= chunk")
+    both = left.hint("merge").join(right, ["length", "cut"]).filter("NOT own OR left_chunk <= chunk")
     return both.select("left", "right", (F.col("own") & (F.col("left_chunk") == F.col("chunk"))).alias("same"))
 
 
@@ -215,7 +221,7 @@ def group_variants(words: DataFrame, ratio: int = 10) -> DataFrame:
         F.count("*").alias("n_near"),
         F.min(F.struct((-F.col("other_n")).alias("m"), F.col("other").alias("form"))).alias("best"),
     )
-    wide = known.join(best, "word", "left")
+    wide = known.join(best.hint("merge"), "word", "left")
     chosen = -F.col("best.m") >= F.lit(ratio) * F.col("n")
     formed = wide.select(
         "word",
@@ -231,8 +237,8 @@ def group_variants(words: DataFrame, ratio: int = 10) -> DataFrame:
     steps = math.log(span["high"] / max(1, span["low"]), ratio) if span["high"] else 0
     for _ in range(math.ceil(math.log2(steps)) if steps > 1 else 0):
         further = links.select(F.col("word").alias("at"), F.col("root").alias("end"))
-        joined = links.join(further, F.col("root") == F.col("at"), "left")
+        joined = links.join(further.hint("merge"), F.col("root") == F.col("at"), "left")
         links = stored(joined.select("word", F.coalesce("end", "root").alias("root")), "roots")
-    return formed.join(links, "word", "left").select(
+    return formed.join(links.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )

@@ -62,6 +62,23 @@ def test_small_chunks_lose_no_pair(spark, monkeypatch):
     assert rows(spelling.group_variants(frame(spark, words), 2)) == brute(words, 2)
 
 
+def test_tables_that_grow_are_not_broadcast(spark, monkeypatch):
+    plans, stored = [], spelling.stored
+
+    def recorded(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(spelling, "stored", recorded)
+    words = made_words(7, 300)
+    got = spelling.group_variants(frame(spark, words))
+    recorded(got, "groups")
+    assert {name for name, _ in plans} == {"words", "keyed", "chunks", "near", "forms", "roots", "groups"}
+    # of the blocks, only those of more than one chunk are looked up
+    assert {name for name, text in plans if "Broadcast" in text} <= {"chunks"}
+    assert rows(got) == brute(words)
+
+
 def test_blocks_equal_all_pairs():
     r = random.Random(3)
     for same, longer in ((True, 0), (False, 0), (False, 1)):
