@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -13,6 +17,12 @@ from .tables import Tables
 NULL_TEXT = "NA"
 #: Raw documents in one folder.
 FOLDER_FILES = 1000
+#: Names, and bytes of raw documents, that a task hands on at once.
+LISTED_NAMES, READ_BYTES = 10_000, 8 << 20
+#: What Spark escapes in names of files: signs that an address cannot hold, spaces, controls.
+ESCAPED = re.compile(
+    r"""[\x00-\x20"#%<>?\[\\\]^`{|}\x7f-\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"""
+)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
@@ -109,18 +119,117 @@ def write_raw_documents(df: DataFrame, path: str, text_col: str = "text") -> Non
             store.delete_dir(found.path)
 
 
+def _reached(spark: SparkSession, path: str) -> str | None:
+    """The whole address of a folder, if ``pyarrow.fs`` reaches it."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    try:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        address = store.makeQualified(where).toString()
+        own, folder = file_system(address)
+        return address if own.get_file_info(folder).type == fs.FileType.Directory else None
+    except (Py4JJavaError, pa.ArrowInvalid, NotImplementedError, OSError):
+        return None
+
+
+def _entries(store, top: str, folder: str) -> Iterator[tuple[str, bool]]:
+    """Files to be read in a folder, and the folders in it; true for a folder.
+
+    As in Spark's readers: names that begin with a dot or an underscore are passed over
+    (``_name=value`` is not), and so are empty files. Below the top, only files in a
+    partition folder ``name=value`` or further down count.
+    """
+    from pyarrow import fs
+
+    counts = folder == top or "=" in folder[len(top) :]
+    for found in store.get_file_info(fs.FileSelector(folder)):
+        name = found.base_name
+        if name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name):
+            continue
+        if found.type == fs.FileType.Directory:
+            yield found.path, True
+        elif counts and found.size:
+            yield found.path, False
+
+
+def _files_below(store, top: str, folder: str) -> Iterator[str]:
+    ahead = [folder]
+    while ahead:
+        for path, is_folder in _entries(store, top, ahead.pop()):
+            if is_folder:
+                ahead.append(path)
+            else:
+                yield path
+
+
 def read_raw_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: its name and whole text.
+    """One row per file: its name, escaped as Spark does it, and whole text.
 
-    Read as binary, which opens a file without a copy of the job's settings. Spark counts
-    a small file as 4 MB when it cuts tasks; such tasks are run in as many as the session
-    has shuffle partitions. The driver lists the files.
+    Files are listed and opened in tasks through ``pyarrow.fs``: the driver sees no names,
+    which would fill its memory. One task lists the folder itself, others what lies in its
+    folders, and the names are dealt over as many tasks as the session has shuffle
+    partitions. A folder's names are held by the task that lists it. Files are listed again
+    whenever the result is computed; one that has gone by then is an error.
+
+    Where ``pyarrow.fs`` does not reach, and of a pattern or a single file, Spark's reader
+    lists the files on the driver.
     """
-    files = spark.read.format("binaryFile").load(path)
-    named = files.select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("content").cast("string").alias("value")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    address = _reached(spark, path)
+    if address is None:
+        files = spark.read.format("binaryFile").load(path)
+        named = files.select(
+            F.col("_metadata.file_name").alias("file_name"), F.col("content").cast("string").alias("value")
+        )
+        return named.coalesce(tasks)
+
+    def place() -> tuple:
+        store, top = file_system(address)
+        return store, top.rstrip("/")
+
+    def list_top(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for _ in batches:
+            found = _entries(*place(), place()[1])
+            while some := list(islice(found, LISTED_NAMES)):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*some)], ["path", "is_folder"])
+
+    def list_below(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        store, top = place()
+        for batch in batches:
+            paths, folders = (c.to_pylist() for c in batch.columns)
+            found = (f for p, deep in zip(paths, folders) for f in (_files_below(store, top, p) if deep else [p]))
+            while some := list(islice(found, LISTED_NAMES)):
+                yield pa.RecordBatch.from_pydict({"path": some})
+
+    def read(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        store = place()[0]
+        names, texts, held = [], [], 0
+        for batch in batches:
+            for found in batch.column(0).to_pylist():
+                # without None, a name that ends in .gz would have the bytes unpacked
+                with store.open_input_stream(found, compression=None) as file:
+                    texts.append(file.read())
+                names.append(ESCAPED.sub(lambda c: quote(c[0]), found.rsplit("/", 1)[-1]))
+                held += len(texts[-1])
+                if held >= READ_BYTES or len(names) == LISTED_NAMES:
+                    yield pa.RecordBatch.from_pydict({"file_name": names, "content": texts})
+                    names, texts, held = [], [], 0
+        if names:
+            yield pa.RecordBatch.from_pydict({"file_name": names, "content": texts})
+
+    top = spark.range(0, 1, 1, 1).mapInArrow(list_top, "path string, is_folder boolean")
+    paths = top.repartition(tasks).mapInArrow(list_below, "path string").repartition(tasks)
+    return paths.mapInArrow(read, "file_name string, content binary").select(
+        "file_name", F.col("content").cast("string").alias("value")
     )
-    return named.coalesce(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def read_documents(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:

@@ -341,6 +341,50 @@ def test_raw_documents_null_and_none(spark, tmp_path, rows):
     assert rows(files.read_raw_documents(spark, str(tmp_path / "none"))) == []
 
 
+def test_raw_documents_are_listed_in_tasks(spark, tmp_path, rows, monkeypatch):
+    """The driver knows no name; names and bytes are those of Spark's reader."""
+    named = {
+        "a b%é#[x]{y}^`|\u00a0&+=~.txt": b"1", "q'!()*,;@$\\\"<>.txt": b"2", "raw.gz": b"3", "_n=v": b"4", "bad": b"\xff\x00",
+        "_SUCCESS": b"no", ".a.crc": b"no", "b._COPYING_": b"no", "empty": b"", "plain/in.txt": b"no",
+    }
+    parted = {"t=1/f=0/a": b"1", "t=1/f=1/b": b"2", "t=2/f=0/c": b"3", "t=2/_temporary/f=0/d": b"no", "t=2/f=0/.e": b"no"}
+
+    def read(path):
+        got = files.read_raw_documents(spark, str(path))
+        return got, rows(got.select("file_name", F.hex(F.col("value").cast("binary"))))
+
+    for top, content in (("named", named), ("parted", parted)):
+        for name, data in content.items():
+            (tmp_path / top / name).parent.mkdir(parents=True, exist_ok=True)
+            (tmp_path / top / name).write_bytes(data)
+        with monkeypatch.context() as m:
+            m.setattr(files, "_reached", lambda *a: None, raising=False)
+            by_spark, want = read(tmp_path / top)
+        got, found = read(tmp_path / top)
+        assert found == want and len(found) >= 3
+        assert by_spark.inputFiles() and not got.inputFiles()
+        assert read(f"file:{tmp_path}/{top}/")[1] == want
+    assert [r[0] for r in read(tmp_path / "parted/t=*/f=0")[1]] == ["a", "c"]
+    assert [r[0] for r in read(tmp_path / "named/raw.gz")[1]] == ["raw.gz"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read(tmp_path / "missing")
+
+
+def test_raw_documents_in_several_batches(spark, tmp_path):
+    for k in range(7):
+        (tmp_path / f"t={k % 2}").mkdir(exist_ok=True)
+        (tmp_path / f"t={k % 2}" / str(k)).write_text("x" * (1 << 21) + str(k))
+    small = files.read_raw_documents(spark, str(tmp_path)).select("file_name", F.right("value", F.lit(1)).alias("k"), F.length("value").alias("n"))
+    assert sorted(small.collect()) == [(str(k), str(k), (1 << 21) + 1) for k in range(7)]
+    one_task = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(one_task)
+    try:
+        spark.conf.set(one_task, "1")
+        assert files.read_raw_documents(spark, str(tmp_path)).distinct().count() == 7
+    finally:
+        spark.conf.set(one_task, before)
+
+
 def test_read_path_prunes(spark, base, tmp_path):
     base.write.parquet(str(tmp_path / "p"))
     assert read_path(spark, str(tmp_path / "p"), "id").columns == ["id"]
